@@ -122,6 +122,30 @@ def held_alerts(windows: DataFrame, breach, hold_windows: int, step: str, by=())
     )
 
 
+def firing_spans(windows: DataFrame, breach, hold_windows: int, step: str, by=()) -> DataFrame:
+    """Spans of ``hold_windows`` consecutive windows that all breach.
+
+    ``windows`` keeps its window column ``w``. The second window aggregation runs on
+    streams as well, in append mode.
+    """
+    count, unit = step.split()
+    span = F.window(F.window_time("w"), f"{int(count) * hold_windows} {unit}", step)
+    held = windows.groupBy(span.alias("held"), *by).agg(F.count_if(breach).alias("n_breaches"))
+    return held.where(F.col("n_breaches") == hold_windows).select(
+        F.col("held.start").alias("span_start"), F.col("held.end").alias("span_end"), *by
+    )
+
+
+def error_windows(log: DataFrame, size="5 minutes", slide=None, by=()) -> DataFrame:
+    failed = F.count_if(F.col("status") == "error")
+    return _windowed(log, size, slide, by).agg((F.lit(100.0) * failed / F.count(F.lit(1))).alias("error_percent"))
+
+
+def latency_windows(log: DataFrame, size="5 minutes", slide=None, by=()) -> DataFrame:
+    counts = _windowed(log, size, slide, by).agg(_bucket_counts())
+    return counts.select("w", *by, quantile_of_buckets(F.col("cumulative")).alias("latency_p95_s"))
+
+
 def error_alert(log: DataFrame, size="5 minutes", slide=None, hold_windows=2, share=ERROR_SHARE, by=()) -> DataFrame:
     """Error share above the threshold, held."""
     rates = error_rate(log, size, slide, by)

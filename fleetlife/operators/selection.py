@@ -39,9 +39,8 @@ def drop_columns(df: DataFrame, columns) -> DataFrame:
     return df.drop(*columns)
 
 
-def model_ready(df: DataFrame, sensors) -> DataFrame:
+def model_ready(df: DataFrame, sensors, extra=()) -> DataFrame:
     """Keys, target, regime and the sensors, in the order models are trained with."""
-    extra = ["run_id"] if "run_id" in df.columns else []
     return df.select("subset", *extra, "unit_id", "cycle", "RUL", F.col("regime").alias("operating_regime"), *sensors)
 
 

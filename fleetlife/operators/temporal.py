@@ -24,9 +24,12 @@ def ewma_memory(alpha: float) -> int:
 
 
 def ewma_block_rows(alpha: float, lead_in: int, block_rows: int = BLOCK_ROWS) -> int:
-    """Largest block for which the growing weights cannot overflow."""
-    longest = int(MAX_EXPONENT / -math.log1p(-alpha))
-    return max(2 * lead_in, min(max(block_rows, 8 * lead_in), longest - lead_in))
+    """Block length for which the growing weights cannot overflow."""
+    rate = -math.log1p(-alpha)
+    size = max(2 * lead_in, min(block_rows, int(MAX_EXPONENT / rate) - lead_in))
+    if (size + lead_in) * rate > MAX_EXPONENT:
+        raise ValueError(f"alpha={alpha} is too close to 1 for frames of {lead_in} rows; use 1")
+    return size
 
 
 def feature_names(sensors, lags=LAGS, windows=ROLLING_WINDOWS, ewma=True) -> list[str]:

@@ -26,7 +26,7 @@ def telemetry_view(events: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame
     early_even = (F.hour("ts") < 6) & (F.col("k") % 2 == 0)
     return numbered.withColumn("k", k).select(
         F.concat(F.lit("FD00"), (1 + F.col("user_id") % 4).cast("string")).alias("subset"),
-        F.col("user_id").cast("int").alias("unit_id"),
+        (F.col("user_id") + 1).cast("int").alias("unit_id"),
         "cycle",
         (F.when(several, 10.0 * level).otherwise(F.lit(0.0)) + F.col("value") / 2000).alias("setting_1"),
         (F.when(several, 0.25 * (F.col("k") % 2)).otherwise(F.lit(0.0)) + F.col("k") / 100000.0).alias("setting_2"),
@@ -51,7 +51,7 @@ def history_lengths(spark: SparkSession, folder: str) -> DataFrame:
         .agg(F.count(F.lit(1)).cast("int").alias("last_cycle"))
         .select(
             F.concat(F.lit("FD00"), (1 + F.col("user_id") % 4).cast("string")).alias("subset"),
-            F.col("user_id").cast("int").alias("unit_id"),
+            (F.col("user_id") + 1).cast("int").alias("unit_id"),
             "last_cycle",
         )
     )

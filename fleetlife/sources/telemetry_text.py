@@ -1,10 +1,10 @@
 """Text scans: telemetry lines, terminal-RUL lines and the set of input files."""
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlife.operators.trajectory import number_rows
-from fleetlife.schema import SUBSETS, TELEMETRY, TERMINAL_COLUMN
+from fleetlife.schema import MEASUREMENTS, SUBSETS, TERMINAL_COLUMN
 
 SUBSET_IN_NAME = r"_([A-Za-z0-9]+)\.txt$"
 
@@ -19,29 +19,36 @@ def _lines(spark: SparkSession, paths) -> DataFrame:
     )
 
 
-def scan_telemetry(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
-    """Parse whitespace-separated telemetry; returns (rows, quarantined lines).
+def parse_telemetry(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Telemetry rows and quarantined lines from (subset, line).
 
     Tokens are taken by position and cast to the 26 columns; tokens beyond them
     are ignored. Blank lines are no rows. A line with a missing or unreadable
     token goes to the second frame, with the token count.
     """
-    lines = _lines(spark, paths).where(F.length("line") > 0)
-    tokens = F.split("line", r"\s+")
-    parsed = lines.select(
-        "subset",
-        "line",
-        F.size(tokens).alias("tokens"),
-        *(F.get(tokens, F.lit(i)).try_cast(f.dataType).alias(f.name) for i, f in enumerate(TELEMETRY.fields)),
+    clean = F.regexp_replace("line", r"^\s+|\s+$", "")
+    tokens = lines.select("subset", "line", F.split(clean, r"\s+").alias("t")).where(F.element_at("t", 1) != "")
+    # The readings are cast as one array, which keeps the generated code small.
+    numbers = F.transform(F.slice("t", 3, len(MEASUREMENTS)), lambda token: token.try_cast("double"))
+    parsed = tokens.select("subset", "line", "t", numbers.alias("x"))
+    unit_id, cycle = (F.get("t", F.lit(i)).try_cast("int") for i in (0, 1))
+    readable = (
+        unit_id.isNotNull()
+        & cycle.isNotNull()
+        & (F.size("x") == len(MEASUREMENTS))
+        & ~F.exists("x", lambda value: value.isNull())
     )
-    readable = F.lit(True)
-    for field in TELEMETRY.fields:
-        readable = readable & F.col(field.name).isNotNull()
-    rows = parsed.where(readable).select("subset", *TELEMETRY.fieldNames())
-    rejected = parsed.where(~readable).select("subset", "line", "tokens")
+    readings = [F.get("x", F.lit(i)).alias(name) for i, name in enumerate(MEASUREMENTS)]
+    rows = parsed.where(readable).select("subset", unit_id.alias("unit_id"), cycle.alias("cycle"), *readings)
+    rejected = parsed.where(~readable).select("subset", "line", F.size("t").alias("tokens"))
     return rows, rejected
 
 
+def scan_telemetry(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
+    """Rows and quarantined lines of telemetry files; the subset is in the file name."""
+    return parse_telemetry(_lines(spark, paths).select("subset", "line"))
+
+
 def scan_terminal_rul(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
     """Terminal RUL per unit: the n-th non-blank line of a file belongs to unit n.
 

@@ -5,11 +5,12 @@ digits so that two engines can be compared by value.
 """
 
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlife.cluster import settle
-from fleetlife.functions.expressions import capped
+from fleetlife.cluster import ensure_checkpoint_dir, settle
 from fleetlife.operators import (
     endpoints,
     evaluation,
@@ -24,8 +25,11 @@ from fleetlife.operators import (
     temporal,
     trajectory,
 )
+from fleetlife.plans import models, preprocess, runs, scoring, state
 from fleetlife.schema import TELEMETRY, TERMINAL_COLUMN, sensors_in
 from fleetlife.sources import events as source
+from fleetlife.sources import requests, tables, telemetry_text
+from fleetlife.streaming import traffic
 
 DIGITS = 6
 SHIFT = 1e-10
@@ -582,3 +586,263 @@ def latency_alerts(spark, folder):
 @query
 def silences(spark, folder):
     return monitoring.silences(source.prediction_traffic(spark, folder), "20 minutes", ("subset", "model_type"))
+
+
+# ---------------------------------------------------------------- text, requests, state, runs
+
+
+def text_lines(spark, folder) -> DataFrame:
+    """The telemetry as 26-token text lines; high readings make a line unreadable."""
+    rows = source.telemetry(spark, folder)
+    numbers = [F.col(name).cast("string") if name in rows.columns else F.lit("0.0") for name in TELEMETRY.fieldNames()]
+    line = F.concat_ws("  ", *numbers)
+    short = F.substring_index(line, " ", 20)
+    word = F.concat(line, F.lit(" extra"))
+    shown = F.when(F.col("sensor_2") > 60, short).when(F.col("sensor_3") < 10, F.concat(F.lit("x"), line)).otherwise(word)
+    return rows.select("subset", F.concat(F.lit("\t "), shown, F.lit(" ")).alias("line"))
+
+
+@query
+def text_rows(spark, folder):
+    rows, _ = telemetry_text.parse_telemetry(text_lines(spark, folder))
+    return rounded(rows.select("subset", "unit_id", "cycle", *SENSORS))
+
+
+@query
+def text_rejects(spark, folder):
+    _, rejected = telemetry_text.parse_telemetry(text_lines(spark, folder))
+    return rejected.groupBy("subset", "tokens").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+def request_bodies(spark, folder) -> DataFrame:
+    """One request per unit with its last 30 rows; subsets and ids partly spoilt."""
+    rows = source.telemetry(spark, folder)
+    at = source.history_lengths(spark, folder).withColumnRenamed("last_cycle", "end_cycle")
+    last = sequences.tails(rows, at, 30, contiguous=True)
+    full = last.select(
+        F.concat_ws("-", "subset", F.col("unit_id").cast("string")).alias("request_id"),
+        F.when(F.col("end_cycle") > 80, "FD009").otherwise(F.lower("subset")).alias("subset"),
+        F.lit("random_forest").alias("model_type"),
+        F.when((F.col("end_cycle") < 55) & (F.col("cycle") == F.col("end_cycle")), F.lit(0)).otherwise(F.col("unit_id")).alias("unit_id"),
+        "cycle",
+        *(F.col(name) if name in rows.columns else F.lit(0.0).alias(name) for name in TELEMETRY.fieldNames()[2:]),
+    )
+    return requests.to_requests(full)
+
+
+@query
+def request_rows(spark, folder):
+    rows, _ = requests.parse_requests(request_bodies(spark, folder))
+    return rounded(rows.select("request_id", "subset", "unit_id", "cycle", "sensor_2", "sensor_3"))
+
+
+@query
+def request_rejects(spark, folder):
+    _, rejected = requests.parse_requests(request_bodies(spark, folder))
+    return rejected.select("request_id", "reason")
+
+
+@query
+def state_round_trip(spark, folder):
+    """Learned state to JSON and back to the table of sensor statistics."""
+    fitted = state.fit(source.telemetry(spark, folder))
+    stored = state.check(state.from_json(state.to_json(state.as_rows(fitted))))
+    return rounded(state.as_tables(stored).scaler.select("subset", "regime", "scaling_strategy", "sensor", "mean", "std"))
+
+
+@query
+def state_applied(spark, folder):
+    """Cut histories scaled with state learned on complete ones."""
+    fitted = state.fit(source.telemetry(spark, folder))
+    rows = state.apply(source.truncated_telemetry(spark, folder), fitted)
+    return rounded(rows.select("subset", "unit_id", "cycle", "regime", *SENSORS))
+
+
+def run_records(spark, folder) -> DataFrame:
+    """Run records derived from events: sign-ups stand for preprocessing runs."""
+    events = source.read_events(spark, folder, ["event_id", "ts", "user_id", "event_type"])
+    fleet = F.concat(F.lit("FD00"), (1 + F.col("user_id") % 4).cast("string"))
+    prepared = F.col("event_type") == "signup"
+    return events.select(
+        F.col("event_id").cast("string").alias("run_id"),
+        F.when(prepared, "preprocessing").otherwise("training").alias("kind"),
+        fleet.alias("subset"),
+        F.when(~prepared, F.concat(F.lit("model_"), (F.col("user_id") % 3).cast("string"))).alias("model_type"),
+        F.when(F.col("event_type") == "error", "FAILED").otherwise("FINISHED").alias("status"),
+        F.col("ts").alias("start_time"),
+        F.create_map(F.lit("preprocessing_run_id"), (F.col("event_id") - 1).cast("string")).alias("params"),
+        F.lit(None).cast("array<string>").alias("features"),
+        F.when(F.col("user_id") % 5 < 3, "baseline").otherwise("temporal").alias("feature_set"),
+    )
+
+
+@query
+def latest_run(spark, folder):
+    trained = run_records(spark, folder).where(F.col("kind") == "training")
+    return runs.latest(trained)
+
+
+@query
+def run_chain(spark, folder):
+    return runs.resolve(run_records(spark, folder)).drop("features")
+
+
+@query
+def run_list(spark, folder):
+    listed = run_records(spark, folder).select("run_id", "subset", "feature_set", "status")
+    created = listed.where(F.col("status") == "FINISHED").drop("status")
+    return runs.run_list(existing=created.where(F.col("feature_set") == "baseline"), created=listed.where(F.col("feature_set") == "temporal"))
+
+
+@query
+def missing_runs(spark, folder):
+    records = run_records(spark, folder)
+    # The largest event id of a subset decides, so that some pairs are missing.
+    newest = records.groupBy("subset").agg(F.max_by("feature_set", F.col("run_id").cast("long")).alias("feature_set"))
+    return runs.missing(newest, records, ["baseline", "temporal"])
+
+
+# ---------------------------------------------------------------- preprocessing, models, scoring
+
+
+def processed(spark, folder, include_temporal=False):
+    """Split, fitted and prepared telemetry: (rows of all parts, state tables)."""
+    test = source.truncated_telemetry(spark, folder)
+    labelled = preprocess.label_and_split(source.telemetry(spark, folder), test, source.terminal_view(spark, folder), 0.2, 42)
+    fitted = state.fit(labelled.where(F.col("split") == "train").drop("split"))
+    return preprocess.prepare(labelled, fitted, include_temporal), fitted
+
+
+@query
+def preprocessing_summary(spark, folder):
+    rows, fitted = processed(spark, folder)
+    return preprocess.summary(rows, fitted)
+
+
+@query
+def preprocessed_rows(spark, folder):
+    rows, _ = processed(spark, folder)
+    return rounded(rows)
+
+
+def part(rows, name):
+    return rows.where(F.col("split") == name).drop("split")
+
+
+def stored_rows(spark, folder):
+    """Prepared rows written once as a partitioned table, which training reads repeatedly."""
+    rows, fitted = processed(spark, folder)
+    path = f"{scratch(spark)}/processed"
+    tables.write_processed(rows.withColumn("run_id", F.lit("r1")), path, files=1)
+    return tables.read_processed(spark, path, run_id="r1").drop("run_id"), fitted
+
+
+def fleet_model(spark, folder, kind, parameters):
+    """One model over all subsets, with the parts it was trained and checked on."""
+    rows, fitted = stored_rows(spark, folder)
+    names = state.retained_sensors(fitted)
+    cap = models.DEFAULT_CAPS[kind]
+    return models.fit(part(rows, "train"), names, kind, parameters, cap), rows, fitted, names
+
+
+@query
+def rf_scores(spark, folder):
+    model, rows, _, _ = fleet_model(spark, folder, models.FOREST, {"numTrees": 20, "maxDepth": 5, "seed": 42})
+    return evaluation.all_metrics(models.endpoint_predictions(model, part(rows, "validation")))
+
+
+@query
+def gbt_scores(spark, folder):
+    parameters = {**models.BOOSTED_DEFAULTS, "maxIter": 5, "maxDepth": 4}
+    model, rows, _, _ = fleet_model(spark, folder, models.BOOSTED, parameters)
+    official = models.official_predictions(model, part(rows, "test"), source.terminal_view(spark, folder))
+    return evaluation.all_metrics(official)
+
+
+@query
+def rf_seed_sweep(spark, folder):
+    """Champion against competitor over ten seeds, each scored once."""
+    model, rows, _, names = fleet_model(spark, folder, models.FOREST, {"numTrees": 10, "maxDepth": 4, "seed": 42})
+    rival = models.fit(part(rows, "train"), names, models.FOREST, {"numTrees": 10, "maxDepth": 2, "seed": 7}, 30)
+    validation = part(rows, "validation")
+    matrix = [
+        {"candidate": "deep", "role": "champion", "model": model, "validation": validation, "seeds": SEEDS},
+        {"candidate": "shallow", "role": "competitor", "model": rival, "validation": validation, "seeds": SEEDS},
+    ]
+    return evaluation.robustness_report(models.seed_sweep(matrix))
+
+
+@query
+def fleet_scores(spark, folder):
+    """RUL of every cut history at its last cycle, from raw rows, state and model."""
+    model, _, fitted, names = fleet_model(spark, folder, models.FOREST, {"numTrees": 10, "maxDepth": 4, "seed": 42})
+    return scoring.score_last(source.truncated_telemetry(spark, folder), fitted, model, names, contiguous=True)
+
+
+@query
+def sequence_scores(spark, folder):
+    """Sequences of any length scored in Arrow batches; the scorer averages all values."""
+    rows = source.telemetry(spark, folder)
+    at = source.history_lengths(spark, folder)
+    ends = at.select("subset", "unit_id", F.least(F.col("last_cycle"), F.col("unit_id") % 50 + 1).alias("end_cycle"))
+    made = sequences.endpoint_sequences(rows, ends, SEQUENCE_FEATURES, contiguous=True)
+    scored = models.score_sequences(made, lambda stacked: stacked.astype("float64").mean(axis=(1, 2)))
+    return scored.withColumn("prediction", F.round(F.col("prediction") + 5e-5, 3))
+
+
+@query
+def scaler_pipeline(spark, folder):
+    """The storable scaling pipeline on all rows."""
+    rows = source.telemetry(spark, folder)
+    fitted = models.fit_scaler_pipeline(rows, SENSORS)
+    return rounded(models.apply_scaler_pipeline(rows, fitted, SENSORS).select("subset", "unit_id", "cycle", *SENSORS))
+
+
+# ---------------------------------------------------------------- streams, replayed to their end
+
+
+def scratch(spark) -> str:
+    """A fresh folder for one run, under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/replay-{uuid.uuid4().hex}"
+
+
+def replayed(spark, stream) -> DataFrame:
+    folder = scratch(spark)
+    traffic.write_rows(stream, f"{folder}/rows", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
+
+
+def totals(spark, stream) -> DataFrame:
+    folder = scratch(spark)
+    traffic.write_totals(stream, f"{folder}/rows", f"{folder}/checkpoint").awaitTermination()
+    return traffic.read_totals(spark, f"{folder}/rows")
+
+
+def traffic_replay(spark, folder) -> DataFrame:
+    return traffic.traffic_stream(traffic.replay_events(spark, folder), "1 hour")
+
+
+@query
+def stream_request_totals(spark, folder):
+    return totals(spark, monitoring.request_totals(traffic_replay(spark, folder)))
+
+
+@query
+def stream_request_rate(spark, folder):
+    """Finished windows only: the last ones wait for the watermark."""
+    return replayed(spark, monitoring.request_rate(traffic_replay(spark, folder), WINDOW))
+
+
+@query
+def stream_latency_p95(spark, folder):
+    return replayed(spark, monitoring.latency_quantile(traffic_replay(spark, folder), WINDOW))
+
+
+@query
+def stream_error_alerts(spark, folder):
+    return replayed(spark, traffic.error_alerts(traffic_replay(spark, folder), WINDOW, "2 hours", 3, 0.19))
+
+
+@query
+def stream_silences(spark, folder):
+    return replayed(spark, traffic.silence_starts(traffic_replay(spark, folder), "20 minutes", ("subset", "model_type")))

@@ -20,7 +20,7 @@ def rs(names, digits: int = 6) -> str:
 
 TELE = """
 tele AS (
-  SELECT 'FD00' || (1 + user_id % 4) AS subset, CAST(user_id AS INTEGER) AS unit_id, cycle,
+  SELECT 'FD00' || (1 + user_id % 4) AS subset, CAST(user_id + 1 AS INTEGER) AS unit_id, cycle,
     CASE WHEN user_id % 2 = 1 THEN 10.0e0 * floor(h / 6.0e0) ELSE 0.0e0 END + value / 2000 AS setting_1,
     CASE WHEN user_id % 2 = 1 THEN 0.25e0 * (k % 2) ELSE 0.0e0 END + k / 100000.0e0 AS setting_2,
     100.0e0 AS setting_3, 518.67e0 AS sensor_1, value AS sensor_2, CAST(k AS DOUBLE) AS sensor_3, value * k AS sensor_4,
@@ -606,5 +606,138 @@ define(
 )
 
 
+# ---------------------------------------------------------------- text, requests, state, runs
+
+READABLE = "sensor_2 <= 60 AND sensor_3 >= 10"
+define("text_rows", f"SELECT subset, unit_id, cycle, {rs(SENSORS)} FROM tele WHERE {READABLE}", TELE)
+define(
+    "text_rejects",
+    """SELECT subset, tokens, count(*) AS n_lines FROM (SELECT subset, CASE WHEN sensor_2 > 60 THEN 10 ELSE 26 END AS tokens
+    FROM tele WHERE sensor_2 > 60 OR sensor_3 < 10) GROUP BY subset, tokens""",
+    TELE,
+)
+define(
+    "request_rows",
+    f"""SELECT subset || '-' || unit_id AS request_id, subset, unit_id, cycle, {rs(PAIR)} FROM tele JOIN lens USING (subset, unit_id)
+    WHERE cycle > last_cycle - 30 AND last_cycle BETWEEN 55 AND 80""",
+    TELE,
+)
+define(
+    "request_rejects",
+    """SELECT subset || '-' || unit_id AS request_id, CASE WHEN last_cycle > 80 THEN 'unsupported subset' ELSE 'incomplete observation' END AS reason
+    FROM lens WHERE last_cycle > 80 OR last_cycle < 55""",
+    TELE,
+)
+define("state_round_trip", f"SELECT subset, regime, scaling_strategy, sensor, {rs(['mean', 'std'])} FROM strategy", TELE, REGIMES, STATS)
+define(
+    "state_applied",
+    f"SELECT subset, unit_id, cycle, regime, {rs(SENSORS)} FROM scaled JOIN (SELECT subset, unit_id, cycle FROM trunc_rows) USING (subset, unit_id, cycle)",
+    TELE,
+    REGIMES,
+    STATS,
+    SCALED,
+)
+RUNS = """
+runs AS (
+  SELECT CAST(event_id AS VARCHAR) AS run_id, event_id, ts AS start_time, 'FD00' || (1 + user_id % 4) AS subset,
+    CASE WHEN event_type = 'signup' THEN 'preprocessing' ELSE 'training' END AS kind,
+    CASE WHEN event_type <> 'signup' THEN 'model_' || (user_id % 3) END AS model_type,
+    CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'FINISHED' END AS status,
+    CAST(event_id - 1 AS VARCHAR) AS wanted, CASE WHEN user_id % 5 < 3 THEN 'baseline' ELSE 'temporal' END AS feature_set FROM events
+)
+"""
+define(
+    "latest_run",
+    """SELECT subset, model_type, run_id, start_time FROM (SELECT *, row_number() OVER (PARTITION BY subset, model_type ORDER BY start_time DESC, run_id DESC) AS place
+    FROM runs WHERE kind = 'training' AND status = 'FINISHED') WHERE place = 1""",
+    RUNS,
+)
+define(
+    "run_chain",
+    """SELECT t.run_id AS training_run_id, t.subset, t.model_type, p.run_id AS preprocessing_run_id
+    FROM (SELECT * FROM runs WHERE kind = 'training') t LEFT JOIN (SELECT * FROM runs WHERE kind = 'preprocessing') p ON t.wanted = p.run_id AND t.subset = p.subset""",
+    RUNS,
+)
+define(
+    "run_list",
+    """SELECT run_id, subset, feature_set, 'existing' AS source, NULL AS status FROM runs WHERE status = 'FINISHED' AND feature_set = 'baseline'
+    UNION ALL SELECT run_id, subset, feature_set, 'created', status FROM runs WHERE feature_set = 'temporal'""",
+    RUNS,
+)
+define(
+    "missing_runs",
+    """SELECT subset, feature_set FROM (SELECT DISTINCT subset FROM runs), (VALUES ('baseline'), ('temporal')) f(feature_set)
+    EXCEPT SELECT subset, arg_max(feature_set, event_id) FROM runs GROUP BY subset""",
+    RUNS,
+)
+
+# ---------------------------------------------------------------- preprocessing and scoring
+
+PARTS = """,
+parted AS (
+  SELECT c.*, CASE WHEN is_validation THEN 'validation' ELSE 'train' END AS split FROM complete c JOIN split_units USING (subset, unit_id)
+  UNION ALL SELECT *, 'test' FROM trunc_labelled
+),
+train AS (SELECT * FROM parted WHERE split = 'train')
+"""
+TRAINED_REGIMES = """,
+keyed AS (SELECT *, round_even(setting_1, 0) AS k1, round_even(setting_2, 2) AS k2, round_even(setting_3, 0) AS k3 FROM parted),
+mapping AS (
+  SELECT *, CAST(dense_rank() OVER (PARTITION BY subset ORDER BY k1, k2, k3) AS INTEGER) AS regime
+  FROM (SELECT DISTINCT subset, k1, k2, k3 FROM keyed WHERE split = 'train')
+),
+placed AS (SELECT k.*, m.regime FROM keyed k LEFT JOIN mapping m USING (subset, k1, k2, k3)),
+assigned AS (SELECT * FROM placed WHERE split = 'train'),
+n_regimes AS (SELECT subset, count(*) AS n FROM mapping GROUP BY subset)
+"""
+
+
+def prepared(columns):
+    joins = " ".join(
+        f"LEFT JOIN (SELECT subset, regime, mean AS m_{s}, std AS d_{s} FROM strategy WHERE sensor = '{s}') USING (subset, regime)" for s in SENSORS
+    )
+    z = ", ".join(f"{r(f'CASE WHEN d_{s} = 0 THEN 0.0e0 ELSE ({s} - m_{s}) / d_{s} END')} AS {s}" for s in SENSORS)
+    return f"SELECT {columns}, {z} FROM placed {joins}"
+
+
+define(
+    "preprocessing_summary",
+    """SELECT subset, split, count(*) AS n_rows, count(DISTINCT unit_id) AS n_units, any_value(n) AS n_regimes,
+    CASE WHEN any_value(n) = 1 THEN 'global' ELSE 'regime-aware' END AS scaling_strategy, 4 AS n_features
+    FROM placed JOIN n_regimes USING (subset) GROUP BY subset, split""",
+    TELE,
+    SPLIT,
+    PARTS,
+    TRAINED_REGIMES,
+)
+define(
+    "preprocessed_rows",
+    prepared("subset, split, unit_id, cycle, RUL, regime AS operating_regime"),
+    TELE,
+    SPLIT,
+    PARTS,
+    TRAINED_REGIMES,
+    STATS,
+)
+define(
+    "sequence_scores",
+    """SELECT subset, unit_id, end_cycle AS cycle, round(avg((sensor_2 + sensor_3) / 2) + 5e-5, 3) AS prediction
+    FROM tele JOIN (SELECT subset, unit_id, least(last_cycle, unit_id % 50 + 1) AS end_cycle FROM lens) USING (subset, unit_id)
+    WHERE cycle <= end_cycle AND cycle > end_cycle - 30 GROUP BY subset, unit_id, end_cycle""",
+    TELE,
+)
+define(
+    "scaler_pipeline",
+    "SELECT subset, unit_id, cycle, "
+    + ", ".join(f"{r(f'({s} - avg({s}) OVER ()) / stddev_samp({s}) OVER ()')} AS {s}" for s in SENSORS)
+    + " FROM tele",
+    TELE,
+)
+
+# ---------------------------------------------------------------- streams
+
+define("stream_request_totals", "SELECT status, count(*) AS requests FROM traffic GROUP BY status", TRAFFIC)
+
+
 def all_statements() -> dict[str, str]:
     return dict(STATEMENTS)
