@@ -1,7 +1,7 @@
 """Spark ML regressors: fit, store, score, compare."""
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -29,6 +29,8 @@ BOOSTED_DEFAULTS = {
 DEFAULT_CAPS = {FOREST: None, BOOSTED: RUL_CAP}
 
 FEATURES = "__features"
+# Tree inputs must be finite: a missing feature lies above every threshold.
+MISSING = "1e30"
 
 
 def regressor(kind: str, parameters=None):
@@ -48,17 +50,20 @@ def regressor(kind: str, parameters=None):
 def fit(train: DataFrame, features, kind: str, parameters=None, cap=None) -> PipelineModel:
     """Train on the listed features; only the training target is capped.
 
-    Missing features become NaN in the vector. The trees put NaN above every
-    threshold, in training and scoring alike.
+    The pipeline replaces missing features by one value above all others, so that
+    trees can split on it, in training and scoring alike.
     """
     ensure_checkpoint_dir(train.sparkSession)
     inputs = selection.cap_target(selection.model_inputs(train, features), cap)
-    assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="keep")
-    return Pipeline(stages=[assembler, regressor(kind, parameters)]).fit(inputs)
+    filled = [f"coalesce(nanvl(`{name}`, NULL), {MISSING}) AS `__in_{name}`" for name in features]
+    filling = SQLTransformer(statement=f"SELECT *, {', '.join(filled)} FROM __THIS__")
+    assembler = VectorAssembler(inputCols=[f"__in_{name}" for name in features], outputCol=FEATURES)
+    return Pipeline(stages=[filling, assembler, regressor(kind, parameters)]).fit(inputs)
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    return model.transform(df).drop(FEATURES)
+    """The frame with a ``prediction`` column."""
+    return model.transform(df).select(*df.columns, "prediction")
 
 
 def save(model: PipelineModel, path: str) -> None:
@@ -154,7 +159,7 @@ def evaluate_official(model, test: DataFrame, terminal: DataFrame) -> tuple[dict
 
 def training_losses(model: PipelineModel, train: DataFrame) -> list[float]:
     """Mean squared training error after each boosting round."""
-    assembled = model.stages[0].transform(train)
+    assembled = PipelineModel(model.stages[:-1]).transform(train)
     return model.stages[-1].evaluateEachIteration(assembled, "squared")
 
 
