@@ -1,9 +1,9 @@
 """Durable state tables and size-checked joins.
 
 Learned state (regimes, scaling statistics, split thresholds) is small but is
-computed from everything, so it is written once to the reliable checkpoint
-folder and then joined by broadcast, provided its row count stays under a bound.
-Past the bound the same join runs as a salted shuffle join.
+computed from everything, so it is computed once and then joined by broadcast,
+provided its size stays under a bound. Past the bound it lives in the checkpoint
+folder and the same join runs as a salted shuffle join.
 """
 
 import tempfile
@@ -11,7 +11,8 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
+SETTLED_ROWS = 20_000
+BROADCAST_BYTES = 64 << 20
 SALTS = 64
 
 
@@ -30,25 +31,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Compute a small table once and keep it in the checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def estimated_bytes(df: DataFrame) -> int:
+    """Upper estimate of the planner: file sizes, or the exact size of local rows."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
 
+def settle(df: DataFrame, rows: int = SETTLED_ROWS) -> DataFrame:
+    """Compute a small table once.
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    return df.limit(rows + 1).count() <= rows
+    Up to ``rows`` rows are held as local rows, whose size the planner knows exactly;
+    what is larger goes to the reliable checkpoint folder. Either way later jobs do
+    not depend on the executors that computed it.
+    """
+    spark = df.sparkSession
+    held = df.limit(rows + 1).toArrow()
+    if held.num_rows <= rows:
+        return spark.createDataFrame(held, df.schema)
+    ensure_checkpoint_dir(spark)
+    return df.checkpoint(eager=True)
 
 
-def attach(df: DataFrame, table: DataFrame, on, how="inner", rows: int = BROADCAST_ROWS) -> DataFrame:
+def attach(df: DataFrame, table: DataFrame, on, how="inner", max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Join a settled table to a large frame without moving the large frame.
 
-    ``table`` is broadcast when it has at most ``rows`` rows. Otherwise every row
-    of it is repeated per salt and the large side picks its salt from its own
-    content, so that a key that holds most rows is still spread over tasks.
+    ``table`` is broadcast when its known size is at most ``max_bytes``. Otherwise
+    every row of it is repeated per salt and the large side picks its salt from its
+    own content, so that a key that holds most rows is still spread over tasks.
     """
     on = [on] if isinstance(on, str) else list(on)
-    if is_small(table, rows):
+    if estimated_bytes(table) <= max_bytes:
         return df.join(F.broadcast(table), on, how)
     picked = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")
     repeated = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

@@ -42,25 +42,34 @@ def worst_first(report: DataFrame, n: int | None = None) -> DataFrame:
     return ordered if n is None else ordered.limit(n)
 
 
-def tail_metrics(predictions: DataFrame, by=("subset",)) -> DataFrame:
-    """Worst late and early error (clamped at 0), largest contribution, sum of the top three.
+def _worst(predictions_with_errors: DataFrame, by) -> DataFrame:
+    """Sum of the three largest contributions per group; the rank filter keeps three
+    rows per task and group before anything moves."""
+    errors = predictions_with_errors.select(*by, "score_contribution")
+    order = Window.partitionBy(*by).orderBy(F.col("score_contribution").desc())
+    top = errors.withColumn("place", F.row_number().over(order)).where(F.col("place") <= TOP)
+    return top.groupBy(*by).agg(F.sum("score_contribution").alias(f"top_{TOP}_score_contribution"))
 
-    The rank filter keeps three rows per task and group before anything moves.
-    """
-    errors = with_errors(predictions).select(*by, "error", "score_contribution")
-    ends = errors.groupBy(*by).agg(
+
+def _extremes() -> list:
+    return [
         F.greatest(F.lit(0.0), F.max("error")).alias("worst_positive_error"),
         F.least(F.lit(0.0), F.min("error")).alias("worst_negative_error"),
         F.max("score_contribution").alias("largest_score_contribution"),
-    )
-    order = Window.partitionBy(*by).orderBy(F.col("score_contribution").desc())
-    top = errors.withColumn("place", F.row_number().over(order)).where(F.col("place") <= TOP)
-    sums = top.groupBy(*by).agg(F.sum("score_contribution").alias(f"top_{TOP}_score_contribution"))
-    return ends.join(sums, list(by))
+    ]
+
+
+def tail_metrics(predictions: DataFrame, by=("subset",)) -> DataFrame:
+    """Worst late and early error (clamped at 0), largest contribution, sum of the top three."""
+    errors = with_errors(predictions)
+    return errors.groupBy(*by).agg(*_extremes()).join(_worst(errors, by), list(by))
 
 
 def all_metrics(predictions: DataFrame, by=("subset",)) -> DataFrame:
-    return row_metrics(predictions, by).join(tail_metrics(predictions, by), list(by))
+    """Row and tail metrics together."""
+    errors = with_errors(predictions)
+    main = errors.groupBy(*by).agg(*regression_metrics(F.col("error")), *_extremes())
+    return main.join(_worst(errors, by), list(by))
 
 
 def robustness_summary(by_seed: DataFrame, by=("subset", "candidate", "role")) -> DataFrame:

@@ -13,9 +13,13 @@ SAMPLE = 20
 
 def fit_regimes(train: DataFrame) -> DataFrame:
     """(subset, rounded settings, regime): regimes numbered from 1 in key order."""
-    seen = train.select("subset", *regime_keys()).distinct()
+    return number_regimes(train.select("subset", *regime_keys()).distinct())
+
+
+def number_regimes(seen: DataFrame) -> DataFrame:
+    """Number the distinct settings of each subset."""
     number = F.dense_rank().over(Window.partitionBy("subset").orderBy(*KEYS))
-    return seen.withColumn("regime", number.cast("int"))
+    return seen.select("subset", *KEYS, number.cast("int").alias("regime"))
 
 
 def join_regimes(df: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -49,12 +49,8 @@ def strategies(mapping: DataFrame) -> DataFrame:
     )
 
 
-def fit_by_strategy(train: DataFrame, mapping: DataFrame, sensors) -> DataFrame:
-    """Statistics of all subsets at once, each under its own strategy.
-
-    A subset with a single regime has one group, which is the subset, so one
-    aggregate by (subset, regime) serves both and only the deviation differs.
-    """
+def moments(sensors) -> list:
+    """Mean and both deviations of each sensor, as aggregates."""
     stats = []
     for s in sensors:
         stats += [
@@ -62,7 +58,20 @@ def fit_by_strategy(train: DataFrame, mapping: DataFrame, sensors) -> DataFrame:
             _deviation(s, True).alias(f"samp__{s}"),
             _deviation(s, False).alias(f"pop__{s}"),
         ]
-    grouped = train.groupBy("subset", "regime").agg(*stats)
+    return stats
+
+
+def fit_by_strategy(train: DataFrame, mapping: DataFrame, sensors) -> DataFrame:
+    """Statistics of all subsets at once, each under its own strategy."""
+    return choose_by_strategy(train.groupBy("subset", "regime").agg(*moments(sensors)), mapping, sensors)
+
+
+def choose_by_strategy(grouped: DataFrame, mapping: DataFrame, sensors) -> DataFrame:
+    """Pick the deviation of each subset's strategy from moments by (subset, regime).
+
+    A subset with a single regime has one group, which is the subset, so the same
+    aggregate serves both strategies.
+    """
     chosen = grouped.join(strategies(mapping), "subset")
     single = F.col("scaling_strategy") == GLOBAL
     wide = chosen.select(

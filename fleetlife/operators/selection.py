@@ -7,6 +7,11 @@ from fleetlife.functions.expressions import capped
 from fleetlife.schema import PROTECTED, feature_columns, measurements_in, sensors_in
 
 
+def ranges(names) -> list:
+    """Minimum and maximum of each column, as ``lo__`` and ``hi__`` aggregates."""
+    return [f(name).alias(f"{side}__{name}") for name in names for side, f in (("lo", F.min), ("hi", F.max))]
+
+
 def constant_columns(train: DataFrame) -> DataFrame:
     """Per subset, the measurements with one single value, and the sensors that remain.
 
@@ -14,8 +19,11 @@ def constant_columns(train: DataFrame) -> DataFrame:
     constant.
     """
     names = measurements_in(train.columns)
-    ranges = [f(name).alias(f"{side}__{name}") for name in names for side, f in (("lo", F.min), ("hi", F.max))]
-    spans = train.groupBy("subset").agg(*ranges)
+    return constants_of_ranges(train.groupBy("subset").agg(*ranges(names)), names)
+
+
+def constants_of_ranges(spans: DataFrame, names) -> DataFrame:
+    """Constant and retained columns from per-subset ranges."""
 
     def picked(wanted, keep):
         flags = [

@@ -19,6 +19,7 @@ def split_thresholds(df: DataFrame, fraction=VALIDATION_FRACTION, seed=SPLIT_SEE
 
     The k-th smallest hash is found by counting hash buckets first, then ranking
     the units of the one bucket the k-th falls into; units are never all sorted.
+    A subset with a single unit cannot be split and has nulls.
     """
     if not 0.0 < fraction < 1.0:
         raise ValueError("the validation fraction must lie strictly between 0 and 1")
@@ -34,14 +35,16 @@ def split_thresholds(df: DataFrame, fraction=VALIDATION_FRACTION, seed=SPLIT_SEE
         F.sum("n").over(subset.orderBy("bucket")).alias("through"),
     )
     wanted = F.least(F.col("n_units") - 1, F.greatest(F.lit(1), F.floor(F.col("n_units") * F.lit(fraction) + 0.5)))
-    edge = ranked.withColumn("k", wanted).where((F.col("through") >= F.col("k")) & (F.col("through") - F.col("n") < F.col("k")))
+    edge = ranked.withColumn("k", F.greatest(F.lit(1), wanted))
+    edge = edge.where((F.col("through") >= F.col("k")) & (F.col("through") - F.col("n") < F.col("k")))
     edge = edge.select("subset", "bucket", "n_units", (F.col("k") - F.col("through") + F.col("n")).alias("rest"))
     in_edge = scored.join(edge, ["subset", "bucket"])
     rank = F.row_number().over(Window.partitionBy("subset").orderBy("score", "unit_id"))
+    several = F.col("n_units") > 1
     return (
         in_edge.withColumn("rank", rank)
         .where(F.col("rank") == F.col("rest"))
-        .select("subset", F.col("score").alias("last_score"), F.col("unit_id").alias("last_unit"))
+        .select("subset", F.when(several, F.col("score")).alias("last_score"), F.when(several, F.col("unit_id")).alias("last_unit"))
     )
 
 
@@ -49,19 +52,14 @@ def flag_validation(df: DataFrame, fraction=VALIDATION_FRACTION, seed=SPLIT_SEED
     """Add ``is_validation``: a comparison per row, the rows do not move."""
     if thresholds is None:
         thresholds = settle(split_thresholds(df, fraction, seed))
-        reject_single_unit_subsets(df, thresholds)
+        single = thresholds.where(F.col("last_unit").isNull()).take(1)
+        if single:
+            raise ValueError(f"at least two units are required for a split: {single[0]['subset']}")
     score = _score(seed)
     inside = (score < F.col("last_score")) | ((score == F.col("last_score")) & (F.col("unit_id") <= F.col("last_unit")))
     return attach(df, thresholds, "subset", "left").select(*df.columns, inside.alias(FLAG))
 
 
-def reject_single_unit_subsets(df: DataFrame, thresholds: DataFrame) -> None:
-    """A subset with one unit has no threshold and cannot be split."""
-    lacking = df.select("subset").distinct().join(F.broadcast(thresholds), "subset", "left_anti").take(1)
-    if lacking:
-        raise ValueError(f"at least two units are required for a split: {lacking[0]['subset']}")
-
-
 def split_by_unit(df: DataFrame, fraction=VALIDATION_FRACTION, seed=SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
     """(train, validation); the units stay whole."""
     flagged = flag_validation(df, fraction, seed)

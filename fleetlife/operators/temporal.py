@@ -64,6 +64,10 @@ def temporal_features(
     a block it is a running sum of x weighted by (1 - alpha)^-rank, scaled back by
     (1 - alpha)^rank: one pass, no arrays. A later block starts ``ewma_memory`` rows
     early, so what it leaves out is below double precision.
+
+    Frames are read through row offsets and summed in plain expressions, which costs a
+    quarter of sliding window aggregates. A sensor has a reading in every row of a unit
+    (the validated case) or in none, which gives nulls.
     """
     if alpha is not None and not 0.0 < alpha <= 1.0:
         raise ValueError("alpha must lie in (0, 1]")
@@ -78,28 +82,79 @@ def temporal_features(
 
     blocked = to_blocks(df, lead_in, keys, block_rows, contiguous)
     w = block_window(keys)
-    made = [F.lag(s, k).over(w).alias(f"{s}_lag_{k}") for s in sensors for k in lags]
-    for k in windows:
-        frame = w.rowsBetween(1 - k, 0)
-        for s in sensors:
-            made += [
-                F.avg(s).over(frame).alias(f"{s}_rolling_mean_{k}"),
-                F.stddev_samp(s).over(frame).alias(f"{s}_rolling_std_{k}"),
-                F.regr_slope(s, "cycle").over(frame).alias(f"{s}_rolling_slope_{k}"),
-            ]
-    out = blocked.select("*", *made, (F.row_number().over(w) - 1).alias(RANK))
-
-    differences = [(F.col(s) - F.col(f"{s}_lag_{k}")).alias(f"{s}_diff_{k}") for s in sensors for k in lags]
-    smoothed = []
+    reach = max(windows, default=1) - 1
+    offsets = sorted({*lags, *range(1, reach + 1)})
+    before = [F.lag(s, k).over(w).alias(f"__{s}_{k}") for k in offsets for s in sensors]
+    if windows:
+        before += [F.lag("cycle", k).over(w).alias(f"__cycle_{k}") for k in range(1, reach + 1)]
+    out = blocked.select("*", *before, F.row_number().over(w).alias(RANK))
+
+    made = [f"`__{s}_{k}` AS `{s}_lag_{k}`" for s in sensors for k in lags]
+    made += [f"`{s}` - `__{s}_{k}` AS `{s}_diff_{k}`" for s in sensors for k in lags]
     if weighted:
-        growth = F.pow(F.lit(1.0 - alpha), -F.col(RANK))
-        share = F.when(F.col(RANK) == 0, F.lit(1.0)).otherwise(F.lit(alpha)) * growth
-        running = w.rowsBetween(Window.unboundedPreceding, 0)
-        for s in sensors:
-            smoothed.append((F.sum(F.col(s) * share).over(running) * F.pow(F.lit(1.0 - alpha), F.col(RANK))).alias(f"{s}_ewma"))
+        growth = f"power({1.0 - alpha!r}D, 1 - {RANK})"
+        made += [f"`{s}` * if({RANK} = 1, 1D, {alpha!r}D) * {growth} AS `__w_{s}`" for s in sensors]
+    out = out.selectExpr(*_columns(blocked), RANK, *made, *_segment_sums(sensors, windows))
+
+    made = [f"`{s}_{kind}_{k}`" for s in sensors for k in lags for kind in ("lag", "diff")]
+    made += _frame_statistics(sensors, windows)
+    if weighted:
+        out = out.select("*", *(F.sum(f"__w_{s}").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"__y_{s}") for s in sensors))
+        made += [f"`__y_{s}` * power({1.0 - alpha!r}D, {RANK} - 1) AS `{s}_ewma`" for s in sensors]
     elif alpha is not None:
-        smoothed = [F.col(s).alias(f"{s}_ewma") for s in sensors]
-    return own_rows(out.select("*", *differences, *smoothed)).select(*df.columns, *names)
+        made += [f"`{s}` AS `{s}_ewma`" for s in sensors]
+    return own_rows(out.selectExpr(*_columns(blocked), *made)).select(*df.columns, *names)
+
+
+def _columns(df: DataFrame) -> list[str]:
+    return [f"`{name}`" for name in df.columns]
+
+
+def _segments(windows) -> list[tuple[int, int, int]]:
+    """(window, first offset, last offset): the rows each window adds to the next smaller one."""
+    ordered = sorted(set(windows))
+    return [(k, start, k - 1) for k, start in zip(ordered, [1, *ordered])]
+
+
+def _segment_sums(sensors, windows) -> list[str]:
+    """Sums of x, x squared and x times cycle per segment, relative to the current row.
+
+    With d = x(t-i) - x(t) the shift is a member of every frame, so the sum of squares is
+    at most n times the centred one and the subtraction later loses no digits.
+    """
+    sums = []
+    for k, first, last in _segments(windows):
+        reach = range(first, last + 1)
+        e = [f"coalesce(`__cycle_{i}` - cycle, 0)" for i in reach]
+        sums.append(f"{' + '.join(e) or '0'} AS `__e_{k}`")
+        sums.append(f"{' + '.join(f'{x} * {x}' for x in e) or '0'} AS `__ee_{k}`")
+        for s in sensors:
+            d = [f"coalesce(`__{s}_{i}` - `{s}`, 0D)" for i in reach]
+            sums.append(f"{' + '.join(d) or '0D'} AS `__d_{s}_{k}`")
+            sums.append(f"{' + '.join(f'{x} * {x}' for x in d) or '0D'} AS `__dd_{s}_{k}`")
+            sums.append(f"{' + '.join(f'{x} * {y}' for x, y in zip(d, e)) or '0D'} AS `__de_{s}_{k}`")
+    return sums
+
+
+def _frame_statistics(sensors, windows) -> list[str]:
+    """Mean, sample deviation and slope per frame from the segment sums."""
+    made = []
+    smaller = []
+    for k, _, _ in _segments(windows):
+        smaller.append(k)
+
+        def total(name):
+            return "(" + " + ".join(f"`{name}_{j}`" for j in smaller) + ")"
+
+        n = f"least({RANK}, {k})"
+        spread = f"({total('__ee')} - {total('__e')} * {total('__e')} / {n})"
+        for s in sensors:
+            d, dd, de = (total(f"__{name}_{s}") for name in ("d", "dd", "de"))
+            known = f"{n} > 1 AND `{s}` IS NOT NULL"
+            made.append(f"`{s}` + {d} / {n} AS `{s}_rolling_mean_{k}`")
+            made.append(f"if({known}, sqrt(greatest(0D, {dd} - {d} * {d} / {n}) / ({n} - 1)), NULL) AS `{s}_rolling_std_{k}`")
+            made.append(f"if({known}, ({de} - {d} * {total('__e')} / {n}) / {spread}, NULL) AS `{s}_rolling_slope_{k}`")
+    return made
 
 
 def lag_difference(df: DataFrame, sensors, lags=LAGS, **options) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
-from fleetlife.cluster import attach, settle
+from fleetlife.cluster import attach, estimated_bytes, settle
 from fleetlife.schema import UNIT
 
 BLOCK_ROWS = 2048
@@ -49,9 +49,13 @@ def number_by_time(df: DataFrame, group, ts: str, ties, name: str, heavy_rows: i
 
     Groups above ``heavy_rows`` are looked up first (a combined count, at most
     ``rows / heavy_rows`` results) and cut into time slices; without any, one
-    window does it.
+    window does it. An input of fewer than two bytes per allowed row cannot hold a
+    heavy group and is not searched.
     """
     group = list(group)
+    in_time = F.row_number().over(Window.partitionBy(*group).orderBy(ts, *ties))
+    if estimated_bytes(df) <= 2 * heavy_rows:
+        return df.withColumn(name, in_time)
     second = epoch_second(df, ts)
     heavy = (
         df.groupBy(*group)
@@ -66,8 +70,7 @@ def number_by_time(df: DataFrame, group, ts: str, ties, name: str, heavy_rows: i
         )
     )
     if not heavy.take(1):
-        order = Window.partitionBy(*group).orderBy(ts, *ties)
-        return df.withColumn(name, F.row_number().over(order))
+        return df.withColumn(name, in_time)
     sliced = attach(df, settle(heavy), group, "left").withColumn(
         "__slice", F.coalesce(F.floor((second - F.col("__lo")) / F.col("__width")), F.lit(0))
     )

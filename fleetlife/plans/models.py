@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetlife.cluster import ensure_checkpoint_dir
+from fleetlife.cluster import ensure_checkpoint_dir, settle
 from fleetlife.functions.expressions import target_name
 from fleetlife.operators import endpoints, evaluation, selection
 from fleetlife.schema import OBSERVED_FRACTION, RUL_CAP, SPLIT_SEED, UNIT, feature_columns, feature_set
@@ -187,8 +187,8 @@ def candidate_matrix(candidates) -> DataFrame | None:
 
 
 def seed_sweep(candidates) -> DataFrame:
-    """Metrics per candidate and seed."""
-    return evaluation.all_metrics(candidate_matrix(candidates), ("subset", "candidate", "role", "seed"))
+    """Metrics per candidate and seed: a small table that reports read several times."""
+    return settle(evaluation.all_metrics(candidate_matrix(candidates), ("subset", "candidate", "role", "seed")))
 
 
 def score_sequences(sequences: DataFrame, scorer, batch_rows: int = 256) -> DataFrame:

@@ -14,9 +14,9 @@ from fleetlife.sources import tables, telemetry_text
 
 def label_and_split(train: DataFrame, test: DataFrame, terminal: DataFrame, fraction, seed) -> DataFrame:
     """Labelled rows of the three parts in one frame with a ``split`` column."""
-    labelled = split.flag_validation(labels.label_complete(train), fraction, seed)
     part = F.when(F.col(split.FLAG), "validation").otherwise("train")
-    complete = labelled.withColumn("split", part).drop(split.FLAG)
+    flagged = split.flag_validation(train, fraction, seed).withColumn("split", part).drop(split.FLAG)
+    complete = labels.label_complete(flagged).select(*train.columns, "RUL", "split")
     return complete.unionByName(labels.label_truncated(test, terminal).withColumn("split", F.lit("test")))
 
 
@@ -94,7 +94,8 @@ def run(
         quality.raise_if_any(quality.telemetry_violations(rows), f"{part} histories")
     quality.raise_if_any(quality.terminal_violations(test, terminal), "terminal RUL")
 
-    labelled = label_and_split(train, test, terminal, fraction, seed)
+    label_and_split(train, test, terminal, fraction, seed).write.parquet(f"{staged}/labelled")
+    labelled = spark.read.parquet(f"{staged}/labelled")
     fitted = state.fit(labelled.where(F.col("split") == "train").drop("split"))
     stored = state.check(state.as_rows(fitted))
     processed = prepare(labelled, fitted, include_temporal).withColumn("run_id", F.lit(run_id))

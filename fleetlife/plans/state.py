@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlife.cluster import settle
+from fleetlife.functions.expressions import regime_keys
 from fleetlife.operators import regimes, scaling, selection
-from fleetlife.schema import SENSORS, SETTINGS, STATE, sensors_in
+from fleetlife.schema import SENSORS, SETTINGS, STATE, measurements_in, sensors_in
 
 FIELDS = STATE.fieldNames()
 
@@ -26,11 +27,19 @@ class Fitted:
 
 
 def fit(train: DataFrame) -> Fitted:
-    """Learn regimes, constants and scaling from training rows of all subsets."""
-    mapping = settle(regimes.fit_regimes(train))
-    assigned = regimes.join_regimes(train, mapping)
-    constants = settle(selection.constant_columns(train))
-    statistics = scaling.fit_by_strategy(assigned, mapping, sensors_in(train.columns))
+    """Learn regimes, constants and scaling of all subsets from one pass over the rows.
+
+    The rows are aggregated once by rounded settings; the regimes are the groups, the
+    ranges of the groups give the constants, and their moments the scaling.
+    """
+    names, sensors = measurements_in(train.columns), sensors_in(train.columns)
+    grouped = train.select("*", *regime_keys()).groupBy("subset", *regimes.KEYS)
+    profile = settle(grouped.agg(*selection.ranges(names), *scaling.moments(sensors)))
+    mapping = settle(regimes.number_regimes(profile))
+    spans = [f(f"{side}__{n}").alias(f"{side}__{n}") for n in names for side, f in (("lo", F.min), ("hi", F.max))]
+    constants = settle(selection.constants_of_ranges(profile.groupBy("subset").agg(*spans), names))
+    numbered = profile.join(mapping, ["subset", *regimes.KEYS])
+    statistics = scaling.choose_by_strategy(numbered, mapping, sensors)
     retained = constants.select("subset", F.explode("retained_sensor_columns").alias("sensor"))
     return Fitted(mapping, constants, settle(statistics.join(retained, ["subset", "sensor"])))
 

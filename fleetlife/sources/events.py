@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from fleetlife.operators.trajectory import HEAVY_ROWS, number_by_time, with_unit_facts
 from fleetlife.schema import TERMINAL_COLUMN
 
-VIEW_SENSORS = ("sensor_1", "sensor_2", "sensor_3", "sensor_4", "sensor_5")
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
 def read_events(spark: SparkSession, folder: str, columns) -> DataFrame:
-    return spark.read.parquet(f"{folder}/events.parquet").select(*columns)
+    return spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet").select(*columns)
 
 
 def telemetry_view(events: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:

@@ -10,12 +10,10 @@ from pyspark.sql import functions as F
 from fleetlife.operators import monitoring
 from fleetlife.sources import events
 
-EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-
 
 def replay_events(spark: SparkSession, folder: str, files_per_trigger: int = 1) -> DataFrame:
     """A folder of event files as a stream, oldest file first."""
-    reader = spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
+    reader = spark.readStream.schema(events.EVENTS).option("maxFilesPerTrigger", files_per_trigger)
     return reader.option("pathGlobFilter", "events*.parquet").parquet(folder)
 
 

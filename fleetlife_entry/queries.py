@@ -119,7 +119,7 @@ def candidate_predictions(spark, folder) -> DataFrame:
 
 
 def seed_metrics(spark, folder) -> DataFrame:
-    return evaluation.all_metrics(candidate_predictions(spark, folder), ("subset", "candidate", "role", "seed"))
+    return settle(evaluation.all_metrics(candidate_predictions(spark, folder), ("subset", "candidate", "role", "seed")))
 
 
 # ---------------------------------------------------------------- ingest and quality
@@ -288,9 +288,8 @@ def scaled_global(spark, folder):
 
 
 def scaled(spark, folder) -> DataFrame:
-    rows, mapping = with_regimes(spark, folder)
-    fitted = settle(scaling.fit_by_strategy(rows, mapping, SENSORS))
-    return scaling.apply_scaler(rows, fitted, SENSORS)
+    rows = source.telemetry(spark, folder)
+    return state.apply(rows, state.fit(rows), strict=False)
 
 
 @query
@@ -358,12 +357,9 @@ def feature_parity(spark, folder):
 
 @query
 def model_ready(spark, folder):
-    rows, mapping = with_regimes(spark, folder)
-    fitted = settle(scaling.fit_by_strategy(rows, mapping, SENSORS))
-    scaled_rows = scaling.apply_scaler(rows, fitted, SENSORS)
-    labelled = trajectory.with_unit_facts(scaled_rows, source.history_lengths(spark, folder))
-    labelled = labelled.withColumn("RUL", (F.col("last_cycle") - F.col("cycle")).cast("int"))
-    return rounded(selection.model_ready(labelled, sensors_in(SENSORS)))
+    rows = complete(spark, folder)
+    fitted = state.fit(source.telemetry(spark, folder))
+    return rounded(selection.model_ready(state.apply(rows, fitted, strict=False), sensors_in(SENSORS)))
 
 
 @query
@@ -705,10 +701,18 @@ def missing_runs(spark, folder):
 # ---------------------------------------------------------------- preprocessing, models, scoring
 
 
+def staged(spark, rows) -> DataFrame:
+    """Rows written once to the shared scratch folder, where later passes read by column."""
+    path = f"{scratch(spark)}/staged"
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def processed(spark, folder, include_temporal=False):
     """Split, fitted and prepared telemetry: (rows of all parts, state tables)."""
     test = source.truncated_telemetry(spark, folder)
-    labelled = preprocess.label_and_split(source.telemetry(spark, folder), test, source.terminal_view(spark, folder), 0.2, 42)
+    rows = preprocess.label_and_split(source.telemetry(spark, folder), test, source.terminal_view(spark, folder), 0.2, 42)
+    labelled = staged(spark, rows)
     fitted = state.fit(labelled.where(F.col("split") == "train").drop("split"))
     return preprocess.prepare(labelled, fitted, include_temporal), fitted
 
