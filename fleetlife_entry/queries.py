@@ -831,22 +831,30 @@ def stream_request_totals(spark, folder):
     return totals(spark, monitoring.request_totals(traffic_replay(spark, folder)))
 
 
+def zone_free(df: DataFrame) -> DataFrame:
+    """Timestamps as the events table has them, without a zone."""
+    stamps = {f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp"}
+    return df.select(*(F.col(c).cast("timestamp_ntz").alias(c) if c in stamps else F.col(c) for c in df.columns))
+
+
 @query
 def stream_request_rate(spark, folder):
     """Finished windows only: the last ones wait for the watermark."""
-    return replayed(spark, monitoring.request_rate(traffic_replay(spark, folder), WINDOW))
+    return zone_free(rounded(replayed(spark, monitoring.request_rate(traffic_replay(spark, folder), WINDOW))))
 
 
 @query
 def stream_latency_p95(spark, folder):
-    return replayed(spark, monitoring.latency_quantile(traffic_replay(spark, folder), WINDOW))
+    return zone_free(rounded(replayed(spark, monitoring.latency_quantile(traffic_replay(spark, folder), WINDOW))))
 
 
 @query
 def stream_error_alerts(spark, folder):
-    return replayed(spark, traffic.error_alerts(traffic_replay(spark, folder), WINDOW, "2 hours", 3, 0.19))
+    """Spans of three windows, two hours apart, that all breach."""
+    return zone_free(replayed(spark, traffic.error_alerts(traffic_replay(spark, folder), WINDOW, "2 hours", 3, 0.19)))
 
 
 @query
 def stream_silences(spark, folder):
-    return replayed(spark, traffic.silence_starts(traffic_replay(spark, folder), "20 minutes", ("subset", "model_type")))
+    starts = traffic.silence_starts(traffic_replay(spark, folder), "20 minutes", ("subset", "model_type"))
+    return zone_free(replayed(spark, starts))

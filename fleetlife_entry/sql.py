@@ -739,5 +739,65 @@ define(
 define("stream_request_totals", "SELECT status, count(*) AS requests FROM traffic GROUP BY status", TRAFFIC)
 
 
+WATERMARK = "(SELECT max(ts) - INTERVAL '1 hour' FROM traffic)"
+define("stream_request_rate", f"SELECT * FROM ({tumbling(PER_SECOND, 'status')}) WHERE window_end <= {WATERMARK}", TRAFFIC)
+define(
+    "stream_latency_p95",
+    f"SELECT * REPLACE ({r('latency_p95_s')} AS latency_p95_s) FROM ({histogram_quantile(GROUPED)}) WHERE window_end <= {WATERMARK}",
+    TRAFFIC,
+)
+define(
+    "stream_error_alerts",
+    "SELECT window_end - INTERVAL '6 hours' AS span_start, window_end AS span_end FROM ("
+    + held(sliding(f"{ERROR_PERCENT} AS error_percent", ""), "error_percent > 100 * 0.19e0", 3, "INTERVAL '2 hours'")
+    + f") WHERE firing AND window_end <= {WATERMARK}",
+    TRAFFIC,
+)
+define(
+    "stream_silences",
+    f"""SELECT subset, model_type, max(ts) AS silent_from, count(*) AS requests FROM (
+      SELECT *, sum(CASE WHEN fresh THEN 1 ELSE 0 END) OVER (PARTITION BY subset, model_type ORDER BY ts) AS session FROM (
+        SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY subset, model_type ORDER BY ts) >= INTERVAL '20 minutes', true) AS fresh FROM traffic))
+    GROUP BY subset, model_type, session HAVING max(ts) + INTERVAL '20 minutes' <= {WATERMARK}""",
+    TRAFFIC,
+)
+
+# ---------------------------------------------------------------- sampled requests
+
+SIGNED = "CASE WHEN {h} >= 9223372036854775808::UHUGEINT THEN {h}::HUGEINT - 18446744073709551616::HUGEINT ELSE {h}::HUGEINT END"
+SAMPLE = (
+    ", eligible AS (SELECT subset, unit_id, cycle, sensor_2 FROM tele WHERE cycle >= 30)"
+    + hash_step("eligible", "unit_id", "42::UHUGEINT", "e1")
+    + hash_step("e1", "cycle", "e1_hash", "e2")
+    + hash_step("e2", "42", "e2_hash", "e3")
+    + f""",
+picked AS (
+  SELECT subset, unit_id, cycle, sensor_2 FROM (
+    SELECT *, row_number() OVER (PARTITION BY subset, unit_id ORDER BY {SIGNED.format(h='e3_hash')}, cycle) AS place FROM e3) WHERE place = 1
+)"""
+    + hash_step("picked", "unit_id", "42::UHUGEINT", "p1")
+    + hash_step("p1", "1042", "p1_hash", "p2")
+    + f""",
+shares AS (
+  SELECT subset, floor(50 / n) + CASE WHEN place < 50 % n THEN 1 ELSE 0 END AS quota
+  FROM (SELECT subset, row_number() OVER (ORDER BY subset) - 1 AS place, count(*) OVER () AS n FROM (SELECT DISTINCT subset FROM tele))
+),
+sampled AS (
+  SELECT subset, unit_id, cycle, sensor_2, draw FROM (
+    SELECT *, CAST(row_number() OVER (PARTITION BY subset ORDER BY {SIGNED.format(h='p2_hash')}, unit_id) AS INTEGER) AS draw FROM p2)
+  JOIN shares USING (subset) WHERE draw <= quota
+)
+"""
+)
+define("request_sample", f"SELECT subset, unit_id, cycle, {r('sensor_2')} AS sensor_2, draw FROM sampled", TELE, SAMPLE)
+define(
+    "request_histories",
+    f"""SELECT t.subset, t.unit_id, s.cycle AS end_cycle, t.cycle, {r('t.sensor_2')} AS sensor_2
+    FROM sampled s JOIN tele t ON t.subset = s.subset AND t.unit_id = s.unit_id AND t.cycle <= s.cycle AND t.cycle > s.cycle - 30""",
+    TELE,
+    SAMPLE,
+)
+
+
 def all_statements() -> dict[str, str]:
     return dict(STATEMENTS)

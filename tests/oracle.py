@@ -24,7 +24,9 @@ def plain(value):
         return value.replace(tzinfo=None).isoformat()
     if isinstance(value, float) and math.isnan(value):
         return "nan"
-    return round(float(value), 6) + 0.0
+    number = float(value)
+    # Sums of exponentials reach sizes where the order of addition moves the last digit.
+    return float(f"{number:.12g}") if abs(number) > 1e9 else round(number, 6) + 0.0
 
 
 def ordered(columns, rows):

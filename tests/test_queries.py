@@ -1,4 +1,5 @@
-"""Every registered query runs; those with SQL agree with it value by value."""
+"""Registered queries on the given tables; the trajectory queries are compared with
+SQL in test_skew.py, on harder data."""
 
 import pytest
 from conftest import SMALL
@@ -8,6 +9,8 @@ import __spark_entry__ as entry
 
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()
+# Queries on tables other than events.
+UNSKEWED = ["cycle_violations", "cycle_profile"]
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +22,7 @@ def test_every_statement_belongs_to_a_query():
     assert set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
+@pytest.mark.parametrize("name", ["telemetry", "temporal_features", "metrics", "split_validation", *UNSKEWED])
 def test_query_equals_sql(spark, con, name):
     assert differences(QUERIES[name](spark, SMALL), con, SQL[name]) == ""
 
