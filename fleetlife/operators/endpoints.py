@@ -62,7 +62,8 @@ def duplicate_units(terminal: DataFrame, keys=UNIT) -> DataFrame:
 def random_rows(df: DataFrame, seed: int, minimum_cycle=0, keys=UNIT) -> DataFrame:
     """One row per unit, picked by hash order: stable under any partitioning."""
     eligible = df.where(F.col("cycle") >= minimum_cycle)
-    draw = F.struct(F.xxhash64(F.col("unit_id"), F.col("cycle"), F.lit(seed)).alias("h"), F.col("cycle").alias("c"))
+    # A plain number, so that the aggregate hashes instead of sorting.
+    draw = F.xxhash64(F.col("unit_id"), F.col("cycle"), F.lit(seed))
     picks = [F.min_by(name, "__draw").alias(name) for name in df.columns if name not in keys]
     return eligible.withColumn("__draw", draw).groupBy(*keys).agg(*picks)
 

@@ -82,24 +82,26 @@ def temporal_features(
 
     blocked = to_blocks(df, lead_in, keys, block_rows, contiguous)
     w = block_window(keys)
-    reach = max(windows, default=1) - 1
-    offsets = sorted({*lags, *range(1, reach + 1)})
-    before = [F.lag(s, k).over(w).alias(f"__{s}_{k}") for k in offsets for s in sensors]
-    if windows:
-        before += [F.lag("cycle", k).over(w).alias(f"__cycle_{k}") for k in range(1, reach + 1)]
-    out = blocked.select("*", *before, F.row_number().over(w).alias(RANK))
-
-    made = [f"`__{s}_{k}` AS `{s}_lag_{k}`" for s in sensors for k in lags]
-    made += [f"`{s}` - `__{s}_{k}` AS `{s}_diff_{k}`" for s in sensors for k in lags]
+    out = blocked.withColumn(RANK, F.row_number().over(w))
+    segments = _segments(windows)
+    covered = {i for _, first, last in segments for i in range(first, last + 1)}
+    direct = [k for k in lags if k not in covered]
+    if direct:
+        shifted = [F.lag(s, k).over(w).alias(f"__{s}_{k}") for k in direct for s in sensors]
+        out = out.select("*", *shifted).selectExpr(*_columns(out), *_lag_features(sensors, direct))
+    step = 0
+    for k, first, last in segments:
+        out = _add_segment(out, w, sensors, k, step, range(first, last + 1), lags)
+        step = max(step, last)
     if weighted:
         growth = f"power({1.0 - alpha!r}D, 1 - {RANK})"
-        made += [f"`{s}` * if({RANK} = 1, 1D, {alpha!r}D) * {growth} AS `__w_{s}`" for s in sensors]
-    out = out.selectExpr(*_columns(blocked), RANK, *made, *_segment_sums(sensors, windows))
+        shares = [f"`{s}` * if({RANK} = 1, 1D, {alpha!r}D) * {growth} AS `__w_{s}`" for s in sensors]
+        running = w.rowsBetween(Window.unboundedPreceding, 0)
+        out = out.selectExpr("*", *shares).select("*", *(F.sum(f"__w_{s}").over(running).alias(f"__y_{s}") for s in sensors))
 
     made = [f"`{s}_{kind}_{k}`" for s in sensors for k in lags for kind in ("lag", "diff")]
     made += _frame_statistics(sensors, windows)
     if weighted:
-        out = out.select("*", *(F.sum(f"__w_{s}").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"__y_{s}") for s in sensors))
         made += [f"`__y_{s}` * power({1.0 - alpha!r}D, {RANK} - 1) AS `{s}_ewma`" for s in sensors]
     elif alpha is not None:
         made += [f"`{s}` AS `{s}_ewma`" for s in sensors]
@@ -110,30 +112,40 @@ def _columns(df: DataFrame) -> list[str]:
     return [f"`{name}`" for name in df.columns]
 
 
+def _lag_features(sensors, lags) -> list[str]:
+    made = [f"`__{s}_{k}` AS `{s}_lag_{k}`" for s in sensors for k in lags]
+    return made + [f"`{s}` - `__{s}_{k}` AS `{s}_diff_{k}`" for s in sensors for k in lags]
+
+
 def _segments(windows) -> list[tuple[int, int, int]]:
     """(window, first offset, last offset): the rows each window adds to the next smaller one."""
     ordered = sorted(set(windows))
     return [(k, start, k - 1) for k, start in zip(ordered, [1, *ordered])]
 
 
-def _segment_sums(sensors, windows) -> list[str]:
-    """Sums of x, x squared and x times cycle per segment, relative to the current row.
+def _add_segment(out: DataFrame, w, sensors, k: int, step: int, offsets, lags) -> DataFrame:
+    """Read the rows of one segment, reduce them to sums, and keep the last as the next start.
+
+    The sums are of x, x squared and x times cycle relative to the current row. With
+    d = x(t-i) - x(t) the shift is a member of every frame, so the sum of squares is at
+    most n times the centred one and the subtraction later loses no digits.
 
-    With d = x(t-i) - x(t) the shift is a member of every frame, so the sum of squares is
-    at most n times the centred one and the subtraction later loses no digits.
+    Offsets count from the last row of the segment before, so the segments stay separate
+    steps: together they would make one generated method too long to be compiled.
     """
-    sums = []
-    for k, first, last in _segments(windows):
-        reach = range(first, last + 1)
-        e = [f"coalesce(`__cycle_{i}` - cycle, 0)" for i in reach]
-        sums.append(f"{' + '.join(e) or '0'} AS `__e_{k}`")
-        sums.append(f"{' + '.join(f'{x} * {x}' for x in e) or '0'} AS `__ee_{k}`")
-        for s in sensors:
-            d = [f"coalesce(`__{s}_{i}` - `{s}`, 0D)" for i in reach]
-            sums.append(f"{' + '.join(d) or '0D'} AS `__d_{s}_{k}`")
-            sums.append(f"{' + '.join(f'{x} * {x}' for x in d) or '0D'} AS `__dd_{s}_{k}`")
-            sums.append(f"{' + '.join(f'{x} * {y}' for x, y in zip(d, e)) or '0D'} AS `__de_{s}_{k}`")
-    return sums
+    known = [name for name in out.columns if not name.startswith("__from_")]
+    start = {name: f"__from_{name}" if step else name for name in (*sensors, "cycle")}
+    reads = [F.lag(start[name], i - step).over(w).alias(f"__{name}_{i}") for i in offsets for name in start]
+    e = [f"coalesce(`__cycle_{i}` - cycle, 0)" for i in offsets]
+    sums = [f"{' + '.join(e) or '0'} AS `__e_{k}`", f"{' + '.join(f'{x} * {x}' for x in e) or '0'} AS `__ee_{k}`"]
+    for s in sensors:
+        d = [f"coalesce(`__{s}_{i}` - `{s}`, 0D)" for i in offsets]
+        sums.append(f"{' + '.join(d) or '0D'} AS `__d_{s}_{k}`")
+        sums.append(f"{' + '.join(f'{x} * {x}' for x in d) or '0D'} AS `__dd_{s}_{k}`")
+        sums.append(f"{' + '.join(f'{x} * {y}' for x, y in zip(d, e)) or '0D'} AS `__de_{s}_{k}`")
+    here = _lag_features(sensors, [i for i in lags if i in offsets])
+    following = [f"`__{name}_{offsets[-1]}` AS `__from_{name}`" for name in start] if offsets else []
+    return out.select("*", *reads).selectExpr(*(f"`{name}`" for name in known), *sums, *here, *following)
 
 
 def _frame_statistics(sensors, windows) -> list[str]:

@@ -32,6 +32,14 @@ def record(spark: SparkSession, run_id, kind, subset, start_time, model_type=Non
     return spark.createDataFrame([row], RUNS)
 
 
+def with_names(runs: DataFrame) -> DataFrame:
+    """Readable run names: subset and kind, or subset, model, feature set and target."""
+    trained = F.format_string("%s-%s-%s-%s", "subset", "model_type", F.col("tags")["feature_set"], F.col("params")["target"])
+    return runs.withColumn(
+        "run_name", F.when(F.col("kind") == "training", trained).otherwise(F.format_string("%s-%s", "subset", "kind"))
+    )
+
+
 def append(runs: DataFrame, path: str) -> None:
     runs.coalesce(1).write.mode("append").parquet(path)
 

@@ -25,16 +25,16 @@ def live_predictions(features: DataFrame, model) -> DataFrame:
     return models.predict(model, usable).select(*UNIT, "cycle", F.col("prediction").alias("predicted_rul"))
 
 
-def write_predictions(rows: DataFrame, fitted: state.Fitted, model, feature_names, path: str, checkpoint: str, score):
-    """Score whole histories per trigger with a batch function and append the result.
+def write_scores(rows: DataFrame, path: str, checkpoint: str, score, available_now=True):
+    """Score the whole histories of each trigger with a batch function and store them.
 
-    For sources that deliver complete histories (such as request bodies); ``score`` is
-    ``scoring.score_last`` or a function with its signature.
+    For sources that deliver complete histories, such as request bodies. ``score`` takes
+    the trigger's rows and returns predictions. Each trigger has its own folder, so a
+    retried one is idempotent.
     """
 
     def store(batch, batch_id):
-        scored = score(batch, fitted, model, feature_names)
-        scored.write.mode("overwrite").parquet(f"{path}/trigger={batch_id}")
+        score(batch).write.mode("overwrite").parquet(f"{path}/trigger={batch_id}")
 
     writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start()
+    return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlife.cluster import ensure_checkpoint_dir, settle
+from fleetlife.cluster import attach, ensure_checkpoint_dir, settle
 from fleetlife.operators import (
     endpoints,
     evaluation,
@@ -29,7 +29,7 @@ from fleetlife.plans import models, preprocess, runs, scoring, state
 from fleetlife.schema import TELEMETRY, TERMINAL_COLUMN, sensors_in
 from fleetlife.sources import events as source
 from fleetlife.sources import requests, tables, telemetry_text
-from fleetlife.streaming import traffic
+from fleetlife.streaming import live_features, traffic
 
 DIGITS = 6
 SHIFT = 1e-10
@@ -95,8 +95,7 @@ def mean_life_predictions(spark, folder) -> DataFrame:
     lengths = source.history_lengths(spark, folder)
     life = lengths.groupBy("subset").agg(F.avg("last_cycle").alias("life"))
     rows = complete(spark, folder).select("subset", "unit_id", "cycle", "RUL")
-    # At most one row per subset.
-    predicted = rows.join(F.broadcast(life), "subset")
+    predicted = attach(rows, settle(life), "subset")
     return predicted.select(
         "subset", "unit_id", "cycle", "RUL", F.greatest(F.lit(0.0), F.col("life") - F.col("cycle")).alias("prediction")
     )
@@ -666,8 +665,11 @@ def run_records(spark, folder) -> DataFrame:
         F.when(~prepared, F.concat(F.lit("model_"), (F.col("user_id") % 3).cast("string"))).alias("model_type"),
         F.when(F.col("event_type") == "error", "FAILED").otherwise("FINISHED").alias("status"),
         F.col("ts").alias("start_time"),
-        F.create_map(F.lit("preprocessing_run_id"), (F.col("event_id") - 1).cast("string")).alias("params"),
+        F.create_map(
+            F.lit("preprocessing_run_id"), (F.col("event_id") - 1).cast("string"), F.lit("target"), F.lit("raw_rul")
+        ).alias("params"),
         F.lit(None).cast("array<string>").alias("features"),
+        F.create_map(F.lit("feature_set"), F.when(F.col("user_id") % 5 < 3, "baseline").otherwise("temporal")).alias("tags"),
         F.when(F.col("user_id") % 5 < 3, "baseline").otherwise("temporal").alias("feature_set"),
     )
 
@@ -683,6 +685,11 @@ def run_chain(spark, folder):
     return runs.resolve(run_records(spark, folder)).drop("features")
 
 
+@query
+def run_names(spark, folder):
+    return runs.with_names(run_records(spark, folder)).select("run_id", "run_name")
+
+
 @query
 def run_list(spark, folder):
     listed = run_records(spark, folder).select("run_id", "subset", "feature_set", "status")
@@ -858,3 +865,29 @@ def stream_error_alerts(spark, folder):
 def stream_silences(spark, folder):
     starts = traffic.silence_starts(traffic_replay(spark, folder), "20 minutes", ("subset", "model_type"))
     return zone_free(replayed(spark, starts))
+
+
+@query
+def stream_features(spark, folder):
+    """Telemetry rows as a stream through keyed state; equal to the batch features."""
+    stamped = source.read_events(spark, folder, ["event_id", "ts", "user_id", "value", "props"])
+    numbered = trajectory.number_by_time(stamped, ["user_id"], "ts", ["event_id"], "cycle")
+    rows = numbered.select(
+        F.concat(F.lit("FD00"), (1 + F.col("user_id") % 4).cast("string")).alias("subset"),
+        (F.col("user_id") + 1).cast("int").alias("unit_id"),
+        "cycle",
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.col("value").alias("sensor_2"),
+        F.regexp_extract("props", "([0-9]+)", 1).cast("double").alias("sensor_3"),
+    )
+    path = f"{scratch(spark)}/telemetry"
+    rows.write.parquet(path)
+    arriving = spark.readStream.schema(rows.schema).parquet(path)
+    key, sensors = "spark.sql.streaming.stateStore.providerClass", ["sensor_2", "sensor_3"]
+    before = spark.conf.get(key)
+    live_features.use_rocksdb(spark)
+    try:
+        made = replayed(spark, live_features.live_features(live_features.valid_rows(arriving, sensors, "60 days"), sensors))
+    finally:
+        spark.conf.set(key, before)
+    return rounded(made.drop("ts_ms"))

@@ -658,6 +658,11 @@ define(
     FROM (SELECT * FROM runs WHERE kind = 'training') t LEFT JOIN (SELECT * FROM runs WHERE kind = 'preprocessing') p ON t.wanted = p.run_id AND t.subset = p.subset""",
     RUNS,
 )
+define(
+    "run_names",
+    """SELECT run_id, CASE WHEN kind = 'training' THEN subset || '-' || model_type || '-' || feature_set || '-raw_rul' ELSE subset || '-' || kind END AS run_name FROM runs""",
+    RUNS,
+)
 define(
     "run_list",
     """SELECT run_id, subset, feature_set, 'existing' AS source, NULL AS status FROM runs WHERE status = 'FINISHED' AND feature_set = 'baseline'
@@ -762,6 +767,12 @@ define(
     TRAFFIC,
 )
 
+define(
+    "stream_features",
+    "SELECT *, 'ok' AS status, 0 AS missing_before FROM (" + features(PAIR, (lags, differences, statistics, slopes, smoothed)) + ")",
+    TELE,
+)
+
 # ---------------------------------------------------------------- sampled requests
 
 SIGNED = "CASE WHEN {h} >= 9223372036854775808::UHUGEINT THEN {h}::HUGEINT - 18446744073709551616::HUGEINT ELSE {h}::HUGEINT END"

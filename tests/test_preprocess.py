@@ -204,3 +204,67 @@ def test_seed_sweep(spark):
     sweep = models.seed_sweep(matrix)
     assert sweep.count() == 6
     assert evaluation.win_rates(sweep).first()["champion_win_rate"] == 1.0
+
+
+def write_fleet(spark, folder, name, shift):
+    """Text files of degrading units and of the same units cut at cycle 15."""
+    rows = degradation(spark, 8, 30 + shift).orderBy("unit_id", "cycle").collect()
+    lines = [" ".join(str(row[c]) for c in TELEMETRY.fieldNames()) for row in rows]
+    cut = [line for row, line in zip(rows, lines) if row["cycle"] <= 15]
+    lives = {row["unit_id"]: row["cycle"] for row in rows}
+    (folder / f"train_{name}.txt").write_text("\n".join(lines) + "\n")
+    (folder / f"test_{name}.txt").write_text("\n".join(cut) + "\n")
+    (folder / f"RUL_{name}.txt").write_text("".join(f"{life - 15}\n" for _, life in sorted(lives.items())))
+
+
+def test_experiments_and_streamed_requests(spark, tmp_path):
+    """Text to processed tables to trained candidates to scores of streamed JSON requests."""
+    import json
+
+    from fleetlife.plans import experiments
+    from fleetlife.sources import requests
+    from fleetlife.streaming import live_scoring
+
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    write_fleet(spark, raw, "FD001", 0)
+    write_fleet(spark, raw, "FD003", 4)
+    report = preprocess.run(spark, str(raw), out, ["FD001", "FD003"], include_temporal=True)
+    run_id = report.first()["run_id"]
+    terminal, _ = telemetry_text.scan_terminal_rul(spark, [f"{raw}/RUL_FD001.txt", f"{raw}/RUL_FD003.txt"])
+    small = {"numTrees": 5, "maxDepth": 5, "seed": 42}
+    candidates = [
+        {"subset": "FD001", "run_id": run_id, "model_type": models.FOREST, "parameters": small},
+        {"subset": "FD003", "run_id": run_id, "model_type": models.FOREST, "parameters": small, "cap": 20},
+    ]
+    results = experiments.run_matrix(spark, out, terminal, candidates)
+    sheet = evaluation.comparison_sheet(results).collect()
+    assert {(r["subset"], r["feature_set"]) for r in sheet} == {("FD001", "temporal"), ("FD003", "temporal")}
+    assert all(r["test_mae"] < 10 for r in sheet)
+    names = {r["run_name"] for r in runs.with_names(runs.read(spark, f"{out}/runs")).collect()}
+    assert {"FD001-preprocessing", "FD003-random_forest-temporal-capped_rul_20", "FD001-random_forest-temporal-raw_rul"} <= names
+
+    training_run = runs.find(runs.read(spark, f"{out}/runs"), "FD001", "training", models.FOREST)
+    model, features, preprocessing_run = experiments.load_trained(spark, out, training_run)
+    assert preprocessing_run == run_id
+    with pytest.raises(ValueError, match="no usable"):
+        experiments.load_trained(spark, out, "missing")
+
+    fitted = state.as_tables(state.load(spark, f"{out}/state", run_id))
+    cut = degradation(spark, 8, 30).where("cycle <= 15")
+    bodies = requests.to_requests(cut.select(F.col("unit_id").cast("string").alias("request_id"), F.lit("m").alias("model_type"), "*"))
+    lines = [json.dumps({"request_id": r["request_id"], "body": r["body"]}) for r in bodies.collect()]
+    (tmp_path / "requests").mkdir()
+    (tmp_path / "requests" / "a.json").write_text("\n".join(lines))
+    arriving = spark.readStream.schema("request_id string, body string").json(str(tmp_path / "requests"))
+    rows, _ = requests.parse_requests(arriving)
+    keys = ("request_id", "subset", "unit_id")
+    done = live_scoring.write_scores(
+        rows, f"{out}/scores", f"{out}/scores-checkpoint", lambda batch: scoring.score_last(batch, fitted, model, features, keys)
+    )
+    done.awaitTermination()
+    scored = spark.read.parquet(f"{out}/scores")
+    expected = scoring.score_last(cut, fitted, model, features, contiguous=True)
+    both = scored.select("unit_id", F.col("predicted_rul").alias("live")).join(expected, "unit_id")
+    assert both.count() == 8
+    assert both.where(F.abs(F.col("live") - F.col("predicted_rul")) > 1e-6).count() == 0
