@@ -31,7 +31,7 @@ from fleetlife.sources import events as source
 from fleetlife.sources import requests, tables, telemetry_text
 from fleetlife.streaming import live_features, traffic
 
-DIGITS = 6
+SCALE = 1e6
 SHIFT = 1e-10
 SENSORS = ["sensor_2", "sensor_3", "sensor_4", "sensor_5"]
 SEQUENCE_FEATURES = ["sensor_2", "sensor_3"]
@@ -48,10 +48,10 @@ def query(function):
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Six digits. The shift moves decimal halves off the rounding edge, where the last
-    bit of a mean would decide."""
+    """Six digits, in plain arithmetic. The shift moves decimal halves off the rounding
+    edge, where the last bit of a mean would decide; adding zero clears its sign."""
     doubles = {f.name for f in df.schema.fields if f.dataType.typeName() == "double"}
-    return df.select(*(F.round(F.col(c) + SHIFT, DIGITS).alias(c) if c in doubles else F.col(c) for c in df.columns))
+    return df.select(*((F.rint((F.col(c) + SHIFT) * SCALE) / SCALE + F.lit(0.0)).alias(c) if c in doubles else F.col(c) for c in df.columns))
 
 
 # ---------------------------------------------------------------- inputs
