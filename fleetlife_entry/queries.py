@@ -802,8 +802,8 @@ def sequence_scores(spark, folder):
 
 
 @query
-def scaler_pipeline(spark, folder):
-    """The storable scaling pipeline on all rows."""
+def scaled_by_model(spark, folder):
+    """All rows scaled by the storable ML model."""
     rows = source.telemetry(spark, folder)
     fitted = models.fit_scaler_pipeline(rows, SENSORS)
     return rounded(models.apply_scaler_pipeline(rows, fitted, SENSORS).select("subset", "unit_id", "cycle", *SENSORS))

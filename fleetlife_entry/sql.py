@@ -732,7 +732,7 @@ define(
     TELE,
 )
 define(
-    "scaler_pipeline",
+    "scaled_by_model",
     "SELECT subset, unit_id, cycle, "
     + ", ".join(f"{r(f'({s} - avg({s}) OVER ()) / stddev_samp({s}) OVER ()')} AS {s}" for s in SENSORS)
     + " FROM tele",
