@@ -1,0 +1,9 @@
+"""Same session as the other tests; intermediate tables go to a folder of the test run."""
+
+import pytest
+
+
+@pytest.fixture(autouse=True)
+def shared_folder(spark, tmp_path_factory):
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.getbasetemp() / "shared"))
