@@ -1,8 +1,64 @@
-"""A corpus pipeline of five stages over ``documents``."""
+"""A corpus pipeline of five stages over ``documents``.
 
+Language ID drops documents without a recognisable language, the n-gram Jaccard join keeps
+one document of each group of near copies, decontamination drops documents that hold a
+benchmark item, the secret scan replaces secrets, and mixing repeats or leaves out documents so
+that sources get their shares. Every stage keeps rows without a doc_id that it can't
+judge by text alone, and rows that repeat a doc_id share its fate.
+"""
+
+from pyspark.sql import functions as F
+
+from fleetlife.llm import jaccard, languages, leaks, mixing, secrets_scan
 from fleetlife.llm.store import stored, table
 
-STAGES = []
+#: A document whose most likely language has less than this probability has none.
+LEAST_SCORE = 0.3
+
+
+def identify_language(spark, docs, sf_dir):
+    """Documents with a recognised language. Columns as they were."""
+    network = languages.fit(docs.where(~languages.held_out()))
+    rows = languages.predict(docs.select("text", F.struct(*docs.columns).alias("row")), network)
+    kept = rows.where((F.col("lang_pred") != languages.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return kept.select(*(F.col("row")[c].alias(c) for c in docs.columns))
+
+
+def drop_near_copies(spark, docs, sf_dir):
+    """The document with the smallest id of each group of documents linked by 4-word shingles."""
+    groups = jaccard.ngram_jaccard_join(docs)
+    return docs.join(groups.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def drop_leaks(spark, docs, sf_dir):
+    """Documents without a benchmark item."""
+    found = leaks.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def redact_secrets(spark, docs, sf_dir):
+    """All documents, secrets replaced; n_chars follows the text where it was counted."""
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    found = secrets_scan.redact(secrets_scan.find_secrets(docs, carried=others))
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text")).cast(docs.schema["n_chars"].dataType))
+    return found.select(docs.columns)
+
+
+def mix(spark, docs, sf_dir):
+    """A row for each copy of a document that the mix takes, numbered in ``copy``."""
+    copies = mixing.mix_sources(docs).select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), "copies").distinct()
+    rows = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source"))).where("copies > 0")
+    return rows.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("ngram_jaccard_join", drop_near_copies),
+    ("benchmark_decontamination", drop_leaks),
+    ("secret_scan", redact_secrets),
+    ("source_mix", mix),
+]
 
 #: Trained models and near-duplicate joins have no SQL counterpart.
 ORACLE_SQL = None

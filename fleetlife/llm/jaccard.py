@@ -13,8 +13,9 @@ differs by one token there. No pair is missed, whatever the data.
 
 Documents that share a list entry become candidates: all pairs of a short list, and the
 first one against all of a long list. What a long list has left outside the first one's
-component is compared in a second step, so a group of near copies never expands into
-all its pairs. Candidates are verified on the whole sets.
+component is compared in a second step as blocks of bounded size, which return a spanning
+forest of the links, so a group of near copies never expands into all its pairs.
+Candidates are verified on the whole sets.
 """
 
 import math
@@ -32,6 +33,12 @@ from fleetlife.llm.words import chunks, mix, shingle_sets, signed
 SHORT = 6
 #: Partitions a document tries before it takes one-deletion neighbourhoods.
 VARIANTS = 3
+#: Documents in a part of a group; a block compares two parts.
+PART = 512
+#: Bits of the bitmap of wanted ids, as a power of two: 2 MB.
+FILTER_BITS = 24
+#: In a block, tokens of at most so many documents are counted as pairs, others by so many columns.
+RARE, COLUMNS = 8, 4096
 #: Sets from this size on also skip segments with a single token.
 LONE_FROM = 64
 
@@ -214,22 +221,121 @@ def _runs(batches):
     yield from work(np.zeros(0, np.int64), np.zeros(0, np.int64), True)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
+def _bit(ids):
+    return mix(np.asarray(ids, np.int64).view(np.uint64)) >> np.uint64(64 - FILTER_BITS)
+
+
+def _filter_of(wanted: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size with a bit set for the hash of every doc_id; it comes to the driver as its words."""
 
     def run(batches):
-        for ids, sets in _sets(batches, shingle):
-            tokens = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), tokens], names=["doc_id", "tokens"])
+        for batch in batches:
+            bit = _bit(batch.column(0).to_numpy())
+            yield pa.RecordBatch.from_arrays([signed(bit >> np.uint64(6)), signed(np.uint64(1) << (bit & np.uint64(63)))], names=["word", "bits"])
+
+    words = wanted.select("doc_id").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    bitmap = np.zeros(1 << FILTER_BITS - 6, np.uint64)
+    bitmap[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return bitmap
+
+
+def token_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, tokens) of the documents in ``wanted`` (doc_id).
+
+    The scan leaves out what the bitmap of the wanted ids doesn't hold, so whole texts are not
+    shuffled; the few it lets through wrongly go in the join. A full bitmap lets all through.
+    """
+    bitmap = _filter_of(wanted)
+
+    def run(batches):
+        for batch in batches:
+            bit = _bit(batch.column(0).to_numpy(zero_copy_only=False))
+            held = bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1)
+            for ids, sets in _sets([batch.filter(pa.array(held.astype(bool)))], shingle):
+                tokens = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), tokens], names=["doc_id", "tokens"])
+
+    return docs.mapInArrow(run, "doc_id long, tokens array<long>").join(wanted.select("doc_id"), "doc_id", "left_semi")
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = docs.join(wanted, "doc_id", "left_semi").mapInArrow(run, "doc_id long, tokens array<long>")
+
+def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough."""
+    wanted = stored(pairs.select("a").union(pairs.select("b")).distinct().toDF("doc_id"))
+    sets = stored(token_sets(docs, wanted, shingle))
     left = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
     return pairs.join(left, "a").join(right, "b").where(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
+def _linked(percent):
+    """A spanning forest (a, b) of the links among the sets of one block."""
+
+    def run(block: pa.Table) -> pa.Table:
+        ids, first = np.unique(block["id"].to_numpy(), return_index=True)
+        lists = block["tokens"].combine_chunks().take(pa.array(first))
+        tokens, n = lists.flatten().to_numpy(), len(ids)
+        sizes = np.diff(lists.offsets.to_numpy())
+        owner = np.repeat(np.arange(n), sizes)
+        order = np.argsort(tokens, kind="stable")
+        tokens, owner = tokens[order], owner[order]
+        start = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+        held = np.diff(np.append(start, len(tokens)))
+        common = np.zeros((n, n), np.float32)
+        # Rare tokens as pairs of holders, the others as columns of a product.
+        rare = np.repeat(held <= RARE, held)
+        end, at = np.repeat(start + held, held), np.arange(len(tokens))
+        for step in range(1, RARE):
+            i = at[rare & (at + step < end)]
+            if not len(i):
+                break
+            common += np.bincount(owner[i] * n + owner[i + step], minlength=n * n).reshape(n, n)
+        common += common.T
+        column = np.repeat(np.cumsum(held > RARE) - 1, held)
+        for low in range(0, int((held > RARE).sum()), COLUMNS):
+            own = ~rare & (column >= low) & (column < low + COLUMNS)
+            part = np.zeros((n, COLUMNS), np.float32)
+            part[owner[own], column[own] - low] = 1
+            common += part @ part.T
+        near = 100 * common.astype(np.float64) >= percent * (sizes[:, None] + sizes[None, :] - common.astype(np.float64))
+        np.fill_diagonal(near, True)
+        label = ids.copy()
+        while True:
+            new = np.where(near, label[None, :], np.iinfo(np.int64).max).min(1)
+            if (new == label).all():
+                break
+            label = new
+        own = label != ids
+        return pa.table({"a": pa.array(ids[own], pa.int64()), "b": pa.array(label[own], pa.int64())})
+
+    return run
+
+
+def linked_in_groups(inside: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Spanning links (a, b) of long lists (sig, id), all their pairs compared, in blocks.
+
+    Lists that overlap are compared as one cluster of documents where that is cheaper than
+    list by list, as it is for near copies, which meet in most of their lists. A cluster
+    or list is cut into parts; a block holds two of them, so its size is bounded, and
+    returns fewer links than it has documents.
+    """
+    lists = stored(inside.groupBy("sig").agg(F.count("*").alias("n"), F.min("id").alias("low")))
+    clusters = components(inside.join(lists, "sig").select(F.col("id").alias("a"), F.col("low").alias("b")))
+    sizes = clusters.groupBy("component").agg(F.count("*").alias("members"))
+    owned = stored(lists.join(clusters, lists["low"] == clusters["id"]).select("sig", "n", "component"))
+    costs = owned.groupBy("component").agg(F.sum(F.col("n") * F.col("n")).alias("apart")).join(sizes, "component")
+    whole = costs.select("component", (F.col("members") * F.col("members") <= F.col("apart")).alias("whole"))
+    apart = inside.join(owned.join(whole.where("not whole"), "component").select("sig"), "sig").select(F.lit(0).alias("kind"), F.col("sig").alias("key"), "id")
+    together = clusters.join(whole.where("whole"), "component").select(F.lit(1).alias("kind"), F.col("component").alias("key"), "id")
+    members = stored(together.union(apart))
+    parts = members.groupBy("kind", "key").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    placed = members.join(parts, ["kind", "key"]).withColumn("i", own).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    placed = placed.select("kind", "key", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "id")
+    sets = token_sets(docs, stored(members.select(F.col("id").alias("doc_id")).distinct()), shingle).withColumnRenamed("doc_id", "id")
+    return placed.join(sets, "id").groupBy("kind", "key", "i", "j").applyInArrow(_linked(percent), "a long, b long").distinct()
+
+
 def ngram_jaccard_join(docs: DataFrame, shingle: int = 4, percent: int = 85) -> DataFrame:
     """Groups of documents whose shingle sets have a Jaccard similarity of percent / 100 or more.
 
@@ -253,13 +359,10 @@ def ngram_jaccard_join(docs: DataFrame, shingle: int = 4, percent: int = 85) ->
 
     groups = components(links)
     inside = lists.where("b is null").join(of, "a").select("sig", F.col("ca").alias("id")).distinct().join(groups, "id", "left")
-    inside = inside.select("sig", "id", F.coalesce("component", "id").alias("component"))
+    inside = stored(inside.select("sig", "id", F.coalesce("component", "id").alias("component")))
     mixed = inside.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("sig")
-    inside = stored(inside.join(mixed, "sig"))
-    other = inside.toDF("sig", "id2", "component2")
-    rest = inside.join(other, "sig").where("id < id2 and component <> component2").select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
-    rest = stored(rest.join(pairs, ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        groups = components(links.union(verified(rest, docs, shingle, percent)))
+    inside = stored(inside.select("sig", "id").join(mixed, "sig"))
+    if not inside.isEmpty():
+        groups = components(links.union(linked_in_groups(inside, docs, shingle, percent)))
     found = groups.select(F.col("id").alias("class_id"), "component")
     return members.join(found, "class_id", "left").select("doc_id", "n_shingles", "class_id", F.coalesce("component", "class_id").alias("component_id"))

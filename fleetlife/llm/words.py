@@ -21,6 +21,10 @@ BYTE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.ui
 BYTE[SPACE] = 0
 LOWER = BYTE.copy()
 LOWER[65:91] = LOWER[97:123]
+#: Bytes between words where only letters and digits matter; all of UTF-8 beyond ASCII counts as letters.
+MARKS = np.ones(256, bool)
+MARKS[48:58] = MARKS[65:91] = MARKS[97:123] = MARKS[128:] = False
+PLAIN = np.where(MARKS, np.uint64(0), LOWER)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 PLACES = _random.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _powers = np.ones(1, np.uint64)
@@ -65,9 +69,9 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         first = last
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_bounds(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start of each word, its end, index of each row's first word and one past the last row's)."""
-    inside = ~SPACE[data]
+    inside = ~between[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     before = np.empty_like(inside)
@@ -81,16 +85,17 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash of each word, starts, ends, rows' first words). fold: A-Z count as a-z."""
-    starts, ends, first = word_bounds(data, offsets)
+def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: bool = False, plain: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of each word, starts, ends, rows' first words). fold: A-Z count as a-z. plain: that, and
+    words are runs of letters and digits."""
+    starts, ends, first = word_bounds(data, offsets, MARKS if plain else SPACE)
     if not len(starts):
         return np.zeros(0, np.uint64), starts, ends, first
     lead = int(starts[0])
     gaps = np.diff(np.append(starts, len(data)))
     place = np.arange(lead, len(data)) - np.repeat(starts, gaps)
     with np.errstate(over="ignore"):
-        value = (LOWER if fold else BYTE)[data[lead:]] * powers(int(gaps.max()) + 1)[place]
+        value = (PLAIN if plain else LOWER if fold else BYTE)[data[lead:]] * powers(int(gaps.max()) + 1)[place]
         sums = np.add.reduceat(value, starts - lead)
     return mix(sums + (ends - starts).astype(np.uint64)), starts, ends, first
 
@@ -132,3 +137,23 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> Iterator[np.n
 
 def signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
+
+
+_inverse = np.ones(1, np.uint64)
+
+
+def stretch_hashes(hashes: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hash of each stretch of ``size`` words from word ``at`` on, equal wherever the words are equal."""
+    global _inverse
+    n = len(hashes)
+    if len(_inverse) < n:
+        back = pow(int(STEP), -1, 1 << 64)
+        _inverse = np.cumprod(np.concatenate([[np.uint64(1)], np.full(max(n, 4096), back, np.uint64)]))
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(hashes * powers(n)[:n])])
+    return mix((sums[at + size] - sums[at]) * _inverse[at] + size.astype(np.uint64))
+
+
+def text_words(text: str) -> list[int]:
+    """Hashes of one text's plain words."""
+    raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
+    return word_hashes(raw, np.array([0, len(raw)]), plain=True)[0].tolist()

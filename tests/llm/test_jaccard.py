@@ -84,6 +84,24 @@ def test_large_group_of_near_copies(spark):
     assert {r.doc_id: r.component_id for r in got} == wanted
 
 
+@pytest.mark.parametrize("part", [512, 20])
+def test_group_of_chained_copies(spark, monkeypatch, part):
+    monkeypatch.setattr(jaccard, "PART", part)
+    pick = random.Random(8)
+    rows = []
+    for group in range(3):
+        base = [f"g{group}w{i}" for i in range(200)]
+        for i in range(60):
+            words = list(base)
+            for _ in range(pick.choice([0, 1, 3, 5, 9, 14])):
+                words[pick.randrange(200)] = f"x{pick.randrange(40)}"
+            rows.append((100 * group + i, " ".join(words)))
+    got = jaccard.ngram_jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    wanted = plain_components(plain_sets(rows, 4), 85)
+    assert len(set(wanted.values())) > 10
+    assert {r.doc_id: r.component_id for r in got} == wanted
+
+
 def test_repeated_rows_and_empty_table(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "A b c d e f"), (None, "a b c d e f")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
