@@ -91,27 +91,39 @@ def aligned(template, words, low, high):
     return best[1:]
 
 
+def _places(template, words, hits, least, low, high):
+    """(words matched, first, last) of each copy of the template in words low to high, given hits (place, diagonal)."""
+    runs = []
+    for at, d in sorted(hits, key=lambda h: h[1]):
+        if runs and d - runs[-1][-1][1] <= BAND:
+            runs[-1].append((at, d))
+        else:
+            runs.append([(at, d)])
+    for run in runs:
+        left, right = run[0][1], run[-1][1]
+        base = max(low, left - BAND)
+        part = words[base : min(high, right + BAND + len(template))].tolist()
+        matched, first, last = aligned(template, part, left - base, right - base)
+        if matched >= least * len(template):
+            first, last = base + first, base + last
+            # Other copies may stand close by, on either side.
+            yield from _places(template, words, [h for h in run if h[0] + GRAM <= first], least, low, first)
+            yield matched, first, last
+            yield from _places(template, words, [h for h in run if h[0] > last], least, last + 1, high)
+
+
 def _matches(index, words, hits, least):
     """(template, coverage, first word, last word) of one document; overlapping finds of a template are one."""
-    by_template = defaultdict(set)
+    by_template = defaultdict(list)
     for at, gram in hits:
         for name, place in index.places[gram]:
-            by_template[name].add(at - place)
-    for name, diagonals in sorted(by_template.items()):
-        template, runs = index.words[name], []
-        for d in sorted(diagonals):
-            if runs and d - runs[-1][1] <= BAND:
-                runs[-1][1] = d
-            else:
-                runs.append([d, d])
-        until = -1
-        for low, high in runs:
-            base = max(0, low - BAND)
-            part = words[base : high + BAND + len(template)].tolist()
-            matched, first, last = aligned(template, part, low - base, high - base)
-            if matched >= least * len(template) and base + first > until:
-                until = base + last
-                yield name, matched / len(template), base + first, until
+            by_template[name].append((at, at - place))
+    for name, own in sorted(by_template.items()):
+        template, until = index.words[name], -1
+        for matched, first, last in sorted(_places(template, words, own, least, 0, len(words)), key=lambda f: f[1:]):
+            if first > until:
+                until = last
+                yield name, matched / len(template), first, last
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = 0.8) -> DataFrame:
