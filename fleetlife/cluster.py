@@ -6,7 +6,7 @@ provided its size stays under a bound. Past the bound it lives in the checkpoint
 folder and the same join runs as a salted shuffle join.
 """
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,20 +17,25 @@ SALTS = 64
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the folder the cluster names; fall back to a scratch one in local mode only."""
+    """The folder named in spark.checkpoint.dir; below the warehouse, shared as well, where it is unset."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="fleetlife-checkpoint-")
+    folder = folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     context.setCheckpointDir(folder)
     return folder
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write a table under the checkpoint folder and read it back: computed once, lineage cut."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Upper estimate of the planner: file sizes, or the exact size of local rows."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
@@ -40,15 +45,13 @@ def settle(df: DataFrame, rows: int = SETTLED_ROWS) -> DataFrame:
     """Compute a small table once.
 
     Up to ``rows`` rows are held as local rows, whose size the planner knows exactly;
-    what is larger goes to the reliable checkpoint folder. Either way later jobs do
+    what is larger is a file in the checkpoint folder. Either way later jobs do
     not depend on the executors that computed it.
     """
-    spark = df.sparkSession
     held = df.limit(rows + 1).toArrow()
     if held.num_rows <= rows:
-        return spark.createDataFrame(held, df.schema)
-    ensure_checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
+        return df.sparkSession.createDataFrame(held, df.schema)
+    return stored(df)
 
 
 def attach(df: DataFrame, table: DataFrame, on, how="inner", max_bytes: int = BROADCAST_BYTES) -> DataFrame:

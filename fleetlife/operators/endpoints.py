@@ -48,10 +48,20 @@ def raise_on_endpoint_violations(df: DataFrame, seeds=SPLIT_SEED, fraction=OBSER
 
 
 def official_endpoints(test: DataFrame, terminal: DataFrame, keys=UNIT) -> DataFrame:
-    """Last row of every truncated unit with its official RUL instead of the stored one."""
+    """Last row of every truncated unit with its official RUL instead of the stored one.
+
+    The join is one to one: a unit with several official records is an error of the job.
+    """
     last = last_rows(test, [c for c in test.columns if c != "RUL"], keys)
-    official = terminal.select(*keys, F.col(TERMINAL_COLUMN).alias("RUL"))
-    return last.join(official, list(keys))
+    return last.join(single_records(terminal, keys).withColumnRenamed(TERMINAL_COLUMN, "RUL"), list(keys))
+
+
+def single_records(terminal: DataFrame, keys=UNIT) -> DataFrame:
+    """Official RUL per unit; reading a unit that has several records fails."""
+    counted = terminal.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(TERMINAL_COLUMN).alias(TERMINAL_COLUMN))
+    unit = F.concat_ws(" ", *(F.col(k).cast("string") for k in keys))
+    several = F.raise_error(F.concat(F.lit("several official records for unit "), unit)).cast("int")
+    return counted.select(*keys, F.when(F.col("__n") > 1, several).otherwise(F.col(TERMINAL_COLUMN)).alias(TERMINAL_COLUMN))
 
 
 def duplicate_units(terminal: DataFrame, keys=UNIT) -> DataFrame:
@@ -78,12 +88,16 @@ def quotas(subsets: DataFrame, total: int) -> DataFrame:
     )
 
 
-def sample_units(picks: DataFrame, shares: DataFrame, seed: int) -> DataFrame:
-    """Per subset, ``quota`` units in hash order.
+def sample_units(picks: DataFrame, shares: DataFrame, seed: int, strict=False) -> DataFrame:
+    """Per subset, ``quota`` units in hash order; with ``strict``, fewer are an error.
 
     The rank limit is applied before the shuffle, so at most quota rows per task
     and subset move.
     """
+    if strict:
+        lacking = short_subsets(picks, shares).collect()
+        if lacking:
+            raise ValueError(f"subsets with too few units for their quota: {[tuple(row) for row in lacking]}")
     most = shares.agg(F.max("quota").alias("quota")).first()["quota"] or 0
     order = Window.partitionBy("subset").orderBy(F.xxhash64(F.col("unit_id"), F.lit(seed)), "unit_id")
     ranked = picks.withColumn("draw", F.row_number().over(order)).where(F.col("draw") <= most)

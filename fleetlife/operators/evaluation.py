@@ -7,6 +7,7 @@ Predictions carry the keys, ``RUL`` (true) and ``prediction``; any further colum
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetlife.cluster import settle
 from fleetlife.functions.expressions import regression_metrics, score_contribution
 
 TOP = 3
@@ -43,7 +44,7 @@ def worst_first(report: DataFrame, n: int | None = None) -> DataFrame:
 
 
 def _worst(predictions_with_errors: DataFrame, by) -> DataFrame:
-    """Sum of the three largest contributions per group; the rank filter keeps three
+    """Sum of the TOP largest contributions per group; the rank filter keeps as many
     rows per task and group before anything moves."""
     errors = predictions_with_errors.select(*by, "score_contribution")
     order = Window.partitionBy(*by).orderBy(F.col("score_contribution").desc())
@@ -59,15 +60,20 @@ def _extremes() -> list:
     ]
 
 
+def _errors_once(predictions: DataFrame, by) -> DataFrame:
+    """Group, error and contribution only, computed once for the two reads that tails need."""
+    return settle(with_errors(predictions).select(*by, "error", "score_contribution"))
+
+
 def tail_metrics(predictions: DataFrame, by=("subset",)) -> DataFrame:
-    """Worst late and early error (clamped at 0), largest contribution, sum of the top three."""
-    errors = with_errors(predictions)
+    """Worst late and early error (clamped at 0), largest contribution, sum of the TOP largest."""
+    errors = _errors_once(predictions, by)
     return errors.groupBy(*by).agg(*_extremes()).join(_worst(errors, by), list(by))
 
 
 def all_metrics(predictions: DataFrame, by=("subset",)) -> DataFrame:
     """Row and tail metrics together."""
-    errors = with_errors(predictions)
+    errors = _errors_once(predictions, by)
     main = errors.groupBy(*by).agg(*regression_metrics(F.col("error")), *_extremes())
     return main.join(_worst(errors, by), list(by))
 
@@ -109,36 +115,32 @@ def round_columns(df: DataFrame, digits=3) -> DataFrame:
     return df.select(*(F.round(c, digits).alias(c) if c in doubles else F.col(c) for c in df.columns))
 
 
-# The metrics of the comparison sheet, in its order.
-COMPARISON = (
-    "mae",
-    "rmse",
-    "rul_score",
-    "bias",
-    "late_prediction_rate",
-    "worst_positive_error",
-    "worst_negative_error",
-    "largest_score_contribution",
-    "top_3_score_contribution",
-)
-
-
 def comparison_sheet(results: DataFrame, by=("subset", "model", "feature_set"), digits=3) -> DataFrame:
-    """Test metrics per (subset, model, feature set), rounded for reading."""
-    return results.select(*by, *(F.round(name, digits).alias(f"test_{name}") for name in COMPARISON))
+    """All metrics of ``all_metrics`` per (subset, model, feature set), rounded for reading."""
+    measures = [name for name in results.columns if name not in by]
+    return results.select(*by, *(F.round(name, digits).alias(f"test_{name}") for name in measures))
 
 
 def feature_parity(left: DataFrame, right: DataFrame, features, keys=("subset", "unit_id", "cycle"), rtol=1e-10, atol=1e-12) -> DataFrame:
-    """Cells in which two feature frames differ beyond tolerance; null equals NaN."""
+    """Cells in which two feature frames differ beyond tolerance; null equals NaN.
+
+    Wide rows are joined once on their keys; only cells that differ become rows.
+    """
+
+    def side(df, name):
+        cells = F.array(*(F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in features))
+        return df.select(*keys, cells.alias(name))
+
+    names = F.array(*(F.lit(c) for c in features))
+    both = side(left, "x").join(side(right, "y"), list(keys), "full")
+    nothing = F.array_repeat(F.lit(None).cast("double"), len(features))
+    cells = F.arrays_zip(names.alias("feature"), F.coalesce("x", nothing).alias("a"), F.coalesce("y", nothing).alias("b"))
 
-    def cells(df, name):
-        pairs = F.array(*(F.struct(F.lit(c).alias("feature"), F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(name)) for c in features))
-        return df.select(*keys, F.inline(pairs))
+    def differs(cell):
+        far = F.abs(cell["a"] - cell["b"]) > atol + rtol * F.abs(cell["b"])
+        return F.coalesce(far, F.lit(False)) | (cell["a"].isNull() != cell["b"].isNull())
 
-    # Features differ per row, so (keys, feature) is unique and evenly spread.
-    both = cells(left, "a").join(cells(right, "b"), [*keys, "feature"], "full")
-    far = F.abs(F.col("a") - F.col("b")) > atol + rtol * F.abs(F.col("b"))
-    return both.where(far | (F.col("a").isNull() != F.col("b").isNull()))
+    return both.select(*keys, F.inline(F.filter(cells, differs)))
 
 
 def request_outcomes(log: DataFrame, by=("subset", "model_type")) -> DataFrame:

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlife.operators.endpoints import single_records
 from fleetlife.operators.trajectory import block_window, own_rows, to_blocks, unit_last_cycle, with_unit_facts
 from fleetlife.schema import TERMINAL_COLUMN, UNIT
 
@@ -15,8 +16,14 @@ def label_complete(df: DataFrame, keys=UNIT) -> DataFrame:
 
 
 def label_truncated(df: DataFrame, terminal: DataFrame, keys=UNIT) -> DataFrame:
-    """Label histories cut before failure: official terminal RUL plus cycles to the cut."""
-    facts = unit_last_cycle(df, keys).join(terminal.select(*keys, TERMINAL_COLUMN), list(keys))
+    """Label histories cut before failure: official terminal RUL plus cycles to the cut.
+
+    A unit without an official record, or with several, is an error of the job.
+    """
+    facts = unit_last_cycle(df, keys).join(single_records(terminal, keys), list(keys), "left")
+    unit = F.concat_ws(" ", *(F.col(k).cast("string") for k in keys))
+    missing = F.raise_error(F.concat(F.lit("no official record for unit "), unit)).cast("int")
+    facts = facts.withColumn(TERMINAL_COLUMN, F.when(F.col(TERMINAL_COLUMN).isNull(), missing).otherwise(F.col(TERMINAL_COLUMN)))
     labelled = with_unit_facts(df, facts, keys)
     rul = F.col(TERMINAL_COLUMN) + F.col("last_cycle") - F.col("cycle")
     return labelled.select(*df.columns, rul.cast("int").alias("RUL"))

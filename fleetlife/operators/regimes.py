@@ -8,7 +8,6 @@ from fleetlife.functions.expressions import regime_keys
 from fleetlife.schema import SETTINGS
 
 KEYS = tuple(f"key_{name}" for name in SETTINGS)
-SAMPLE = 20
 
 
 def fit_regimes(train: DataFrame) -> DataFrame:
@@ -22,11 +21,16 @@ def number_regimes(seen: DataFrame) -> DataFrame:
     return seen.select("subset", *KEYS, number.cast("int").alias("regime"))
 
 
-def join_regimes(df: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Left lookup of the regime; null where the settings were not seen in training."""
+def join_regimes(df: DataFrame, mapping: DataFrame, strict=False) -> DataFrame:
+    """Left lookup of the regime; null, or with ``strict`` an error of the job, where the
+    settings were not seen in training."""
     if "regime" in df.columns:
         raise ValueError("the input already has a regime column")
     found = attach(df.select("*", *regime_keys()), mapping, ["subset", *KEYS], "left")
+    if strict:
+        settings = F.concat_ws(" ", "subset", *(F.col(k).cast("string") for k in KEYS))
+        unseen = F.raise_error(F.concat(F.lit("settings unseen in training: "), settings)).cast("int")
+        found = found.withColumn("regime", F.when(F.col("regime").isNull(), unseen).otherwise(F.col("regime")))
     columns = list(df.columns)
     columns.insert(columns.index("cycle") + 1 if "cycle" in columns else 0, "regime")
     return found.select(*columns)
@@ -39,14 +43,14 @@ def unseen_regimes(df: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def assign_regimes(df: DataFrame, mapping: DataFrame, strict=True) -> DataFrame:
-    """Regime per row; with ``strict``, unseen settings are an error."""
-    if strict:
-        if not mapping.take(1):
-            raise ValueError("the regime mapping is empty")
-        unseen = unseen_regimes(df, mapping).limit(SAMPLE).collect()
-        if unseen:
-            raise ValueError(f"settings unseen in training: {sorted(tuple(row) for row in unseen)}")
-    return join_regimes(df, mapping)
+    """Regime per row; with ``strict``, unseen settings are an error.
+
+    The lookup itself raises it, when the rows are read: no pass over the rows goes ahead.
+    ``unseen_regimes`` lists the settings.
+    """
+    if strict and not mapping.take(1):
+        raise ValueError("the regime mapping is empty")
+    return join_regimes(df, mapping, strict)
 
 
 def regimes_per_subset(mapping: DataFrame) -> DataFrame:

@@ -67,12 +67,14 @@ def split_by_unit(df: DataFrame, fraction=VALIDATION_FRACTION, seed=SPLIT_SEED)
 
 
 def lost_rows(original: DataFrame, *parts: DataFrame) -> DataFrame:
-    """Rows that the parts lose or invent, duplicates counted."""
-    joined = parts[0]
-    for part in parts[1:]:
-        joined = joined.unionByName(part)
-    gone = original.exceptAll(joined).withColumn("side", F.lit("lost"))
-    return gone.unionByName(joined.exceptAll(original).withColumn("side", F.lit("invented")))
+    """Rows that the parts lose or invent, duplicates counted: one signed count of equal rows."""
+    marked = original.withColumn("__n", F.lit(1))
+    for part in parts:
+        marked = marked.unionByName(part.withColumn("__n", F.lit(-1)))
+    balance = marked.groupBy(*original.columns).agg(F.sum("__n").alias("__n")).where("__n <> 0")
+    side = F.when(F.col("__n") > 0, "lost").otherwise("invented")
+    copies = F.explode(F.sequence(F.lit(1), F.abs("__n")))
+    return balance.select(*original.columns, side.alias("side"), copies.alias("__copy")).drop("__copy")
 
 
 def shared_units(left: DataFrame, right: DataFrame, keys=("subset", "unit_id")) -> DataFrame:

@@ -23,6 +23,12 @@ def ewma_memory(alpha: float) -> int:
     return 1 + math.ceil(math.log(NEGLIGIBLE) / math.log1p(-alpha))
 
 
+def reach(lags=LAGS, windows=ROLLING_WINDOWS, alpha: float | None = EWMA_ALPHA) -> int:
+    """Rows before a row that its features read."""
+    weighted = alpha is not None and alpha < 1.0
+    return max([0, *lags, *(k - 1 for k in windows), ewma_memory(alpha) if weighted else 0])
+
+
 def ewma_block_rows(alpha: float, lead_in: int, block_rows: int = BLOCK_ROWS) -> int:
     """Block length for which the growing weights cannot overflow."""
     rate = -math.log1p(-alpha)
@@ -56,6 +62,7 @@ def temporal_features(
     keys=UNIT,
     contiguous=False,
     block_rows: int = BLOCK_ROWS,
+    complete=False,
 ) -> DataFrame:
     """Append the chosen feature families; empty ``lags`` / ``windows`` or a null
     ``alpha`` leave a family out.
@@ -65,9 +72,12 @@ def temporal_features(
     (1 - alpha)^rank: one pass, no arrays. A later block starts ``ewma_memory`` rows
     early, so what it leaves out is below double precision.
 
-    Frames are read through row offsets and summed in plain expressions, which costs a
-    quarter of sliding window aggregates. A sensor has a reading in every row of a unit
-    (the validated case) or in none, which gives nulls.
+    A null reading counts in no frame: statistics are over the readings there are, and
+    smoothing goes from one reading to the next. With ``complete``, the caller vouches that
+    a sensor has a reading in every row of a unit (the validated case) or in none, which gives
+    nulls; frames are then read through row offsets and summed in plain expressions,
+    which costs a quarter of sliding window aggregates. In a block that does not start the
+    unit, smoothing knows the readings among the ``ewma_memory`` rows before it.
     """
     if alpha is not None and not 0.0 < alpha <= 1.0:
         raise ValueError("alpha must lie in (0, 1]")
@@ -75,14 +85,24 @@ def temporal_features(
     names = feature_names(sensors, lags, windows, alpha is not None)
     reject_collisions(df, names)
     weighted = alpha is not None and alpha < 1.0
-    lead_in = max([0, *lags, *(k - 1 for k in windows)])
+    lead_in = reach(lags, windows, alpha)
     if weighted:
-        lead_in = max(lead_in, ewma_memory(alpha))
         block_rows = ewma_block_rows(alpha, lead_in, block_rows)
 
     blocked = to_blocks(df, lead_in, keys, block_rows, contiguous)
     w = block_window(keys)
     out = blocked.withColumn(RANK, F.row_number().over(w))
+    if not complete:
+        made = _with_gaps(sensors, lags, windows, alpha, w)
+        if weighted:
+            running = w.rowsBetween(Window.unboundedPreceding, 0)
+            out = out.select("*", *(F.count(s).over(running).alias(f"__n_{s}") for s in sensors))
+            shares = [f"`{s}` * if(`__n_{s}` = 1, 1D, {alpha!r}D) * power({1.0 - alpha!r}D, 1 - `__n_{s}`) AS `__w_{s}`" for s in sensors]
+            out = out.selectExpr("*", *shares).select("*", *(F.sum(f"__w_{s}").over(running).alias(f"__y_{s}") for s in sensors))
+            made += [F.expr(f"`__y_{s}` * power({1.0 - alpha!r}D, `__n_{s}` - 1)").alias(f"{s}_ewma") for s in sensors]
+        out = out.select(*blocked.columns, *made)
+        differences = [(F.col(s) - F.col(f"{s}_lag_{k}")).alias(f"{s}_diff_{k}") for s in sensors for k in lags]
+        return own_rows(out.select("*", *differences)).select(*df.columns, *names)
     segments = _segments(windows)
     covered = {i for _, first, last in segments for i in range(first, last + 1)}
     direct = [k for k in lags if k not in covered]
@@ -108,6 +128,21 @@ def temporal_features(
     return own_rows(out.selectExpr(*_columns(blocked), *made)).select(*df.columns, *names)
 
 
+def _with_gaps(sensors, lags, windows, alpha, w) -> list:
+    """Lags and frame statistics as window aggregates, which pass over nulls."""
+    made = [F.lag(s, k).over(w).alias(f"{s}_lag_{k}") for s in sensors for k in lags]
+    for k in windows:
+        frame = w.rowsBetween(1 - k, 0)
+        for s in sensors:
+            made.append(F.avg(s).over(frame).alias(f"{s}_rolling_mean_{k}"))
+            made.append(F.stddev_samp(s).over(frame).alias(f"{s}_rolling_std_{k}"))
+            made.append(F.regr_slope(F.col(s), F.col("cycle")).over(frame).alias(f"{s}_rolling_slope_{k}"))
+    if alpha == 1.0:
+        held = w.rowsBetween(Window.unboundedPreceding, 0)
+        made += [F.last(s, ignorenulls=True).over(held).alias(f"{s}_ewma") for s in sensors]
+    return made
+
+
 def _columns(df: DataFrame) -> list[str]:
     return [f"`{name}`" for name in df.columns]
 

@@ -31,7 +31,8 @@ def prepare(labelled: DataFrame, fitted: state.Fitted, include_temporal=False, c
     ready = selection.model_ready(applied, sensors, ["split"])
     if not include_temporal:
         return ready
-    return temporal.temporal_features(ready, sensors, keys=("split", *UNIT), contiguous=contiguous)
+    # Validated rows have every reading; a sensor that its subset dropped has none.
+    return temporal.temporal_features(ready, sensors, keys=("split", *UNIT), contiguous=contiguous, complete=True)
 
 
 def summary(processed: DataFrame, fitted: state.Fitted) -> DataFrame:

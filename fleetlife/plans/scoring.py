@@ -29,10 +29,18 @@ def prepare(rows: DataFrame, fitted: state.Fitted, features, keys=UNIT, contiguo
 
 
 def score_last(rows: DataFrame, fitted: state.Fitted, model, features, keys=UNIT, contiguous=False, strict=True) -> DataFrame:
-    """Predicted RUL at the last observed cycle of every unit."""
-    prepared = prepare(rows, fitted, features, keys, contiguous, strict)
-    last = trajectory.with_unit_facts(prepared, trajectory.unit_last_cycle(rows, keys), keys)
-    at_end = last.where(F.col("cycle") == F.col("last_cycle")).drop("last_cycle")
+    """Predicted RUL at the last observed cycle of every unit.
+
+    Only rows that the last one's features read are prepared: itself for baseline features,
+    the longest frame before it for temporal ones.
+    """
+    ends = trajectory.unit_last_cycle(rows, keys).withColumnRenamed("last_cycle", "end_cycle")
+    if feature_set(features) == "temporal":
+        needed = sequences.tails(rows, ends, temporal.reach() + 1, keys, contiguous)
+        prepared = prepare(needed.drop("end_cycle"), fitted, features, keys, False, strict)
+        at_end = prepared.join(ends.withColumnRenamed("end_cycle", "cycle"), [*keys, "cycle"])
+    else:
+        at_end = prepare(trajectory.last_rows(rows, [c for c in rows.columns], keys), fitted, features, keys, contiguous, strict)
     return models.predict(model, at_end).select(*keys, "cycle", F.col("prediction").alias("predicted_rul"))
 
 

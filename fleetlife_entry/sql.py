@@ -326,6 +326,8 @@ ROWS = "SELECT subset, unit_id, cycle FROM tele JOIN split_units USING (subset,
 define("split_train", f"{ROWS} NOT is_validation", TELE, SPLIT)
 define("split_validation", f"{ROWS} is_validation", TELE, SPLIT)
 define("split_lost_rows", f"SELECT *, 'lost' AS side FROM ({ROWS} is_validation)", TELE, SPLIT)
+define("split_parts_lost", f"SELECT *, 'lost' AS side FROM ({ROWS} is_validation IS NULL)", TELE, SPLIT)
+define("split_parts_shared", "SELECT subset, unit_id FROM split_units GROUP BY subset, unit_id HAVING count(DISTINCT is_validation) > 1", TELE, SPLIT)
 define(
     "split_shared_units",
     "SELECT subset, unit_id FROM tele WHERE cycle <= 60 INTERSECT SELECT subset, unit_id FROM tele WHERE cycle > 60",
@@ -366,7 +368,18 @@ define(
     REGIMES,
     f", whole AS ({_stats('tele', 'subset', 'stddev_samp')})",
 )
-define("scaled_regime", f"SELECT subset, unit_id, cycle, regime, {rs(SENSORS)} FROM scaled", TELE, REGIMES, STATS, SCALED)
+# All statistics in one row per regime, joined once.
+SPREADS = ", ".join(
+    f"avg({s}) AS m_{s}, CASE WHEN min({s}) = max({s}) THEN 0.0e0 WHEN any_value(n) = 1 THEN stddev_samp({s}) ELSE stddev_pop({s}) END AS d_{s}" for s in SENSORS
+)
+WIDE_SCALED = f""",
+wide AS MATERIALIZED (SELECT subset, regime, {SPREADS} FROM assigned JOIN n_regimes USING (subset) GROUP BY subset, regime),
+scaled AS (
+  SELECT subset, unit_id, cycle, regime, {', '.join(f'CASE WHEN d_{s} = 0 THEN 0.0e0 ELSE ({s} - m_{s}) / d_{s} END AS {s}' for s in SENSORS)}
+  FROM assigned JOIN wide USING (subset, regime)
+)
+"""
+define("scaled_regime", f"SELECT subset, unit_id, cycle, regime, {rs(SENSORS)} FROM scaled", TELE, REGIMES, WIDE_SCALED)
 define(
     "scaled_moments",
     "SELECT * REPLACE (round(mean + 1e-10, 6) AS mean, round(std + 1e-10, 6) AS std) FROM ("
@@ -428,6 +441,23 @@ define("rolling_slope_gappy", features(("sensor_2",), (lambda s: slopes(s, (5, 1
 define("ewma", features(PAIR, (smoothed,)), TELE)
 
 
+def slopes_of_readings(s, windows=(5, 10)):
+    return [f"CASE WHEN count({s}) OVER w{k} > 1 THEN {r(f'regr_slope({s}, cycle) OVER w{k}')} END AS {s}_rolling_slope_{k}" for k in windows]
+
+
+def smoothed_readings(s):
+    kept = f"list({s}) FILTER ({s} IS NOT NULL) OVER w"
+    return [f"CASE WHEN count({s}) OVER w > 0 THEN {r(f'list_reduce({kept}, lambda a, b: 0.2e0 * b + 0.8e0 * a)')} END AS {s}_ewma"]
+
+
+define(
+    "features_with_nulls",
+    features(("sensor_3",), (lambda s: [f"{r(f'lag({s}, {k}) OVER w')} AS {s}_lag_{k}" for k in (1, 5)], differences, lambda s: statistics(s, (5, 10)), slopes_of_readings, smoothed_readings), "nulled"),
+    TELE,
+    ", nulled AS (SELECT * REPLACE (CASE WHEN sensor_3 >= 30 THEN sensor_3 END AS sensor_3) FROM tele)",
+)
+
+
 def rounded_lags(s):
     return [f"{r(f'lag({s}, {k}) OVER w')} AS {s}_lag_{k}" for k in (1, 5)]
 
@@ -739,31 +769,47 @@ define(
     TELE,
 )
 
+# ---------------------------------------------------------------- properties of scores
+
+define(
+    "rf_checks",
+    """SELECT subset, count(*) AS n_endpoints, 1 AS all_in_range FROM cuts JOIN split_units USING (subset, unit_id)
+    WHERE is_validation AND cycle IS NOT NULL GROUP BY subset""",
+    TELE,
+    SPLIT,
+    cutoffs("tele"),
+)
+define("official_checks", "SELECT subset, count(*) AS n_endpoints, 1 AS all_in_range FROM lens WHERE last_cycle >= 2 GROUP BY subset", TELE)
+define(
+    "fleet_score_checks",
+    "SELECT subset, unit_id, CAST(floor(last_cycle / 2.0e0) AS INTEGER) AS cycle, 1 AS scored FROM lens WHERE last_cycle >= 2",
+    TELE,
+)
+
 # ---------------------------------------------------------------- streams
 
 define("stream_request_totals", "SELECT status, count(*) AS requests FROM traffic GROUP BY status", TRAFFIC)
 
 
-WATERMARK = "(SELECT max(ts) - INTERVAL '1 hour' FROM traffic)"
-define("stream_request_rate", f"SELECT * FROM ({tumbling(PER_SECOND, 'status')}) WHERE window_end <= {WATERMARK}", TRAFFIC)
+define("stream_request_rate", f"SELECT * FROM ({tumbling(PER_SECOND, 'status')})", TRAFFIC)
 define(
     "stream_latency_p95",
-    f"SELECT * REPLACE ({r('latency_p95_s')} AS latency_p95_s) FROM ({histogram_quantile(GROUPED)}) WHERE window_end <= {WATERMARK}",
+    f"SELECT * REPLACE ({r('latency_p95_s')} AS latency_p95_s) FROM ({histogram_quantile(GROUPED)})",
     TRAFFIC,
 )
 define(
     "stream_error_alerts",
     "SELECT window_end - INTERVAL '6 hours' AS span_start, window_end AS span_end FROM ("
     + held(sliding(f"{ERROR_PERCENT} AS error_percent", ""), "error_percent > 100 * 0.19e0", 3, "INTERVAL '2 hours'")
-    + f") WHERE firing AND window_end <= {WATERMARK}",
+    + ") WHERE firing",
     TRAFFIC,
 )
 define(
     "stream_silences",
-    f"""SELECT subset, model_type, max(ts) AS silent_from, count(*) AS requests FROM (
+    """SELECT subset, model_type, max(ts) AS silent_from, count(*) AS requests FROM (
       SELECT *, sum(CASE WHEN fresh THEN 1 ELSE 0 END) OVER (PARTITION BY subset, model_type ORDER BY ts) AS session FROM (
         SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY subset, model_type ORDER BY ts) >= INTERVAL '20 minutes', true) AS fresh FROM traffic))
-    GROUP BY subset, model_type, session HAVING max(ts) + INTERVAL '20 minutes' <= {WATERMARK}""",
+    GROUP BY subset, model_type, session""",
     TRAFFIC,
 )
 

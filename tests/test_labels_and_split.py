@@ -16,7 +16,7 @@ def rul_by_unit(df):
     return found
 
 
-@pytest.mark.parametrize("lengths, expected", [({1: 4}, {1: [3, 2, 1, 0]}), ({1: 3, 2: 5}, {1: [2, 1, 0], 2: [4, 3, 2, 1, 0]})])
+@pytest.mark.parametrize("lengths, expected", [({9: 1}, {9: [0]}), ({5: 2, 11: 6, 12: 7}, {5: [1, 0], 11: [5, 4, 3, 2, 1, 0], 12: [6, 5, 4, 3, 2, 1, 0]})])
 def test_complete_histories(frame, lengths, expected):
     labelled = labels.label_complete(frame(cycles(lengths), "unit_id int, cycle int"))
     assert rul_by_unit(labelled) == expected
@@ -25,7 +25,7 @@ def test_complete_histories(frame, lengths, expected):
 
 @pytest.mark.parametrize(
     "lengths, terminal, expected",
-    [({1: 4}, {1: 2}, {1: [5, 4, 3, 2]}), ({1: 3, 2: 5}, {1: 5, 2: 10}, {1: [7, 6, 5], 2: [14, 13, 12, 11, 10]})],
+    [({9: 1}, {9: 0}, {9: [0]}), ({5: 2, 11: 4}, {5: 31, 11: 7}, {5: [32, 31], 11: [10, 9, 8, 7]})],
 )
 def test_truncated_histories(frame, lengths, terminal, expected):
     official = frame(list(terminal.items()), f"unit_id int, {TERMINAL_COLUMN} int")
@@ -36,6 +36,15 @@ def test_truncated_histories(frame, lengths, terminal, expected):
     assert labels.label_step_violations(labelled).count() == 0
 
 
+def test_each_unit_needs_one_official_record(frame):
+    rows = frame(cycles({1: 2, 2: 3}), "unit_id int, cycle int")
+    columns = f"unit_id int, {TERMINAL_COLUMN} int"
+    with pytest.raises(Exception, match="no official record for unit FD001 2"):
+        labels.label_truncated(rows, frame([(1, 4)], columns)).collect()
+    with pytest.raises(Exception, match="several official records for unit FD001 2"):
+        labels.label_truncated(rows, frame([(1, 4), (2, 5), (2, 6)], columns)).collect()
+
+
 @pytest.mark.parametrize("units, official", [((1, 2, 3), (1, 2)), ((1, 2), (1, 2, 3)), ((1, 3), (1, 2))])
 def test_unit_mismatch(frame, units, official):
     test = frame([(u, 1) for u in units], "unit_id int, cycle int")

@@ -11,7 +11,7 @@ STEPS = "unit_id int, cycle int, RUL int, sensor_2 double, sensor_3 double"
 
 
 def two_units(frame):
-    rows = [(u, c, 10 - c, 10.0 * c * s, 1.0 * c * s) for u, s in ((1, 1), (2, 10)) for c in (1, 2, 3)]
+    rows = [(3, 1, 6, 0.5, -1.0), (3, 2, 5, 2.5, -4.0), (3, 3, 4, 1.5, -9.0), (3, 4, 3, 9.5, -2.0), (8, 1, 2, 7.0, 30.0), (8, 2, 1, 6.0, 50.0)]
     return frame(rows[::-1], STEPS)
 
 
@@ -20,12 +20,12 @@ def test_sliding_sequences(frame, contiguous, block_rows):
     made = sequences.sliding_sequences(two_units(frame), ["sensor_3", "sensor_2"], 2, contiguous=contiguous, block_rows=block_rows)
     rows = made.orderBy("unit_id", "cycle").collect()
     assert [r["sequence"] for r in rows] == [
-        [[1, 10], [2, 20]],
-        [[2, 20], [3, 30]],
-        [[10, 100], [20, 200]],
-        [[20, 200], [30, 300]],
+        [[-1, 0.5], [-4, 2.5]],
+        [[-4, 2.5], [-9, 1.5]],
+        [[-9, 1.5], [-2, 9.5]],
+        [[30, 7], [50, 6]],
     ]
-    assert [r["target"] for r in rows] == [8, 7, 8, 7]
+    assert [r["target"] for r in rows] == [5, 4, 3, 1]
 
 
 def long_units(frame, lengths):
@@ -35,8 +35,9 @@ def long_units(frame, lengths):
 
 @pytest.mark.parametrize("block_rows", [2048, 60])
 def test_short_units_have_no_full_sequence(frame, block_rows):
-    made = sequences.sliding_sequences(long_units(frame, {1: 31, 2: 29}), ["sensor_2"], block_rows=block_rows)
-    assert [(r["unit_id"], r["target"]) for r in made.orderBy("cycle").collect()] == [(1, 1), (1, 0)]
+    made = sequences.sliding_sequences(long_units(frame, {1: 17, 2: 40, 3: 18}), ["sensor_2"], 18, block_rows=block_rows)
+    counts = {r["unit_id"]: r["count"] for r in made.groupBy("unit_id").count().collect()}
+    assert counts == {2: 23, 3: 1}
 
 
 def ends(frame, points):
@@ -45,9 +46,8 @@ def ends(frame, points):
 
 @pytest.mark.parametrize("contiguous", [True, False])
 def test_endpoint_sequences(frame, contiguous):
-    rows = frame([(u, c, 4 - c, 10.0 * c * (1 if u == 1 else 10), 0.0) for u in (1, 2) for c in (1, 2, 3, 4)], STEPS)
-    made = sequences.endpoint_sequences(rows, ends(frame, [(1, 3), (2, 4)]), ["sensor_2"], 3, contiguous=contiguous)
-    assert [r["sequence"] for r in made.orderBy("unit_id").collect()] == [[[10], [20], [30]], [[200], [300], [400]]]
+    made = sequences.endpoint_sequences(two_units(frame), ends(frame, [(3, 3), (8, 2)]), ["sensor_2"], 2, contiguous=contiguous)
+    assert [r["sequence"] for r in made.orderBy("unit_id").collect()] == [[[2.5], [1.5]], [[7], [6]]]
 
 
 def test_endpoint_sequences_are_not_padded(frame):
@@ -79,8 +79,8 @@ def test_model_inputs(frame):
     rows = two_units(frame).withColumn("operating_regime", F.lit(1)).withColumn("sensor_2_lag_1", F.lit(0.0))
     assert feature_columns(rows.columns) == ["sensor_2", "sensor_3", "sensor_2_lag_1"]
     assert selection.model_inputs(rows, ["sensor_3", "sensor_2"]).columns == ["sensor_3", "sensor_2", "RUL"]
-    capped = selection.cap_target(rows, 8).agg(F.max("RUL"), F.min("RUL")).first()
-    assert tuple(capped) == (8, 7)
+    capped = selection.cap_target(rows, 4).agg(F.max("RUL"), F.min("RUL")).first()
+    assert tuple(capped) == (4, 1)
 
 
 def test_dense_features(frame):
@@ -123,12 +123,12 @@ def predictions(frame, rows):
 
 
 def test_row_metrics(frame):
-    found = evaluation.row_metrics(predictions(frame, [(1, 1, 100, 87.0), (2, 1, 100, 100.0), (3, 1, 100, 110.0)])).first()
-    assert found["rmse"] == pytest.approx(math.sqrt(269 / 3))
-    assert found["mae"] == pytest.approx(23 / 3)
-    assert found["rul_score"] == pytest.approx(2 * math.expm1(1))
-    assert found["bias"] == pytest.approx(-1.0)
-    assert found["late_prediction_rate"] == pytest.approx(1 / 3)
+    found = evaluation.row_metrics(predictions(frame, [(1, 1, 70, 44.0), (2, 1, 15, 20.0), (3, 1, 9, 9.0), (4, 1, 40, 55.0)])).first()
+    assert found["rmse"] == pytest.approx(math.sqrt(926 / 4))
+    assert found["mae"] == pytest.approx(46 / 4)
+    assert found["rul_score"] == pytest.approx(math.expm1(2) + math.expm1(0.5) + math.expm1(1.5))
+    assert found["bias"] == pytest.approx(-1.5)
+    assert found["late_prediction_rate"] == pytest.approx(1 / 2)
 
 
 def test_diagnostics_are_worst_first(frame):
@@ -149,6 +149,8 @@ def test_official_endpoints(frame):
     assert found["rmse"] == found["mae"] == 5.0
     assert found["rul_score"] == pytest.approx(math.expm1(5 / 13) + math.expm1(0.5))
     assert endpoints.duplicate_units(terminal.unionByName(terminal)).count() == 2
+    with pytest.raises(Exception, match="several official records"):
+        endpoints.official_endpoints(rows, terminal.unionByName(terminal)).collect()
 
 
 def test_champion_and_competitor(spark):
@@ -179,4 +181,6 @@ def test_quotas_and_samples(spark, frame):
     assert sampled.exceptAll(again.select(sampled.columns)).count() == 0
     assert sampled.groupBy("subset").count().orderBy("subset").collect()[0]["count"] == 4
     assert endpoints.short_subsets(sampled, shares).count() == 0
+    with pytest.raises(ValueError, match="too few units"):
+        endpoints.sample_units(picks, endpoints.quotas(both, 30), 1, strict=True)
     assert endpoints.short_subsets(sampled.where("subset = 'FD001'"), shares).count() == 1
