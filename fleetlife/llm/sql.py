@@ -1,3 +1,70 @@
-"""DuckDB statements for the queries of this folder that SQL can express."""
+"""DuckDB statements for the queries of this folder that SQL can express.
 
-STATEMENTS = {}
+The others hold trained models, hashes of Spark's own or tree parsing, and are tested
+against brute force in ``tests/llm``.
+"""
+
+WORDS = r"regexp_extract_all(coalesce({text}, ''), '[^\x20\x09-\x0D]+')"
+REACHED = """
+ends AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(id, to_id) AS (SELECT DISTINCT a, a FROM ends UNION SELECT r.id, e.b FROM reach r JOIN ends e ON e.a = r.to_id),
+component AS (SELECT id, min(to_id) AS component_id FROM reach GROUP BY id)
+"""
+
+JACCARD = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {WORDS.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS words FROM documents WHERE doc_id IS NOT NULL
+),
+shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(words) < 4 THEN array_to_string(words, ' ') ELSE array_to_string(words[i:i + 3], ' ') END AS s
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(2, len(words) - 2))) AS i FROM w WHERE len(words) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM pairs p JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * p.n >= 85 * (x.n + y.n - p.n)
+),
+{REACHED}
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, w.doc_id) AS component_id
+FROM w LEFT JOIN sizes USING (doc_id) LEFT JOIN component ON id = w.doc_id
+"""
+
+SUBSTRINGS = f"""
+WITH w AS (SELECT doc_id, {WORDS.format(text="text")} AS words FROM documents WHERE doc_id IS NOT NULL),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(words[i:i + 34], ' ')) AS h
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS i FROM w WHERE len(words) >= 35)
+),
+often AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+covered AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS place FROM windows JOIN often USING (h)),
+gone AS (SELECT doc_id, count(*) AS n FROM covered GROUP BY doc_id),
+placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM w),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text FROM placed p
+  WHERE NOT EXISTS (SELECT 1 FROM covered c WHERE c.doc_id = p.doc_id AND c.place = p.place) GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(gone.n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+VECTORS = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0
+),
+links AS (
+  SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.label = q.label AND p.vec_id < q.vec_id AND len(p.x) = len(q.x)
+  WHERE list_dot_product(p.x, q.x) / sqrt(list_dot_product(p.x, p.x) * list_dot_product(q.x, q.x)) >= 0.93
+),
+{REACHED},
+degree AS (SELECT a AS id, count(*) AS n FROM ends GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN component c ON c.id = vec_id LEFT JOIN degree d ON d.id = vec_id
+"""
+
+STATEMENTS = {
+    "op5_ngram_jaccard_join": JACCARD,
+    "op7_substring_dedup": SUBSTRINGS,
+    "op8_embedding_near_dedup": VECTORS,
+}
