@@ -72,12 +72,12 @@ def temporal_features(
     (1 - alpha)^rank: one pass, no arrays. A later block starts ``ewma_memory`` rows
     early, so what it leaves out is below double precision.
 
-    A null reading counts in no frame: statistics are over the readings there are, and
-    smoothing goes from one reading to the next. With ``complete``, the caller vouches that
-    a sensor has a reading in every row of a unit (the validated case) or in none, which gives
-    nulls; frames are then read through row offsets and summed in plain expressions,
-    which costs a quarter of sliding window aggregates. In a block that does not start the
-    unit, smoothing knows the readings among the ``ewma_memory`` rows before it.
+    Frames are read through row offsets and summed in plain expressions, which costs a
+    quarter of sliding window aggregates. A null reading counts in no frame: statistics are
+    over the readings there are, and smoothing goes from one reading to the next; in a
+    block that does not start the unit, it knows those among the ``ewma_memory`` rows before.
+    With ``complete``, the caller vouches that a sensor has a reading in every row of a unit (the
+    validated case) or in none, which saves the counts and gives the same numbers.
     """
     if alpha is not None and not 0.0 < alpha <= 1.0:
         raise ValueError("alpha must lie in (0, 1]")
@@ -92,17 +92,6 @@ def temporal_features(
     blocked = to_blocks(df, lead_in, keys, block_rows, contiguous)
     w = block_window(keys)
     out = blocked.withColumn(RANK, F.row_number().over(w))
-    if not complete:
-        made = _with_gaps(sensors, lags, windows, alpha, w)
-        if weighted:
-            running = w.rowsBetween(Window.unboundedPreceding, 0)
-            out = out.select("*", *(F.count(s).over(running).alias(f"__n_{s}") for s in sensors))
-            shares = [f"`{s}` * if(`__n_{s}` = 1, 1D, {alpha!r}D) * power({1.0 - alpha!r}D, 1 - `__n_{s}`) AS `__w_{s}`" for s in sensors]
-            out = out.selectExpr("*", *shares).select("*", *(F.sum(f"__w_{s}").over(running).alias(f"__y_{s}") for s in sensors))
-            made += [F.expr(f"`__y_{s}` * power({1.0 - alpha!r}D, `__n_{s}` - 1)").alias(f"{s}_ewma") for s in sensors]
-        out = out.select(*blocked.columns, *made)
-        differences = [(F.col(s) - F.col(f"{s}_lag_{k}")).alias(f"{s}_diff_{k}") for s in sensors for k in lags]
-        return own_rows(out.select("*", *differences)).select(*df.columns, *names)
     segments = _segments(windows)
     covered = {i for _, first, last in segments for i in range(first, last + 1)}
     direct = [k for k in lags if k not in covered]
@@ -111,38 +100,30 @@ def temporal_features(
         out = out.select("*", *shifted).selectExpr(*_columns(out), *_lag_features(sensors, direct))
     step = 0
     for k, first, last in segments:
-        out = _add_segment(out, w, sensors, k, step, range(first, last + 1), lags)
+        out = _add_segment(out, w, sensors, k, step, range(first, last + 1), lags, complete)
         step = max(step, last)
     if weighted:
-        growth = f"power({1.0 - alpha!r}D, 1 - {RANK})"
-        shares = [f"`{s}` * if({RANK} = 1, 1D, {alpha!r}D) * {growth} AS `__w_{s}`" for s in sensors]
         running = w.rowsBetween(Window.unboundedPreceding, 0)
+        # The n-th reading: with gaps, each sensor has its own count.
+        nth = {s: RANK if complete else f"`__nth_{s}`" for s in sensors}
+        if not complete:
+            out = out.select("*", *(F.count(s).over(running).alias(f"__nth_{s}") for s in sensors))
+        shares = [f"`{s}` * if({nth[s]} = 1, 1D, {alpha!r}D) * power({1.0 - alpha!r}D, 1 - {nth[s]}) AS `__w_{s}`" for s in sensors]
         out = out.selectExpr("*", *shares).select("*", *(F.sum(f"__w_{s}").over(running).alias(f"__y_{s}") for s in sensors))
 
     made = [f"`{s}_{kind}_{k}`" for s in sensors for k in lags for kind in ("lag", "diff")]
-    made += _frame_statistics(sensors, windows)
+    made += _frame_statistics(sensors, windows, complete)
     if weighted:
-        made += [f"`__y_{s}` * power({1.0 - alpha!r}D, {RANK} - 1) AS `{s}_ewma`" for s in sensors]
+        made += [f"`__y_{s}` * power({1.0 - alpha!r}D, {nth[s]} - 1) AS `{s}_ewma`" for s in sensors]
     elif alpha is not None:
-        made += [f"`{s}` AS `{s}_ewma`" for s in sensors]
+        held = "`{0}`" if complete else "`__held_{0}`"
+        if not complete:
+            upto = w.rowsBetween(Window.unboundedPreceding, 0)
+            out = out.select("*", *(F.last(s, ignorenulls=True).over(upto).alias(f"__held_{s}") for s in sensors))
+        made += [f"{held.format(s)} AS `{s}_ewma`" for s in sensors]
     return own_rows(out.selectExpr(*_columns(blocked), *made)).select(*df.columns, *names)
 
 
-def _with_gaps(sensors, lags, windows, alpha, w) -> list:
-    """Lags and frame statistics as window aggregates, which pass over nulls."""
-    made = [F.lag(s, k).over(w).alias(f"{s}_lag_{k}") for s in sensors for k in lags]
-    for k in windows:
-        frame = w.rowsBetween(1 - k, 0)
-        for s in sensors:
-            made.append(F.avg(s).over(frame).alias(f"{s}_rolling_mean_{k}"))
-            made.append(F.stddev_samp(s).over(frame).alias(f"{s}_rolling_std_{k}"))
-            made.append(F.regr_slope(F.col(s), F.col("cycle")).over(frame).alias(f"{s}_rolling_slope_{k}"))
-    if alpha == 1.0:
-        held = w.rowsBetween(Window.unboundedPreceding, 0)
-        made += [F.last(s, ignorenulls=True).over(held).alias(f"{s}_ewma") for s in sensors]
-    return made
-
-
 def _columns(df: DataFrame) -> list[str]:
     return [f"`{name}`" for name in df.columns]
 
@@ -158,12 +139,14 @@ def _segments(windows) -> list[tuple[int, int, int]]:
     return [(k, start, k - 1) for k, start in zip(ordered, [1, *ordered])]
 
 
-def _add_segment(out: DataFrame, w, sensors, k: int, step: int, offsets, lags) -> DataFrame:
+def _add_segment(out: DataFrame, w, sensors, k: int, step: int, offsets, lags, complete) -> DataFrame:
     """Read the rows of one segment, reduce them to sums, and keep the last as the next start.
 
     The sums are of x, x squared and x times cycle relative to the current row. With
     d = x(t-i) - x(t) the shift is a member of every frame, so the sum of squares is at
-    most n times the centred one and the subtraction later loses no digits.
+    most n times the centred one and the subtraction later loses no digits. Where
+    readings may be null, each sensor has its own count and cycle sums, and a null x(t) is 0
+    as a shift; without nulls the results are the same to the last bit.
 
     Offsets count from the last row of the segment before, so the segments stay separate
     steps: together they would make one generated method too long to be compiled.
@@ -174,7 +157,13 @@ def _add_segment(out: DataFrame, w, sensors, k: int, step: int, offsets, lags) -
     e = [f"coalesce(`__cycle_{i}` - cycle, 0)" for i in offsets]
     sums = [f"{' + '.join(e) or '0'} AS `__e_{k}`", f"{' + '.join(f'{x} * {x}' for x in e) or '0'} AS `__ee_{k}`"]
     for s in sensors:
-        d = [f"coalesce(`__{s}_{i}` - `{s}`, 0D)" for i in offsets]
+        d = [f"coalesce(`__{s}_{i}` - {f'`{s}`' if complete else f'coalesce(`{s}`, 0D)'}, 0D)" for i in offsets]
+        if not complete:
+            e = [f"if(`__{s}_{i}` IS NULL, 0, `__cycle_{i}` - cycle)" for i in offsets]
+            counted = [f"if(`__{s}_{i}` IS NULL, 0, 1)" for i in offsets]
+            sums.append(f"{' + '.join(counted) or '0'} AS `__n_{s}_{k}`")
+            sums.append(f"{' + '.join(e) or '0'} AS `__e_{s}_{k}`")
+            sums.append(f"{' + '.join(f'{x} * {x}' for x in e) or '0'} AS `__ee_{s}_{k}`")
         sums.append(f"{' + '.join(d) or '0D'} AS `__d_{s}_{k}`")
         sums.append(f"{' + '.join(f'{x} * {x}' for x in d) or '0D'} AS `__dd_{s}_{k}`")
         sums.append(f"{' + '.join(f'{x} * {y}' for x, y in zip(d, e)) or '0D'} AS `__de_{s}_{k}`")
@@ -183,7 +172,7 @@ def _add_segment(out: DataFrame, w, sensors, k: int, step: int, offsets, lags) -
     return out.select("*", *reads).selectExpr(*(f"`{name}`" for name in known), *sums, *here, *following)
 
 
-def _frame_statistics(sensors, windows) -> list[str]:
+def _frame_statistics(sensors, windows, complete) -> list[str]:
     """Mean, sample deviation and slope per frame from the segment sums."""
     made = []
     smaller = []
@@ -193,14 +182,20 @@ def _frame_statistics(sensors, windows) -> list[str]:
         def total(name):
             return "(" + " + ".join(f"`{name}_{j}`" for j in smaller) + ")"
 
-        n = f"least({RANK}, {k})"
-        spread = f"({total('__ee')} - {total('__e')} * {total('__e')} / {n})"
         for s in sensors:
             d, dd, de = (total(f"__{name}_{s}") for name in ("d", "dd", "de"))
-            known = f"{n} > 1 AND `{s}` IS NOT NULL"
-            made.append(f"`{s}` + {d} / {n} AS `{s}_rolling_mean_{k}`")
+            if complete:
+                n, e, ee = f"least({RANK}, {k})", total("__e"), total("__ee")
+                known = f"{n} > 1 AND `{s}` IS NOT NULL"
+                mean = f"`{s}` + {d} / {n}"
+            else:
+                n, e, ee = f"({total(f'__n_{s}')} + if(`{s}` IS NULL, 0, 1))", total(f"__e_{s}"), total(f"__ee_{s}")
+                known = f"{n} > 1"
+                mean = f"if({n} > 0, coalesce(`{s}`, 0D) + {d} / {n}, NULL)"
+            spread = f"({ee} - {e} * {e} / {n})"
+            made.append(f"{mean} AS `{s}_rolling_mean_{k}`")
             made.append(f"if({known}, sqrt(greatest(0D, {dd} - {d} * {d} / {n}) / ({n} - 1)), NULL) AS `{s}_rolling_std_{k}`")
-            made.append(f"if({known}, ({de} - {d} * {total('__e')} / {n}) / {spread}, NULL) AS `{s}_rolling_slope_{k}`")
+            made.append(f"if({known}, ({de} - {d} * {e} / {n}) / {spread}, NULL) AS `{s}_rolling_slope_{k}`")
     return made
 
 
