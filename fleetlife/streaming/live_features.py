@@ -1,9 +1,10 @@
 """Temporal features on a stream of telemetry rows.
 
 Rows are keyed by unit and block of cycles, with the same lead-in copies as in batch,
-so a busy unit is spread over keys, the state of a key is bounded by the block, and
-a finished block frees its state. Rows that arrive out of order wait in state until
-their predecessor is there, or until the watermark passes them.
+so a busy unit is spread over keys and the state of a key is bounded by the block. A
+finished block keeps only its cursor, which tells late rows apart; a block that has had no
+row for ``idle`` of event time frees that too, as does an unfinished one. Rows that arrive
+out of order wait in state until their predecessor is there, or until the watermark passes them.
 """
 
 from collections.abc import Iterator
@@ -22,6 +23,9 @@ from fleetlife.schema import EWMA_ALPHA, LAGS, ROLLING_WINDOWS, UNIT
 # The processor travels with its code, so executors need no installed package.
 cloudpickle.register_pickle_by_value(fleetlife)
 
+#: Event time without a row after which a block's state is freed.
+IDLE_MS = 7 * 24 * 3_600_000
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -49,10 +53,10 @@ def rejected_rows(rows: DataFrame, sensors) -> DataFrame:
 class BlockFeatures(StatefulProcessor):
     """Features of one block of one unit, row by row in cycle order."""
 
-    def __init__(self, keys, sensors, lags, windows, alpha, lead_in, block_rows):
+    def __init__(self, keys, sensors, lags, windows, alpha, lead_in, block_rows, idle_ms=IDLE_MS):
         self.keys, self.sensors = list(keys), list(sensors)
         self.lags, self.windows, self.alpha = lags, windows, alpha
-        self.lead_in, self.block_rows = lead_in, block_rows
+        self.lead_in, self.block_rows, self.idle_ms = lead_in, block_rows, idle_ms
         self.reach = max([0, *lags, *(k - 1 for k in windows)])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -61,7 +65,7 @@ class BlockFeatures(StatefulProcessor):
         self.handle = handle
         self.waiting = handle.getListState("waiting", T.StructType(row + readings))
         self.past = handle.getListState("past", T.StructType([T.StructField("cycle", T.IntegerType()), *readings]))
-        self.cursor = handle.getValueState("cursor", T.StructType([T.StructField("next_cycle", T.IntegerType())]))
+        self.cursor = handle.getValueState("cursor", T.StructType([T.StructField("next_cycle", T.IntegerType()), T.StructField("last_ms", T.LongType())]))
         self.level = handle.getValueState("level", T.StructType(readings))
 
     def _next_cycle(self, block: int) -> int:
@@ -87,19 +91,26 @@ class BlockFeatures(StatefulProcessor):
                 rest.append(row)
         made = self._features(key, ready)
         made += [self._shape(key, row, None, "late", {}) for row in late if row[2]]
-        done = expected > (block + 1) * self.block_rows
-        if done:
+        last_ms = max([self.cursor.get()[1]] if self.cursor.exists() else [-1], default=-1)
+        last_ms = max([last_ms, *(row[0] for row in arrived)])
+        if not arrived and last_ms + self.idle_ms <= watermark_ms:
+            # Nothing for so long: rows of this block, waiting ones included, are all out.
             for state in (self.waiting, self.past, self.cursor, self.level):
                 state.clear()
-        elif queue:
-            if rest:
+        else:
+            if expected > (block + 1) * self.block_rows:
+                for state in (self.waiting, self.past, self.level):
+                    state.clear()
+            elif rest:
                 self.waiting.put(rest)
                 for row in rest:
                     self.handle.registerTimer(row[0] + 1)
             else:
                 self.waiting.clear()
-            if expected != first:
-                self.cursor.update((expected,))
+            if arrived or expected != first:
+                self.cursor.update((expected, last_ms))
+            if arrived:
+                self.handle.registerTimer(last_ms + self.idle_ms)
         if made:
             yield pd.DataFrame(made, columns=self.columns())
 
@@ -164,7 +175,7 @@ class BlockFeatures(StatefulProcessor):
         pass
 
 
-def live_features(rows: DataFrame, sensors, lags=LAGS, windows=ROLLING_WINDOWS, alpha=EWMA_ALPHA, block_rows=BLOCK_ROWS) -> DataFrame:
+def live_features(rows: DataFrame, sensors, lags=LAGS, windows=ROLLING_WINDOWS, alpha=EWMA_ALPHA, block_rows=BLOCK_ROWS, idle_ms=IDLE_MS) -> DataFrame:
     """Stream of (subset, unit_id, cycle, ts, sensors) to the same with features.
 
     ``status`` is ``ok``, or ``late`` for a row whose place was already passed;
@@ -177,7 +188,7 @@ def live_features(rows: DataFrame, sensors, lags=LAGS, windows=ROLLING_WINDOWS,
     size = ewma_block_rows(alpha, lead_in, block_rows)
     blocked = to_blocks(rows.select(*UNIT, "cycle", "ts", *sensors), lead_in, UNIT, size, contiguous=True)
     keyed = blocked.select(*UNIT, BLOCK, F.unix_millis("ts").alias("ts_ms"), "cycle", F.col(OWN).alias("own"), *sensors)
-    processor = BlockFeatures(UNIT, sensors, tuple(lags), tuple(windows), alpha, lead_in, size)
+    processor = BlockFeatures(UNIT, sensors, tuple(lags), tuple(windows), alpha, lead_in, size, idle_ms)
     schema = T.StructType(
         [
             T.StructField("subset", T.StringType()),
