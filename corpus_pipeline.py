@@ -38,18 +38,23 @@ def drop_leaks(spark, docs, sf_dir):
 
 def redact_secrets(spark, docs, sf_dir):
     """All documents, secrets replaced; n_chars follows the text where it was counted."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    found = secrets_scan.redact(secrets_scan.find_secrets(docs, carried=others))
-    if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return found.select(docs.columns)
+    rest = F.struct(*(c for c in docs.columns if c != "text")).alias("row")
+    found = secrets_scan.redact(secrets_scan.find_secrets(docs.select("doc_id", "text", rest), carried=("row",)))
+    columns = {c: F.col("text") if c == "text" else F.col("row")[c] for c in docs.columns}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(columns["n_chars"].isNotNull(), F.length("text")).cast(docs.schema["n_chars"].dataType)
+    return found.select(*(value.alias(c) for c, value in columns.items()))
 
 
 def mix(spark, docs, sf_dir):
-    """A row for each copy of a document that the mix takes, numbered in ``copy``."""
-    copies = mixing.mix_sources(docs).select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), "copies").distinct()
-    rows = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source"))).where("copies > 0")
-    return rows.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    """A row for each copy of a document that the mix takes, numbered in ``copy``, or where
+    the documents have such a column, in the first free one of copy_1, copy_2 and so on."""
+    copies = mixing.mix_sources(docs).select("doc_id", "source", "copies").distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    same = F.col("row.doc_id").eqNullSafe(copies["doc_id"]) & F.col("row.source").eqNullSafe(copies["source"])
+    rows = rows.join(copies, same).where("copies > 0")
+    free = next(name for name in ("copy", *(f"copy_{i}" for i in range(1, len(docs.columns) + 2))) if name not in docs.columns)
+    return rows.select(*(F.col("row")[c].alias(c) for c in docs.columns), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias(free))
 
 
 STAGES = [

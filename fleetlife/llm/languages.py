@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from fleetlife.llm.words import chunks
@@ -224,8 +225,8 @@ def predict(docs: DataFrame, network: Network | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*rest, "lang_pred", "score"])
 
     rest = docs.columns[1:]
-    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in docs.schema.fields[1:]]
-    return docs.mapInArrow(run, ", ".join([*kinds, "lang_pred string", "score double"]))
+    found = T.StructType(docs.schema.fields[1:]).add("lang_pred", "string").add("score", "double")
+    return docs.mapInArrow(run, found)
 
 
 def held_out(doc_id="doc_id"):

@@ -40,7 +40,7 @@ def test_stages_in_turn(spark):
 def test_odd_rows(spark, tmp_path):
     words = " ".join(f"wort{i}" for i in range(60))
     rows = [(1, words, "de", "a", 10), (2, words, "de", None, None), (None, words + " x", None, "a", 1), (3, None, "de", "a", 0), (4, "", "de", "a", 0), (5, "token=abcdefgh " + words[::-1], "de", "b", 3), (5, "token=abcdefgh " + words[::-1], "de", "b", 3)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "0.5 as score", "'c' as copies", "3 as size")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "0.5 as score", "'c' as copies", "3 as size", "1 as copy", "'s' as spans", "2 as row", "4 as component_id")
     spark.createDataFrame([(1, "nothing like it at all here")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     for frame in (docs, docs.limit(0)):
         for _, stage in corpus_pipeline.STAGES:
