@@ -68,3 +68,28 @@ def read_totals(spark: SparkSession, path: str) -> DataFrame:
     stored = spark.read.parquet(path)
     newest = stored.agg(F.max("trigger")).first()[0]
     return stored.where(F.col("trigger") == newest).drop("trigger")
+
+
+def write_late(stream: DataFrame, path: str, checkpoint: str, delay="10 minutes", available_now=True):
+    """Quarantine: rows that a watermark of ``delay`` on ``ts`` lets reports leave out.
+
+    As on a stream with that watermark, a row is late if it is older than the latest time of
+    all earlier triggers less the delay. Each trigger has its own folders, so a retried one
+    is idempotent; what is kept between triggers is one time per trigger.
+    """
+
+    def store(batch, batch_id):
+        spark = batch.sparkSession
+        batch.agg(F.max("ts").alias("latest")).write.mode("overwrite").parquet(f"{path}/seen/trigger={batch_id}")
+        earlier = spark.read.schema("latest timestamp, trigger long").parquet(f"{path}/seen").where(F.col("trigger") < batch_id)
+        bound = earlier.agg((F.max("latest") - F.expr(f"INTERVAL {delay}")).alias("bound"))
+        late = batch.join(F.broadcast(bound), F.col("ts") < F.col("bound")).drop("bound")
+        late.write.mode("overwrite").parquet(f"{path}/late/trigger={batch_id}")
+
+    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def read_late(spark: SparkSession, path: str) -> DataFrame:
+    """The quarantined rows of all triggers."""
+    return spark.read.parquet(f"{path}/late").drop("trigger")
