@@ -101,25 +101,17 @@ def held_alerts(windows: DataFrame, breach, hold_windows: int, step: str, by=())
 
     Works on window results (one row per window and group) that start ``step`` apart.
     A window without traffic has no row and counts as no breach, so consecutive means
-    consecutive in time.
+    consecutive in time. Every breach counts for itself and the windows after it, so the
+    windows of a group are never put in order in one task.
     """
-    order = Window.partitionBy(*by).orderBy("window_start") if by else Window.orderBy("window_start")
-    frame = order.rowsBetween(1 - hold_windows, 0)
     flagged = windows.withColumn("breach", F.coalesce(breach, F.lit(False)))
-    run = F.expr(f"INTERVAL {step}") * F.lit(hold_windows - 1)
-    return (
-        flagged.withColumn("__all", F.min(F.col("breach").cast("int")).over(frame))
-        .withColumn("__first", F.first("window_start").over(frame))
-        .withColumn("__n", F.count(F.lit(1)).over(frame))
-        .withColumn("__run", run)
-        .withColumn(
-            "firing",
-            (F.col("__all") == 1)
-            & (F.col("__n") == hold_windows)
-            & (F.col("window_start") - F.col("__first") == F.col("__run")),
-        )
-        .drop("__all", "__first", "__n", "__run")
-    )
+    own = F.struct(*(c for c in flagged.columns if c not in (*by, "window_start")))
+    later = F.transform(F.sequence(F.lit(0), F.lit(hold_windows - 1)), lambda j: F.col("window_start") + F.expr(f"INTERVAL {step}") * j)
+    votes = flagged.where("breach").select(*by, F.explode(later).alias("window_start"), F.lit(None).cast(flagged.select(own.alias("own")).schema["own"].dataType).alias("own"), F.lit(1).alias("vote"))
+    rows = flagged.select(*by, "window_start", own.alias("own"), F.lit(0).alias("vote"))
+    found = rows.unionByName(votes).groupBy(*by, "window_start").agg(F.first("own", ignorenulls=True).alias("own"), F.sum("vote").alias("votes"))
+    kept = [F.col("own")[c].alias(c) for c in flagged.columns if c not in (*by, "window_start")]
+    return found.where(F.col("own").isNotNull()).select(*by, "window_start", *kept, (F.col("votes") == hold_windows).alias("firing"))
 
 
 def firing_spans(windows: DataFrame, breach, hold_windows: int, step: str, by=()) -> DataFrame:
