@@ -164,6 +164,16 @@ def unit_mismatch(spark, folder):
     return quality.unit_mismatch(lengths.where(F.col("last_cycle") >= 60), official.where(F.col(TERMINAL_COLUMN) < 36))
 
 
+@query
+def terminal_violations(spark, folder):
+    """Official records with negative and missing values, against histories of other units."""
+    lengths = source.history_lengths(spark, folder)
+    value, unit = F.col(TERMINAL_COLUMN), F.col("unit_id")
+    spoilt = F.when(unit % 7 == 0, -1 - value).when(unit % 11 != 0, value).cast("int")
+    official = source.terminal_view(spark, folder).where(value < 36).withColumn(TERMINAL_COLUMN, spoilt)
+    return quality.terminal_violations(lengths.where(F.col("last_cycle") >= 60).drop("last_cycle"), official)
+
+
 @query
 def part_counts(spark, folder):
     return split.part_counts(source.telemetry(spark, folder), "subset")
@@ -660,6 +670,17 @@ def request_rejects(spark, folder):
     return rejected.select("request_id", "reason")
 
 
+@query
+def mixed_requests(spark, folder):
+    """Bodies that hold the last observations of neighbouring units: one unit is allowed."""
+    last = source.history_lengths(spark, folder)
+    neighbours = F.concat_ws("-", "subset", F.floor(F.col("unit_id") / 8).cast("string")).alias("request_id")
+    readings = (F.lit(0.0).alias(name) for name in TELEMETRY.fieldNames()[2:])
+    rows = last.select(neighbours, "subset", F.lit("random_forest").alias("model_type"), "unit_id", F.col("last_cycle").alias("cycle"), *readings)
+    _, rejected = requests.parse_requests(requests.to_requests(rows))
+    return rejected.select("request_id", "reason")
+
+
 @query
 def state_round_trip(spark, folder):
     """Learned state to JSON and back to the table of sensor statistics."""
@@ -668,6 +689,21 @@ def state_round_trip(spark, folder):
     return rounded(state.as_tables(stored).scaler.select("subset", "regime", "scaling_strategy", "sensor", "mean", "std"))
 
 
+@query
+def state_violations(spark, folder):
+    """Learned state of four subsets, broken in four ways."""
+    learned = state.as_rows(state.fit(source.telemetry(spark, folder)))
+    retained, one = F.col("retained_sensor_columns"), F.slice("retained_sensor_columns", 1, 1)
+    broken = learned.select(
+        "subset",
+        *(c for c in learned.columns if c not in ("subset", "retained_sensor_columns", "dropped_feature_columns", "regime_mapping")),
+        F.when(F.col("subset") != "FD002", F.col("regime_mapping")).alias("regime_mapping"),
+        F.when(F.col("subset") == "FD001", F.reverse(retained)).when(F.col("subset") == "FD003", F.concat(retained, one)).otherwise(retained).alias("retained_sensor_columns"),
+        F.when(F.col("subset") == "FD004", one).otherwise(F.col("dropped_feature_columns")).alias("dropped_feature_columns"),
+    )
+    return state.violations(broken)
+
+
 @query
 def state_applied(spark, folder):
     """Cut histories scaled with state learned on complete ones."""

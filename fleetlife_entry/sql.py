@@ -295,6 +295,37 @@ define(
     ON a.subset = b.subset AND a.unit_id = b.unit_id WHERE a.unit_id IS NULL OR b.unit_id IS NULL""",
     TELE,
 )
+SPOILT = """,
+spoilt AS (
+  SELECT subset, unit_id, CASE WHEN unit_id % 7 = 0 THEN -1 - final_observed_rul WHEN unit_id % 11 <> 0 THEN final_observed_rul END AS rul
+  FROM terminal WHERE final_observed_rul < 36
+)
+"""
+define(
+    "terminal_violations",
+    """SELECT * FROM (
+      SELECT 'terminal-null' AS "check", subset, 'final_observed_rul' AS column_name, NULL::INTEGER AS unit_id, count(*) FILTER (rul IS NULL) AS n FROM spoilt GROUP BY subset
+      UNION ALL SELECT 'terminal-negative', subset, 'final_observed_rul', NULL, count(*) FILTER (rul < 0) FROM spoilt GROUP BY subset
+      UNION ALL SELECT 'terminal-numbering', subset, 'final_observed_rul', NULL,
+        CASE WHEN min(unit_id) = 1 AND max(unit_id) = count(*) AND count(DISTINCT unit_id) = count(*) THEN 0 ELSE count(*) END FROM spoilt GROUP BY subset
+      UNION ALL SELECT CASE WHEN a.unit_id IS NULL THEN 'unit-missing' ELSE 'unit-extra' END, coalesce(a.subset, b.subset), 'unit_id', coalesce(a.unit_id, b.unit_id), 1
+        FROM (SELECT * FROM lens WHERE last_cycle >= 60) a FULL JOIN spoilt b ON a.subset = b.subset AND a.unit_id = b.unit_id
+        WHERE a.unit_id IS NULL OR b.unit_id IS NULL
+    ) WHERE n > 0""",
+    TELE,
+    SPOILT,
+)
+define(
+    "mixed_requests",
+    "SELECT subset || '-' || (unit_id // 8) AS request_id, 'more than one unit' AS reason FROM lens GROUP BY ALL HAVING count(*) > 1",
+    TELE,
+)
+define(
+    "state_violations",
+    """SELECT subset, CASE subset WHEN 'FD001' THEN 'sensors out of order' WHEN 'FD002' THEN 'missing key' WHEN 'FD003' THEN 'duplicate sensor'
+      ELSE 'retained and dropped' END AS reason FROM (SELECT DISTINCT subset FROM tele)""",
+    TELE,
+)
 define("part_counts", "SELECT subset, count(*) AS n_rows, count(DISTINCT unit_id) AS n_units FROM tele GROUP BY subset", TELE)
 
 # ---------------------------------------------------------------- labels and splits
