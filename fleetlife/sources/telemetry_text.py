@@ -6,14 +6,15 @@ from pyspark.sql import functions as F
 from fleetlife.operators.trajectory import number_rows
 from fleetlife.schema import MEASUREMENTS, SUBSETS, TERMINAL_COLUMN
 
-SUBSET_IN_NAME = r"_([A-Za-z0-9]+)\.txt$"
+# A file, or a folder of part files under the name of one.
+SUBSET_IN_NAME = r"_([A-Za-z0-9]+)\.txt(?:/[^/]*)?$"
 
 
 def _lines(spark: SparkSession, paths) -> DataFrame:
     raw = spark.read.text(paths)
     return raw.select(
         F.regexp_replace("value", r"^\s+|\s+$", "").alias("line"),
-        F.upper(F.regexp_extract(F.col("_metadata.file_name"), SUBSET_IN_NAME, 1)).alias("subset"),
+        F.upper(F.regexp_extract(F.col("_metadata.file_path"), SUBSET_IN_NAME, 1)).alias("subset"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block_start"),
     )
@@ -83,7 +84,7 @@ def normalise_subsets(subsets=None) -> list[str]:
 
 
 def input_patterns(folder: str, subsets) -> dict[str, list[str]]:
-    """The three input files of every subset."""
+    """The three input files of every subset, or folders of part files in their place."""
     return {
         "train": [f"{folder}/train_{name}.txt" for name in subsets],
         "test": [f"{folder}/test_{name}.txt" for name in subsets],

@@ -7,7 +7,7 @@ digits so that two engines can be compared by value.
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlife.cluster import attach, ensure_checkpoint_dir, settle
@@ -789,6 +789,35 @@ def preprocessing_summary(spark, folder):
     return preprocess.summary(rows, fitted)
 
 
+@query
+def text_to_tables(spark, folder):
+    """The whole preprocessing job, from text files made of the events to stored tables and state."""
+    place = Window.partitionBy("subset").orderBy("unit_id")
+    # The n-th terminal line belongs to unit n, so units are numbered without gaps.
+    units = source.history_lengths(spark, folder).select("subset", "unit_id", F.row_number().over(place).alias("number"))
+    measured = TELEMETRY.fieldNames()[2:]
+
+    def renumbered(rows):
+        return attach(rows, settle(units), ["subset", "unit_id"]).withColumn("unit_id", F.col("number")).drop("number")
+
+    def lines(rows):
+        numbers = [F.col(name).cast("string") if name in rows.columns else F.lit("0.0") for name in ("unit_id", "cycle", *measured)]
+        return rows.select("subset", F.concat_ws(" ", *numbers).alias("value"))
+
+    terminal = renumbered(source.terminal_view(spark, folder))
+    parts = {
+        "train": lines(renumbered(source.telemetry(spark, folder))),
+        "test": lines(renumbered(source.truncated_telemetry(spark, folder))),
+    }
+    raw = f"{scratch(spark)}/raw"
+    for subset in telemetry_text.normalise_subsets():
+        for name, rows in parts.items():
+            rows.where(F.col("subset") == subset).select("value").write.text(f"{raw}/{name}_{subset}.txt")
+        ordered = terminal.where(F.col("subset") == subset).coalesce(1).sortWithinPartitions("unit_id")
+        ordered.select(F.col(TERMINAL_COLUMN).cast("string").alias("value")).write.text(f"{raw}/RUL_{subset}.txt")
+    return preprocess.run(spark, raw, f"{scratch(spark)}/out").drop("run_id")
+
+
 @query
 def preprocessed_rows(spark, folder):
     rows, _ = processed(spark, folder)

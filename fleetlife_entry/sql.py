@@ -776,6 +776,11 @@ define(
     PARTS,
     TRAINED_REGIMES,
 )
+# Units numbered without gaps, as lines of a file are.
+RENUMBERED = TELE.replace(
+    "CAST(user_id + 1 AS INTEGER) AS unit_id", "CAST(dense_rank() OVER (PARTITION BY user_id % 4 ORDER BY user_id) AS INTEGER) AS unit_id"
+)
+define("text_to_tables", STATEMENTS["preprocessing_summary"].replace(TELE, RENUMBERED))
 define(
     "preprocessed_rows",
     prepared("subset, split, unit_id, cycle, RUL, regime AS operating_regime"),
