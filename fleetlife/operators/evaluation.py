@@ -7,7 +7,7 @@ Predictions carry the keys, ``RUL`` (true) and ``prediction``; any further colum
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlife.cluster import settle
+from fleetlife.cluster import stored
 from fleetlife.functions.expressions import regression_metrics, score_contribution
 
 TOP = 3
@@ -62,7 +62,7 @@ def _extremes() -> list:
 
 def _errors_once(predictions: DataFrame, by) -> DataFrame:
     """Group, error and contribution only, computed once for the two reads that tails need."""
-    return settle(with_errors(predictions).select(*by, "error", "score_contribution"))
+    return stored(with_errors(predictions).select(*by, "error", "score_contribution"))
 
 
 def tail_metrics(predictions: DataFrame, by=("subset",)) -> DataFrame:
