@@ -117,7 +117,7 @@ def round_columns(df: DataFrame, digits=3) -> DataFrame:
 
 def comparison_sheet(results: DataFrame, by=("subset", "model", "feature_set"), digits=3) -> DataFrame:
     """All metrics of ``all_metrics`` per (subset, model, feature set), rounded for reading."""
-    measures = [name for name in results.columns if name not in by]
+    measures = [f.name for f in results.schema.fields if f.name not in by and f.dataType.typeName() == "double"]
     return results.select(*by, *(F.round(name, digits).alias(f"test_{name}") for name in measures))
 
 

@@ -6,7 +6,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlife.operators import evaluation
 from fleetlife.plans import models, runs, state
 from fleetlife.schema import sensors_in
 from fleetlife.sources import tables
@@ -62,7 +61,7 @@ def run_candidate(spark: SparkSession, output: str, terminal: DataFrame, candida
 def run_matrix(spark: SparkSession, output: str, terminal: DataFrame, candidates) -> DataFrame:
     """All candidates, one row of test metrics each; the fits themselves are distributed."""
     results = [run_candidate(spark, output, terminal, candidate) for candidate in candidates]
-    names = ["subset", "model", "feature_set", "preprocessing_run_id", "training_run_id", *evaluation.COMPARISON]
+    names = list(results[0])
     return spark.createDataFrame([tuple(row[name] for name in names) for row in results], names)
 
 
