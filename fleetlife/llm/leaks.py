@@ -4,17 +4,25 @@ Benchmark items are cut into pieces, documents into overlapping passages of 2, 4
 blocks of BLOCK words. Weights are TF-IDF, with frequencies over all passages of the corpus. A
 distributed randomised SVD of the benchmark's TF-IDF matrix gives the latent space: tasks
 sketch their rows with a random matrix, the sketches are summed by word, and an
-orthonormal basis of the sum spans the space. Every passage is projected and compared by cosine;
-passages above a low bound are candidates. A candidate is a leak if the longest common
+orthonormal basis of the sum spans the space. Every passage is projected and compared with the
+pieces; a passage is a candidate if its projection on a piece's direction holds the least that a leak
+leaves there. A candidate is a leak if the longest common
 subsequence covers enough of the piece, and enough of its answer too: the item's answer words
 where the benchmark has an ``answer`` column, else the piece's rarest words. This finds
 paraphrases that keep most words in order as well as copies.
 
+The bound on the projection follows from COVERAGE and ANSWER for each piece, so no leak is lost
+there. As a bound on the cosine it would fall with the norm of whatever else the passage holds.
+No word has weight 0: a passage that many documents share makes its own words frequent, and
+must be found all the same.
+
 Projecting on the corpus's own leading directions was tried on paper and left: they hold languages and
 frequent words, and any two texts of a language look alike. Large benchmarks are worked off
 in blocks of MOST_PIECES pieces, so what goes to every task has a fixed bound.
 """
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,13 +35,17 @@ BLOCK = 16
 PIECE = 64
 MOST_PIECES = 512
 RANK, OVERSAMPLED = 256, 16
+#: Blocks of a chunk whose words are looked up at once.
+SOME = 1024
 #: Word classes of the document frequencies, by hash.
 CLASSES = 1 << 17
-#: A word in more than this share of passages has no weight.
-COMMON = 0.05
-COSINE, COVERAGE, ANSWER = 0.25, 0.6, 0.5
+#: Least weight of a word, however frequent.
+FLOOR = 0.05
+COVERAGE, ANSWER = 0.6, 0.5
 #: Share of a piece's words, rarest first, that stand for an answer.
 RARE = 0.25
+#: A passage must hold one word that weighs at least this share of the piece's heaviest: frequent words in order are no evidence.
+EVIDENCE = 0.2
 #: Words at least in an item: fewer are no evidence.
 LEAST = 5
 
@@ -87,6 +99,7 @@ class Space:
 
     def __init__(self, pieces, weight, basis, vocabulary):
         self.pieces, self.weight, self.basis, self.vocabulary = pieces, weight, basis, vocabulary
+        self.weighted = (basis * weight[(vocabulary % np.uint64(CLASSES)).astype(np.int64)][:, None]).astype(np.float32)
         self.items = np.zeros((len(pieces), basis.shape[1]), np.float32)
         for i, (_, words, _) in enumerate(pieces):
             own = np.array(words, np.uint64)
@@ -94,11 +107,36 @@ class Space:
             value = self.weight[(own % np.uint64(CLASSES)).astype(np.int64)]
             vector = (basis[at[at >= 0]] * value[at >= 0, None]).sum(0)
             self.items[i] = vector / max(np.linalg.norm(vector), 1e-12)
+        self.need = [frozenset(answer or self._rarest(words)) for _, words, answer in pieces]
+        value = [(w, self.weight[np.array(w, np.uint64) % np.uint64(CLASSES)]) for _, w, _ in pieces]
+        self.proof = [frozenset(w for w, x in zip(words, own.tolist()) if x >= EVIDENCE * own.max()) for words, own in value]
+        # A little less, for sums in single precision.
+        self.least = np.array([0.999 * self._least(words, *sets) for (_, words, _), *sets in zip(pieces, self.need, self.proof)], np.float32)
         sizes = np.array([len(words) for _, words, _ in pieces])
         # Blocks in a passage that must hold a whole piece wherever it starts.
         self.scale = np.where(sizes <= BLOCK, 2, np.where(sizes <= 2 * BLOCK, 4, 8))
         self.sets = [frozenset(w for w in words) for _, words, _ in pieces]
 
+    def _rarest(self, words):
+        rare = sorted(set(words), key=lambda w: (-self.weight[w % CLASSES], w))
+        return rare[: max(1, round(RARE * len(rare)))]
+
+    def _least(self, words, need, proof):
+        """Least projection on the piece's direction of a passage that holds COVERAGE of its words, ANSWER of its answer and a word of proof.
+
+        A word in the passage adds its count in the piece times its squared weight, over the piece's norm; the
+        words that add least are taken, of the answer first.
+        """
+        own, counts = np.unique(np.array(words, np.uint64), return_counts=True)
+        adds = counts * self.weight[(own % np.uint64(CLASSES)).astype(np.int64)] ** 2
+        norm = np.sqrt((counts * adds).sum())
+        needed = [i for i, w in enumerate(own.tolist()) if w in need]
+        chosen = sorted(needed, key=lambda i: adds[i])[: math.ceil(ANSWER * len(need))]
+        counts[chosen] -= 1
+        rest = np.sort(np.repeat(adds, counts))
+        more = max(0, math.ceil(COVERAGE * len(words)) - len(chosen))
+        return max(adds[chosen].sum() + rest[:more].sum(), min(x for w, x in zip(own.tolist(), adds) if w in proof)) / norm
+
     def index(self, hashes):
         """Row of each word in the basis, -1 if it has none."""
         if not len(self.vocabulary):
@@ -114,7 +152,7 @@ def latent_space(spark, pieces, weight) -> Space:
     singular vectors. Cosines don't depend on the rotation within the space.
     """
     class_of = lambda words: (np.array(words, np.uint64) % np.uint64(CLASSES)).astype(np.int64)
-    vocabulary = np.unique(np.concatenate([np.array(words, np.uint64)[weight[class_of(words)] > 0] for _, words, _ in pieces] or [np.zeros(0, np.uint64)]))
+    vocabulary = np.unique(np.concatenate([np.array(words, np.uint64) for _, words, _ in pieces] or [np.zeros(0, np.uint64)]))
     rank = min(RANK, len(pieces)) + OVERSAMPLED
     seed = 13
 
@@ -124,9 +162,8 @@ def latent_space(spark, pieces, weight) -> Space:
             total = {}
             for words in batch.column(0).to_pylist():
                 own, counts = np.unique(np.array(words, np.int64).view(np.uint64), return_counts=True)
-                kept = weight[class_of(own)] > 0
-                at = np.searchsorted(vocabulary, own[kept])
-                row = counts[kept] * weight[class_of(own)][kept]
+                at = np.searchsorted(vocabulary, own)
+                row = counts * weight[class_of(own)]
                 row = row / max(np.linalg.norm(row), 1e-12)
                 sketch = row @ random[at]
                 for i, x in zip(at.tolist(), row):
@@ -164,18 +201,20 @@ def common_subsequence(a, b) -> int:
 
 
 def _candidates(space, hashes, first):
-    """(row, first word, word after the last, piece) of passages near a piece."""
+    """(row, first word, word after the last, piece, cosine) of passages near a piece."""
     at = space.index(hashes)
     weight = space.weight[(hashes % np.uint64(CLASSES)).astype(np.int64)].astype(np.float32)
     start, rows = _blocks(first, BLOCK)
     squares = np.add.reduceat(weight * weight, start)
-    held = np.flatnonzero((at >= 0) & (weight > 0))
+    held = np.flatnonzero(at >= 0)
     block = np.searchsorted(start, held, "right") - 1
     vectors = np.zeros((len(start), space.basis.shape[1]), np.float32)
     if not len(held):
         return
     head = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-    vectors[block[head]] = np.add.reduceat(space.basis[at[held]] * weight[held, None], head, axis=0)
+    for some in np.array_split(head, -(-len(head) // SOME)):
+        a, b = some[0], head[np.searchsorted(head, some[-1]) + 1] if some[-1] != head[-1] else len(held)
+        vectors[block[some]] = np.add.reduceat(space.weighted[at[held[a:b]]], some - a, axis=0)
     for scale in np.unique(space.scale).tolist():
         chosen = np.flatnonzero(space.scale == scale)
         step = scale // 2
@@ -187,19 +226,12 @@ def _candidates(space, hashes, first):
         lengths = np.concatenate([[0.0], np.cumsum(squares, dtype=np.float64)])
         x = (sums[end] - sums[begin]).astype(np.float32)
         norm = np.sqrt(np.maximum(lengths[end] - lengths[begin], 1e-12))
-        cosine = x @ space.items[chosen].T / norm[:, None]
-        for i, k in np.argwhere(cosine >= COSINE).tolist():
-            yield int(rows[begin[i]]), int(start[begin[i]]), int(start[end[i]]) if end[i] < len(start) else len(hashes), int(chosen[k]), float(cosine[i, k])
+        shared = x @ space.items[chosen].T
+        for i, k in np.argwhere(shared >= space.least[chosen]).tolist():
+            yield int(rows[begin[i]]), int(start[begin[i]]), int(start[end[i]]) if end[i] < len(start) else len(hashes), int(chosen[k]), float(shared[i, k] / norm[i])
 
 
 def _searched(space):
-    need = []
-    for _, words, answer in space.pieces:
-        if not answer:
-            rare = sorted(set(words), key=lambda w: (-space.weight[w % CLASSES], w))
-            answer = rare[: max(1, round(RARE * len(rare)))]
-        need.append(frozenset(answer))
-
     def run(batches):
         for batch in batches:
             ids, out = batch.column(0).to_pylist(), {}
@@ -209,18 +241,23 @@ def _searched(space):
                     continue
                 for row, a, b, k, cosine in _candidates(space, hashes, first):
                     item, words, _ = space.pieces[k]
+                    key = (low + row, item)
+                    if key in out and out[key][0] >= 1:  # nothing covers more
+                        continue
                     part = hashes[a:b].tolist()
                     own = space.sets[k]
                     places = [i for i, w in enumerate(part) if w in own]
                     if len(places) < COVERAGE * len(words):
                         continue
+                    need = space.need[k]
+                    if len(need.intersection(part)) < ANSWER * len(need) or space.proof[k].isdisjoint(part):
+                        continue
                     share = common_subsequence(words, part) / len(words)
-                    if share < COVERAGE or len(need[k] & set(part)) < ANSWER * len(need[k]):
+                    if share < COVERAGE:
                         continue
                     text = data[offsets[row] : offsets[row + 1]]
                     span = int(starts[a + places[0]] - offsets[row]), int(ends[a + places[-1]] - offsets[row])
                     points = [int(((text[:n] & 0xC0) != 0x80).sum()) for n in span]
-                    key = (low + row, item)
                     if key not in out or share > out[key][0]:
                         out[key] = (share, cosine, *points)
             rows = [(ids[row], item, *found) for (row, item), found in out.items()]
@@ -245,8 +282,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     seen, passages = document_frequencies(docs)
-    weight = np.log((passages + 1) / (seen + 1))
-    weight[seen > COMMON * passages + LEAST] = 0
+    weight = np.maximum(FLOOR, np.log((passages + 1) / (seen + 1)))
     answer = F.col("answer") if "answer" in benchmark.columns else F.lit("")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text", answer.cast("string").alias("answer")).where("item_id is not null and text is not null").distinct()
     out, block = None, []

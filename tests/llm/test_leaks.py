@@ -50,6 +50,20 @@ def test_answers_must_be_there(spark):
     assert got <= planted and {p for p in planted if p[1] != i} <= got
 
 
+def test_an_item_in_a_third_of_the_documents(spark):
+    docs, items, planted = made()
+    pick = random.Random(4)
+    item, own = next((i, w.split()) for i, w in items if 40 <= len(w.split()) <= 60)
+    fresh = lambda n: ["".join(pick.choice("klmnopqrst") for _ in range(5)) for _ in range(n)]
+    changed = lambda i: [w if (j + i) % 7 else fresh(1)[0] for j, w in enumerate(own)] if i % 2 else own
+    hot = [(1000 + i, " ".join([*fresh(at := pick.randrange(150)), *changed(i), *fresh(150 - at)])) for i in range(75)]
+    same = " ".join([*fresh(60), *own, *fresh(60)])
+    hot += [(2000 + i, same) for i in range(75)]
+    frame, benchmark = spark.createDataFrame([*docs, *hot], "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in leaks.find_leaks(frame, benchmark).collect()}
+    assert got == planted | {(d, item) for d, _ in hot}
+
+
 def test_empty_tables(spark):
     docs, items, _ = made()
     frame, benchmark = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
