@@ -18,7 +18,8 @@ must be found all the same.
 
 Projecting on the corpus's own leading directions was tried on paper and left: they hold languages and
 frequent words, and any two texts of a language look alike. Large benchmarks are worked off
-in blocks of MOST_PIECES pieces, so what goes to every task has a fixed bound.
+in blocks of at most MOST_PIECES pieces, so what goes to every task has a fixed bound, and of no more
+than RANK, so the space of a block holds each of its pieces whole, however large the benchmark.
 """
 
 import math
@@ -33,7 +34,7 @@ from fleetlife.llm.words import chunks, text_words, word_hashes
 BLOCK = 16
 #: Longest piece of an item; longer items become several.
 PIECE = 64
-MOST_PIECES = 512
+MOST_PIECES = 256
 RANK, OVERSAMPLED = 256, 16
 #: Blocks of a chunk whose words are looked up at once.
 SOME = 1024
@@ -292,9 +293,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return found if out is None else out.union(found)
 
     for item in items.orderBy("item_id", "text").toLocalIterator():
-        block = block + pieces_of(item["item_id"], text_words(item["text"]), text_words(item["answer"] or ""))
-        if len(block) >= MOST_PIECES:
-            out, block = searched(), []
+        for piece in pieces_of(item["item_id"], text_words(item["text"]), text_words(item["answer"] or "")):
+            block = [*block, piece]
+            if len(block) >= min(MOST_PIECES, RANK):
+                out, block = searched(), []
     if block:
         out = searched()
     if out is None:

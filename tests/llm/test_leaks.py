@@ -64,6 +64,26 @@ def test_an_item_in_a_third_of_the_documents(spark):
     assert got == planted | {(d, item) for d, _ in hot}
 
 
+def test_items_of_more_pieces_than_the_rank(spark, monkeypatch):
+    pick = random.Random(8)
+    word = lambda: "".join(pick.choice("abcdefghij") for _ in range(3))
+    items = [(i, [word() for _ in range(60)]) for i in range(60)] + [(99, [word() for _ in range(64 * 20)])]
+    kept = lambda own: [w if pick.random() < 0.7 else word() for w in own]
+    docs = [(i, " ".join([*(word() for _ in range(100)), *kept(own[:60]), *(word() for _ in range(100))])) for i, own in items[:60]]
+    docs.append((99, " ".join(items[-1][1][640:704])))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(i, " ".join(own)) for i, own in items], "item_id long, text string")
+    whole = {(r.doc_id, r.item_id) for r in leaks.find_leaks(frame, benchmark).collect()}
+    assert (99, 99) in whole and len(whole) >= 50
+    ranks = []
+    made_space = leaks.latent_space
+    monkeypatch.setattr(leaks, "latent_space", lambda *x: ranks.append((len(x[1]), made_space(*x))) or ranks[-1][1])
+    monkeypatch.setattr(leaks, "RANK", 16)
+    monkeypatch.setattr(leaks, "MOST_PIECES", 32)
+    assert {(r.doc_id, r.item_id) for r in leaks.find_leaks(frame, benchmark).collect()} == whole
+    assert all(pieces <= leaks.RANK and space.basis.shape[1] == pieces for pieces, space in ranks)
+
+
 def test_empty_tables(spark):
     docs, items, _ = made()
     frame, benchmark = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
