@@ -7,9 +7,10 @@ gradient and Hessian of a step are sums over all documents, computed by grouping
 constraints are one per source, so the Hessian is diagonal and a table of sources, not
 a matrix on the driver, carries the multipliers.
 
-Rates become whole copies: the whole part for every document, one more for the
-documents with the smallest hashes of the source, up to the words still missing. The hash at
-which the copies stop is found by sums over hash ranges, two digits deep, and so without
+Rates become whole copies: the whole part for every document, one more for documents in the order of
+their hashes, up to the words still missing. A document that no longer fits is passed over and later ones
+that fit are taken, in rounds; a last one, the smallest left, is taken where going over is nearer. The hash at
+which a round stops is found by sums over hash ranges, two digits deep, and so without
 ordering a source in one task.
 """
 
@@ -70,14 +71,65 @@ def balance(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     return now.drop("change")
 
 
-def _crossing(sums, parts):
-    """Per source, the hash range in which the running sum of words passes what is missing.
+def _crossing(sums, part):
+    """Per source, the range in which the running sum of words passes what is left, and what is left before it.
 
-    ``sums`` (source, part, words, missing) has at most DIGIT parts a source.
+    ``sums`` (source, part, words, left) has few parts a source.
     """
-    order = Window.partitionBy("source").orderBy("part")
-    ran = sums.withColumn("through", F.sum("words").over(order))
-    return ran.where("through > missing").groupBy("source").agg(F.min("part").alias(parts), F.min_by(F.col("missing") - F.col("through") + F.col("words"), "part").alias("left"))
+    order = Window.partitionBy("source").orderBy(part)
+    ran = sums.withColumn("through", F.sum("words").over(order)).where("through > left")
+    return ran.groupBy("source").agg(F.min(part).alias("stop"), F.min_by(F.col("left") - F.col("through") + F.col("words"), part).alias("left"))
+
+
+def _same(frame, other):
+    """``frame`` with the columns that ``other`` (source, ...) has for its source."""
+    other = other.withColumnRenamed("source", "s")
+    return frame.join(other, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+
+
+def _round(units, state):
+    """(source, p1, p2, hash, left): where a round over the units that still fit stops, and what it leaves.
+
+    ``state`` has a source's columns c1, c2, ch, after which the round starts, and left. Sources that take all
+    their units have no row.
+    """
+    later = F.struct("p1", "p2", "hash") > F.struct("c1", "c2", "ch")
+    rows = _same(units, state).where(later & (F.col("words") <= F.col("left")))
+    found = None
+    for part, columns in (("p1", ("p1",)), ("p2", ("p1", "p2")), ("hash", ("p1", "p2", "hash"))):
+        sums = rows if part == "hash" else rows.groupBy("source", *columns, "left").agg(F.sum("words").alias("words"))
+        found = _crossing(sums.select("source", part, "words", "left"), part).withColumnRenamed("stop", f"at_{part}")
+        found = stored(found) if part == "p1" else found
+        rows = _same(rows.drop("left"), found).where(F.col(part) == F.col(f"at_{part}"))
+    # One unit a source is left: the one that crosses.
+    return rows.select("source", "p1", "p2", "hash", "left")
+
+
+def _one_more(units, state):
+    """(source, hash) of the units that get a copy more, for ``state`` (source, left)."""
+    taken = []
+    now = stored(state.where("left > 0").select("source", "left", F.lit(-1).alias("c1"), F.lit(-1).alias("c2"), F.lit(0).cast("long").alias("ch")))
+    while True:
+        stops = stored(_round(units, now))
+        ends = stops.select(F.col("source").alias("s"), F.col("p1").alias("e1"), F.col("p2").alias("e2"), F.col("hash").alias("eh"), F.col("left").alias("rest"))
+        ranges = now.join(ends, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+        before = F.col("e1").isNull() | (F.struct("p1", "p2", "hash") < F.struct("e1", "e2", "eh"))
+        later = F.struct("p1", "p2", "hash") > F.struct("c1", "c2", "ch")
+        taken.append(_same(units, ranges).where(later & before & (F.col("words") <= F.col("left"))).select("source", "hash", "words"))
+        now = stops.select("source", "left", F.col("p1").alias("c1"), F.col("p2").alias("c2"), F.col("hash").alias("ch"))
+        if now.isEmpty():
+            break
+    out = taken[0]
+    for more in taken[1:]:
+        out = out.union(more)
+    out = stored(out)
+    sums = out.groupBy("source").agg(F.sum("words").alias("sum")).select(F.col("source").alias("s"), "sum")
+    rest = state.where("left > 0").join(sums, F.col("source").eqNullSafe(F.col("s")), "left").select("source", (F.col("left") - F.coalesce("sum", F.lit(0))).alias("left")).where("left > 0")
+    own = out.select(F.col("source").alias("s"), F.col("hash").alias("h"))
+    open_ = _same(units, rest).where(F.col("words") < 2 * F.col("left"))
+    open_ = open_.join(own, F.col("source").eqNullSafe(F.col("s")) & (F.col("hash") == F.col("h")), "left_anti")
+    nearest = open_.groupBy("source").agg(F.min(F.struct("words", "hash")).alias("x")).select("source", "x.hash")
+    return out.select("source", "hash").union(nearest)
 
 
 def mix_sources(docs: DataFrame, weights=WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
@@ -98,18 +150,10 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, most: int = MOST_COPIES) -> Da
     # A rate within rounding of a whole number is that number.
     whole = F.when(F.col("target") > 0, F.floor(F.col("rate") + 1e-9)).otherwise(0)
     state = stored(state.withColumn("rate", F.when(F.col("target") > 0, rate).otherwise(0.0)).withColumn("whole", whole).withColumn("missing", F.round(F.col("target") - F.col("whole") * F.col("source_size")).cast("long")))
-    state = state.withColumnRenamed("source", "s")
-    joined = sizes.join(state, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-
-    first = _crossing(joined.groupBy("source", "missing", F.col("p1").alias("part")).agg(F.sum("size").alias("words")), "stop1")
-    first = first.select(F.col("source").alias("s1"), "stop1", F.col("left").alias("left1"))
-    at = joined.join(first, F.col("source").eqNullSafe(F.col("s1"))).where("p1 = stop1")
-    second = _crossing(at.groupBy("source", F.col("left1").alias("missing"), F.col("p2").alias("part")).agg(F.sum("size").alias("words")), "stop2")
-    second = second.select(F.col("source").alias("s2"), "stop2")
-
-    found = joined.join(first, F.col("source").eqNullSafe(F.col("s1")), "left").join(second, F.col("source").eqNullSafe(F.col("s2")), "left")
-    # No stop: what is missing covers the whole source.
-    more = F.col("missing") > 0
-    more &= F.col("stop1").isNull() | (F.col("p1") < F.col("stop1")) | ((F.col("p1") == F.col("stop1")) & (F.col("stop2").isNull() | (F.col("p2") < F.col("stop2"))))
-    copies = F.least(F.lit(most), F.col("whole") + F.when(more, 1).otherwise(0)).cast("int")
-    return found.withColumn("copies", copies).select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    # Rows of one doc_id are one unit. Documents without words have nothing to add.
+    units = stored(sizes.where("size > 0").groupBy("source", "p1", "p2", "hash").agg(F.sum("size").alias("words")))
+    more = stored(_one_more(units, state.select("source", F.col("missing").alias("left"))))
+    more = more.select(F.col("source").alias("s"), F.col("hash").alias("h"), F.lit(1).alias("more"))
+    joined = _same(sizes, state).join(more, F.col("source").eqNullSafe(F.col("s")) & (F.col("hash") == F.col("h")) & (F.col("size") > 0), "left")
+    copies = F.least(F.lit(most), F.col("whole") + F.coalesce("more", F.lit(0))).cast("int")
+    return joined.withColumn("copies", copies).select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))

@@ -52,6 +52,19 @@ def test_targets_and_taken_words(spark):
         assert abs(taken[s] - wanted[s]) <= 60, s
 
 
+def test_a_document_larger_than_what_is_missing(spark):
+    # One document of each source is too long, another one in each.
+    rows = [(100 * j + i, " ".join("w" * (900 if i == j else 10 + i)), f"s{j:02}") for j in range(12) for i in range(12)]
+    got = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    for source in {r.source for r in got}:
+        own = [r for r in got if r.source == source]
+        target, taken, whole = own[0].target, sum(r.taken for r in own), int(own[0].rate + 1e-9)
+        left = [r["size"] for r in own if r.copies == whole]
+        assert all(r.copies in (whole, whole + 1) for r in own)
+        # The smallest document left would not come nearer.
+        assert not left or abs(taken - target) <= min(left) / 2 + 1, (source, taken, target)
+
+
 def test_no_words_and_no_rows(spark):
     docs = spark.createDataFrame([(1, None, None), (1, "", "a")], "doc_id long, text string, source string")
     assert sorted((r.source_size, r.target, r.taken) for r in mixing.mix_sources(docs).collect()) == [(0, 0.0, 0), (0, 0.0, 0)]
