@@ -38,7 +38,7 @@ def op2_mix_sources(spark, folder):
 
 @query
 def op3_url_filter(spark, folder):
-    found = urls.url_filter(table(spark, folder, "pages"))
+    found = urls.url_filter(table(spark, folder, "pages"), whole=True)
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 

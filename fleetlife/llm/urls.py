@@ -99,20 +99,22 @@ def threshold(judged: DataFrame) -> float:
     return float(row["step"]) if row else 0.0
 
 
-def url_filter(pages: DataFrame, rules=RULES) -> DataFrame:
+def url_filter(pages: DataFrame, rules=RULES, whole: bool = False) -> DataFrame:
     """The verdict on every url.
 
     Takes page_id and url; returns (page_id, host, path, rule, verdict, score, threshold) for each
     row. Where a rule fits, it decides and score is null; else the url is allowed if its
     score reaches the threshold. Null urls and urls without ``://`` have empty host and
-    path and are judged by the models like any other. Equal urls are judged once and alike.
+    path and are judged by the models like any other. The models learn and score host and path, or with
+    ``whole`` the url as it is, null as empty. Equal urls are judged once and alike.
     Without decided urls every score is 0 and every url is allowed. An empty table gives
     an empty result.
     """
     host, path = parts(F.col("url"))
-    pages = pages.select("page_id", host.alias("host"), path.alias("path"))
+    text = F.coalesce("url", F.lit("")) if whole else F.concat(host, path)
+    pages = pages.select("page_id", host.alias("host"), path.alias("path"), text.alias("text"))
     rule, verdict = matched_rule(F.col("host"), F.col("path"), rules)
-    pages = pages.withColumns({"rule": rule, "decided": verdict, "text": F.concat("host", "path")})
+    pages = pages.withColumns({"rule": rule, "decided": verdict})
     texts = stored(pages.groupBy("text", "decided").agg(F.count("*").alias("n")))
     fold = F.crc32(F.col("text").cast("binary")) % 5 == 0
     learned = _grams(texts.where(F.col("decided").isNotNull() & ~fold).select("text", "decided", "n"))

@@ -70,6 +70,23 @@ def test_equals_plain_models(spark):
             assert r.verdict == ("allow" if r.score >= r.threshold else "block")
 
 
+def test_whole_urls_are_judged(spark):
+    rows = [(i, f"x://a.com/p{i}?good=yes") for i in range(20)] + [(100 + i, f"x://a.net/es/p{i}?bad=spam") for i in range(20)]
+    asked = [(200, "x://b.org/p?good=yes"), (201, "x://b.org/p?bad=spam"), (202, "good=yes"), (203, "bad=spam"), (204, None)]
+    pages = spark.createDataFrame(rows + asked, "page_id long, url string")
+    got = {r.page_id: r for r in urls.url_filter(pages, whole=True).collect()}
+    assert got[200].score > got[201].score and got[202].score > got[203].score
+    assert (got[200].host, got[200].path, got[202].host) == ("b.org", "/p", "")
+    kinds = {"allow": [], "block": []}
+    for _, url in rows:
+        if zlib.crc32(url.encode()) % 5:
+            kinds[plain_rule(*plain_parts(url))[1]].append(url)
+    allow, block = (Model(kinds[k], urls.ORDER) for k in ("allow", "block"))
+    for page_id, url in asked:
+        text = url or ""
+        assert abs(got[page_id].score - (allow.log(text) - block.log(text)) / (len(text) + 1)) < 1e-9
+
+
 def test_threshold_separates(spark):
     rows = [(0.5 + i / 100, "allow") for i in range(10)] + [(-0.5 - i / 100, "block") for i in range(5)]
     least = urls.threshold(spark.createDataFrame(rows, "score double, verdict string"))
