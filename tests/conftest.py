@@ -9,8 +9,6 @@ for place in (ROOT, os.path.join(ROOT, "tests")):
     if place not in sys.path:
         sys.path.insert(0, place)
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

@@ -2,8 +2,7 @@
 SQL in test_skew.py, on harder data."""
 
 import pytest
-from conftest import SMALL
-from oracle import connect, differences
+from oracle import SMALL, connect, differences
 
 import __spark_entry__ as entry
 from fleetlife_entry.queries import REGISTRY

@@ -4,7 +4,7 @@ import datetime
 import uuid
 
 import pytest
-from conftest import SMALL
+from oracle import SMALL
 from pyspark.sql import functions as F
 
 from fleetlife.operators import evaluation, monitoring, temporal
