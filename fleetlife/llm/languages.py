@@ -19,6 +19,8 @@ from fleetlife.llm.words import chunks
 PIECE = 256
 STATES = 8
 TRAINED_BYTES = 64
+#: More languages than that are refused: their sample goes to the driver.
+MOST_LANGUAGES = 200
 UNKNOWN = "und"
 
 _LETTER = np.zeros(256, bool)
@@ -155,16 +157,23 @@ class Network:
 
 
 def training_pieces(docs: DataFrame, per_language: int, pieces: int) -> DataFrame:
-    """(lang, piece) of the sampled documents: the smallest hashes of doc_id of each language.
+    """(lang, piece) of the sampled documents: the smallest hashes of doc_id of each language, of
+    repeated ids the first text in alphabet.
 
     A language's documents are ranked in parts first, so that none is ranked in one task.
     """
     number = F.xxhash64(F.col("doc_id").cast("string"))
-    ranked = docs.where("text is not null and lang is not null").select("doc_id", "lang", number.alias("number"))
+    labelled = docs.where("text is not null and lang is not null").select("doc_id", "lang", "text", number.alias("number"))
+    ranked = labelled.groupBy("lang", "doc_id").agg(F.first("number").alias("number"))
     for by in (["lang", F.pmod("number", F.lit(997))], ["lang"]):
         rank = F.row_number().over(Window.partitionBy(*by).orderBy("number", "doc_id"))
         ranked = ranked.withColumn("nth", rank).where(F.col("nth") <= per_language).drop("nth")
-    chosen = docs.where("text is not null").join(F.broadcast(ranked.select("doc_id").distinct()), "doc_id").select("lang", "text")
+    # Repeated rows are ranked once, so this many ids are known to be all that is brought together.
+    held = ranked.select("lang", "doc_id").limit(MOST_LANGUAGES * per_language + 1).toArrow()
+    if held.num_rows > MOST_LANGUAGES * per_language or len(set(held["lang"].to_pylist())) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages to learn")
+    known = docs.sparkSession.createDataFrame(held, labelled.select("lang", "doc_id").schema)
+    chosen = labelled.join(F.broadcast(known), ["lang", "doc_id"]).groupBy("lang", "doc_id").agg(F.min("text").alias("text")).select("lang", "text")
 
     def cut(batches):
         for batch in batches:

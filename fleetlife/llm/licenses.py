@@ -1,7 +1,9 @@
 """License scan: winnowed fingerprints find candidates, banded alignment measures them.
 
-Templates are cut into grams of GRAM words; of each WINDOW neighbouring grams the smallest
-hash is kept (winnowing) in an inverted index of fingerprints. A document's grams are
+Templates are cut into grams of up to GRAM words; of each few neighbouring grams the smallest
+hash is kept (winnowing) in an inverted index of fingerprints. Gram and window of a template are such that,
+whichever words of a copy are changed, missing or preceded by a foreign one within the wanted coverage, the longest
+stretch left intact holds a kept gram. A document's grams are
 looked up there. Hits of one template on neighbouring diagonals are one candidate, aligned
 with the template inside a band around them; the words matched give coverage and span.
 """
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from fleetlife.llm.words import chunks, grams, text_words, word_hashes
 
-GRAM, WINDOW, BAND = 3, 4, 8
+GRAM, BAND = 3, 8
 MATCH, OTHER = 2, -1
 #: Words at most in all templates: their index goes to every task.
 MOST_WORDS = 1_000_000
@@ -38,20 +40,34 @@ TEMPLATES = {
 }
 
 
+def winnowing(words: int, coverage: float) -> tuple[int, int]:
+    """(words of a gram, grams of a window) for a template of so many words.
+
+    With e words spoilt, the rest falls into e + 1 stretches, one of which has at least
+    (words - e) / (e + 1) words; a window of grams fits into it.
+    """
+    spoilt = words - int(np.ceil(coverage * words - 1e-9))
+    intact = max(1, -(-(words - spoilt) // (spoilt + 1)))
+    gram = min(GRAM, intact)
+    return gram, intact - gram + 1
+
+
 class Index:
-    """Template words, and the places of each fingerprint."""
+    """Template words, and the places of each fingerprint by gram size."""
 
-    def __init__(self, templates: dict[str, str]):
+    def __init__(self, templates: dict[str, str], coverage: float = 0.8):
         self.words = {name: text_words(text) for name, text in templates.items()}
         if sum(map(len, self.words.values())) > MOST_WORDS:
             raise ValueError(f"templates have more than {MOST_WORDS} words")
         self.places = defaultdict(list)
         for name, words in self.words.items():
-            own = grams(np.array(words, np.uint64), GRAM).tolist()
-            kept = {min(range(i, min(i + WINDOW, len(own))), key=lambda j: (own[j], -j)) for i in range(max(1, len(own) - WINDOW + 1))} if own else set()
+            gram, window = winnowing(len(words), coverage)
+            own = grams(np.array(words, np.uint64), gram).tolist()
+            kept = {min(range(i, min(i + window, len(own))), key=lambda j: (own[j], -j)) for i in range(max(1, len(own) - window + 1))} if own else set()
             for at in kept:
-                self.places[own[at]].append((name, at))
-        self.prints = np.array(sorted(self.places), np.uint64)
+                self.places[gram, own[at]].append((name, at))
+        sizes = sorted({size for size, _ in self.places})
+        self.prints = {size: np.array(sorted(h for s, h in self.places if s == size), np.uint64) for size in sizes}
 
 
 def aligned(template, words, low, high):
@@ -91,36 +107,41 @@ def aligned(template, words, low, high):
     return best[1:]
 
 
-def _places(template, words, hits, least, low, high):
-    """(words matched, first, last) of each copy of the template in words low to high, given hits (place, diagonal)."""
-    runs = []
-    for at, d in sorted(hits, key=lambda h: h[1]):
-        if runs and d - runs[-1][-1][1] <= BAND:
-            runs[-1].append((at, d))
-        else:
-            runs.append([(at, d)])
-    for run in runs:
-        left, right = run[0][1], run[-1][1]
+def _places(template, words, hits, least):
+    """(words matched, first, last) of each copy of the template in ``words``, given hits (place, diagonal), from left to right.
+
+    Every step aligns the template once, with one template's length of words, and leaves at least one hit behind.
+    """
+    hits, low, i = sorted(hits), 0, 0
+    while i < len(hits):
+        at, d = hits[i]
+        if at < low:
+            i += 1
+            continue
+        left = right = d
+        for near, other in hits[i + 1 :]:
+            if near > d + len(template) + BAND:
+                break
+            if left - BAND <= other <= right + BAND:
+                left, right = min(left, other), max(right, other)
         base = max(low, left - BAND)
-        part = words[base : min(high, right + BAND + len(template))].tolist()
+        part = words[base : right + BAND + len(template)].tolist()
         matched, first, last = aligned(template, part, left - base, right - base)
         if matched >= least * len(template):
-            first, last = base + first, base + last
-            # Other copies may stand close by, on either side.
-            yield from _places(template, words, [h for h in run if h[0] + GRAM <= first], least, low, first)
-            yield matched, first, last
-            yield from _places(template, words, [h for h in run if h[0] > last], least, last + 1, high)
+            yield matched, base + first, base + last
+            low = base + last + 1
+        i += 1
 
 
 def _matches(index, words, hits, least):
     """(template, coverage, first word, last word) of one document; overlapping finds of a template are one."""
     by_template = defaultdict(list)
-    for at, gram in hits:
-        for name, place in index.places[gram]:
+    for at, size, gram in hits:
+        for name, place in index.places[size, gram]:
             by_template[name].append((at, at - place))
     for name, own in sorted(by_template.items()):
         template, until = index.words[name], -1
-        for matched, first, last in sorted(_places(template, words, own, least, 0, len(words)), key=lambda f: f[1:]):
+        for matched, first, last in sorted(_places(template, words, own, least), key=lambda f: f[1:]):
             if first > until:
                 until = last
                 yield name, matched / len(template), first, last
@@ -132,25 +153,30 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, cove
     Takes doc_id and text; returns (doc_id, license, coverage, start, finish), start and finish
     in code points, finish exclusive. Case and punctuation are not minded. One text may
     hold several templates, and one template several times. Null, empty and foreign texts
-    give no row; a template with fewer than GRAM words is never found. Repeated rows give
+    give no row; a template without words is never found. Repeated rows give
     repeated finds; an empty table gives an empty result.
     """
-    index = Index(TEMPLATES if templates is None else templates)
+    told = docs.sparkSession.sparkContext.broadcast(Index(TEMPLATES if templates is None else templates, coverage))
 
     def run(batches):
+        index = told.value
         for batch in batches:
             ids, out = batch.column(0).to_pylist(), []
             for low, high, data, offsets in chunks(batch.column(1)):
                 hashes, starts, ends, first = word_hashes(data, offsets, plain=True)
-                own = grams(hashes, GRAM)
-                near = np.searchsorted(index.prints, own)
-                hits = np.flatnonzero((near < len(index.prints)) & (index.prints[np.minimum(near, len(index.prints) - 1)] == own)) if len(index.prints) else []
-                if not len(hits):
-                    continue
-                rows = np.searchsorted(first, hits, "right") - 1
-                for row in np.unique(rows).tolist():
-                    a, b = int(first[row]), int(first[row + 1])
-                    found = [(at - a, int(own[at])) for at in hits[rows == row].tolist() if at + GRAM <= b]
+                hits = []
+                for size, prints in index.prints.items():
+                    own = grams(hashes, size)
+                    near = np.minimum(np.searchsorted(prints, own), len(prints) - 1)
+                    found = np.flatnonzero(prints[near] == own)
+                    rows = np.searchsorted(first, found, "right") - 1
+                    found, rows = (x[found + size <= first[rows + 1]] for x in (found, rows))
+                    hits += zip(rows.tolist(), found.tolist(), [size] * len(found), own[found].tolist())
+                by_row = defaultdict(list)
+                for row, at, size, gram in hits:
+                    by_row[row].append((at - int(first[row]), size, gram))
+                for row in sorted(by_row):
+                    a, b, found = int(first[row]), int(first[row + 1]), by_row[row]
                     text = data[offsets[row] : offsets[row + 1]]
                     for name, share, s, e in _matches(index, hashes[a:b], found, coverage):
                         begin, end = int(starts[a + s] - offsets[row]), int(ends[a + e] - offsets[row])

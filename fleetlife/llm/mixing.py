@@ -1,42 +1,48 @@
 """Mixing sources to target weights by entropy balancing.
 
-Each source has a target of words. The document rates that meet the targets and stay
-closest (in relative entropy, weighted by words) to taking every document once are exponential
-tilts exp(lambda . x) of 1. The multipliers are found on the convex dual by Newton steps;
-gradient and Hessian of a step are sums over all documents, computed by grouping. The
-constraints are one per source, so the Hessian is diagonal and a table of sources, not
-a matrix on the driver, carries the multipliers.
-
-Rates become whole copies: the whole part for every document, one more for documents in the order of
-their hashes, up to the words still missing. A document that no longer fits is passed over and later ones
-that fit are taken, in rounds; a last one, the smallest left, is taken where going over is nearer. The hash at
-which a round stops is found by sums over hash ranges, two digits deep, and so without
-ordering a source in one task.
+Each source has a target of words. Document rates between 0 and ``most`` that meet the targets and stay closest, in
+relative entropy to taking every document once, are exponential tilts: with x the document's size,
+rate = most / (1 + (most - 1) * exp(-multiplier * x)). A multiplier above 0 repeats long documents,
+one below 0 leaves them out first, and documents without words stay as they are. The convex dual has one
+multiplier a source; its Newton iterations sum gradient and Hessian over groups of equal source and
+size, which Spark counts once. An iterate that leaves the bracket known so far halves it.
+
+Rates become whole copies by size: from long to short, each size takes the nearest number of copies and hands the words that are
+too many or too few to the next, so that a source misses its target by no more than its short
+documents allow. Documents of one size share the copies by the order of their hashes; where it
+stops is found by counts over hash ranges, two digits deep. The number of jobs does not
+depend on the data beyond the Newton iterations.
 """
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fleetlife.cluster import attach, settle
 from fleetlife.llm.store import stored
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_COPIES = 3
 NEWTON_STEPS = 60
-#: Relative error of a source's words at which the multipliers are settled.
-CLOSE = 1e-10
-DIGIT = 4096
+#: Relative error of a source's words at which its multiplier is settled, and decimals that are kept of it:
+#: sums of doubles depend on their order in the last digits, reruns must not.
+CLOSE, DECIMALS = 1e-9, 6
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bits of a hash digit.
+DIGIT = 12
+#: The table of sizes is broadcast up to this many bytes of its files.
+BROADCAST_BYTES = 8 << 20
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, most=MOST_COPIES) -> DataFrame:
     """(source, source_size, target): shares of all words by weight, none above ``most`` times its size.
 
-    Reshaping the excess until none is above ends where every open source has the same
+    ``sizes`` has (source, size, n). Resharing the excess until none is above ends where every open source has the same
     words a weight, so sources are closed in order of their bound a weight. Works on a
-    row per source.
+    row per source, in one task.
     """
-    by_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    by_source = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     nth = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (nth % len(weights) + 1).cast("int"))
     rows = by_source.withColumn("weight", weight).withColumn("bound", (F.col("source_size") * most).cast("double"))
@@ -50,110 +56,139 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, most=MOST_COPIES) -> DataF
     return rows.select("source", "source_size", F.when(F.col("closed"), F.col("bound")).otherwise(F.col("weight") * shared).alias("target"))
 
 
-def balance(sizes: DataFrame, targets: DataFrame) -> DataFrame:
-    """(source, source_size, target, multiplier): minimises the dual sum(size * exp(m)) - target * m.
+def _key(source="source") -> Column:
+    """A source as a join key; null is a source of its own."""
+    return F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))
 
-    A Newton step for a source is m + (target - words) / words, with words = sum of
-    size * exp(m) over its documents. It starts from 0; a step is at most 1 either way.
-    """
-    now = stored(targets.withColumn("multiplier", F.lit(0.0)))
-    grouped = stored(sizes.groupBy("source", F.col("size")).agg(F.count("*").alias("n")))  # equal documents are one term
-    for _ in range(NEWTON_STEPS):
-        joined = grouped.join(now.select(F.col("source").alias("s"), "multiplier"), F.col("source").eqNullSafe(F.col("s")))
-        words = joined.groupBy("source").agg(F.sum(F.col("size") * F.col("n") * F.exp("multiplier")).alias("words"))
-        words = words.select(F.col("source").alias("s"), "words")
-        rows = now.join(words, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-        open_ = (F.col("target") > 0) & (F.col("words") > 0)
-        change = F.when(open_, F.least(F.lit(1.0), F.greatest(F.lit(-1.0), F.col("target") / F.col("words") - 1))).otherwise(0.0)
-        now = stored(rows.select("source", "source_size", "target", (F.col("multiplier") + change).alias("multiplier"), F.abs(change).alias("change")))
-        if (now.agg(F.max("change")).first()[0] or 0.0) <= CLOSE:
-            break
-    return now.drop("change")
-
-
-def _crossing(sums, part):
-    """Per source, the range in which the running sum of words passes what is left, and what is left before it.
-
-    ``sums`` (source, part, words, left) has few parts a source.
-    """
-    order = Window.partitionBy("source").orderBy(part)
-    ran = sums.withColumn("through", F.sum("words").over(order)).where("through > left")
-    return ran.groupBy("source").agg(F.min(part).alias("stop"), F.min_by(F.col("left") - F.col("through") + F.col("words"), part).alias("left"))
 
+def rate(most: int) -> Column:
+    """The tilt of a document of size ``x`` (in mean sizes) by the multiplier ``m``."""
+    return most / (1 + (most - 1) * F.exp(-F.greatest(F.lit(-700.0), F.least(F.lit(700.0), F.col("m") * F.col("x")))))
 
-def _same(frame, other):
-    """``frame`` with the columns that ``other`` (source, ...) has for its source."""
-    other = other.withColumnRenamed("source", "s")
-    return frame.join(other, F.col("source").eqNullSafe(F.col("s"))).drop("s")
 
+def balance(sizes: DataFrame, targets: DataFrame, most: int = MOST_COPIES) -> DataFrame:
+    """(of, source, source_size, target, mean, m) per source: the multipliers that meet the targets.
 
-def _round(units, state):
-    """(source, p1, p2, hash, left): where a round over the units that still fit stops, and what it leaves.
-
-    ``state`` has a source's columns c1, c2, ch, after which the round starts, and left. Sources that take all
-    their units have no row.
+    ``sizes`` has (of, size, n). A source whose target is the whole of ``most`` times its size has no finite multiplier and
+    gets one that no size tells from infinite; one without words keeps 0.
     """
-    later = F.struct("p1", "p2", "hash") > F.struct("c1", "c2", "ch")
-    rows = _same(units, state).where(later & (F.col("words") <= F.col("left")))
-    found = None
-    for part, columns in (("p1", ("p1",)), ("p2", ("p1", "p2")), ("hash", ("p1", "p2", "hash"))):
-        sums = rows if part == "hash" else rows.groupBy("source", *columns, "left").agg(F.sum("words").alias("words"))
-        found = _crossing(sums.select("source", part, "words", "left"), part).withColumnRenamed("stop", f"at_{part}")
-        found = stored(found) if part == "p1" else found
-        rows = _same(rows.drop("left"), found).where(F.col(part) == F.col(f"at_{part}"))
-    # One unit a source is left: the one that crosses.
-    return rows.select("source", "p1", "p2", "hash", "left")
-
-
-def _one_more(units, state):
-    """(source, hash) of the units that get a copy more, for ``state`` (source, left)."""
-    taken = []
-    now = stored(state.where("left > 0").select("source", "left", F.lit(-1).alias("c1"), F.lit(-1).alias("c2"), F.lit(0).cast("long").alias("ch")))
-    while True:
-        stops = stored(_round(units, now))
-        ends = stops.select(F.col("source").alias("s"), F.col("p1").alias("e1"), F.col("p2").alias("e2"), F.col("hash").alias("eh"), F.col("left").alias("rest"))
-        ranges = now.join(ends, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-        before = F.col("e1").isNull() | (F.struct("p1", "p2", "hash") < F.struct("e1", "e2", "eh"))
-        later = F.struct("p1", "p2", "hash") > F.struct("c1", "c2", "ch")
-        taken.append(_same(units, ranges).where(later & before & (F.col("words") <= F.col("left"))).select("source", "hash", "words"))
-        now = stops.select("source", "left", F.col("p1").alias("c1"), F.col("p2").alias("c2"), F.col("hash").alias("ch"))
-        if now.isEmpty():
+    words = F.col("size").cast("double") * F.col("n")
+    moments = sizes.groupBy("of").agg(F.round(F.try_divide(F.sum(words * F.col("size")), F.sum(words)), 3).alias("mean"))
+    whole = F.col("target") >= most * F.col("source_size") * (1 - 1e-12)
+    state = targets.withColumn("of", _key()).join(moments, "of").withColumn("mean", F.coalesce("mean", F.lit(1.0)))
+    state = settle(
+        state.select(
+            "of", "source", "source_size", "target", "mean",
+            F.when((F.col("source_size") > 0) & whole, 1e18).otherwise(0.0).alias("m"),
+            F.lit(float("-inf")).alias("low"), F.lit(float("inf")).alias("high"), ((F.col("source_size") == 0) | whole).alias("settled"),
+        )
+    )
+    for _ in range(NEWTON_STEPS):
+        if state.where("NOT settled").isEmpty():
             break
-    out = taken[0]
-    for more in taken[1:]:
-        out = out.union(more)
-    out = stored(out)
-    sums = out.groupBy("source").agg(F.sum("words").alias("sum")).select(F.col("source").alias("s"), "sum")
-    rest = state.where("left > 0").join(sums, F.col("source").eqNullSafe(F.col("s")), "left").select("source", (F.col("left") - F.coalesce("sum", F.lit(0))).alias("left")).where("left > 0")
-    own = out.select(F.col("source").alias("s"), F.col("hash").alias("h"))
-    open_ = _same(units, rest).where(F.col("words") < 2 * F.col("left"))
-    open_ = open_.join(own, F.col("source").eqNullSafe(F.col("s")) & (F.col("hash") == F.col("h")), "left_anti")
-    nearest = open_.groupBy("source").agg(F.min(F.struct("words", "hash")).alias("x")).select("source", "x.hash")
-    return out.select("source", "hash").union(nearest)
-
-
-def mix_sources(docs: DataFrame, weights=WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
+        rows = attach(sizes, state.where("NOT settled").select("of", "mean", "m"), "of").withColumn("x", F.col("size") / F.col("mean"))
+        rows = rows.withColumn("r", rate(most)).withColumn("words", (F.col("size") * F.col("n")).cast("double"))
+        sums = rows.groupBy("of").agg(F.sum(F.col("words") * F.col("r")).alias("words"), F.sum(F.col("words") * F.col("x") * F.col("r") * (1 - F.col("r") / most)).alias("slope"))
+        error = F.col("words") - F.col("target")
+        moved = state.join(sums, "of", "left").withColumn("low", F.when(error < 0, F.col("m")).otherwise(F.col("low"))).withColumn("high", F.when(error > 0, F.col("m")).otherwise(F.col("high")))
+        newton = F.col("m") - F.try_divide(error, F.col("slope"))
+        # A first step beyond what the other side has shown is held to twice the way so far.
+        halved = F.when(F.col("low") == float("-inf"), F.col("high") * 2 - 1).when(F.col("high") == float("inf"), F.col("low") * 2 + 1).otherwise((F.col("low") + F.col("high")) / 2)
+        inside = (newton > F.greatest("low", F.when(F.col("low") == float("-inf"), F.col("high") * 2 - 8).otherwise(F.col("low")))) & (
+            newton < F.least("high", F.when(F.col("high") == float("inf"), F.col("low") * 2 + 8).otherwise(F.col("high")))
+        )
+        done = F.col("settled") | (F.abs(error) <= CLOSE * F.col("target")) | (F.col("high") - F.col("low") <= 1e-12 * F.abs("m"))
+        state = settle(
+            moved.select(
+                "of", "source", "source_size", "target", "mean", F.when(done, F.col("m")).when(F.coalesce(inside, F.lit(False)), newton).otherwise(halved).alias("m"), "low", "high", done.alias("settled")
+            )
+        )
+    return state.select("of", "source", "source_size", "target", "mean", F.when(F.col("m") < 1e17, F.round("m", DECIMALS)).otherwise(F.col("m")).alias("m"))
+
+
+def rounded(size: np.ndarray, n: np.ndarray, rate: np.ndarray, target: float, most: int) -> np.ndarray:
+    """Copies that all documents of each size take together, the words of all near ``target``.
+
+    From long to short, what one size takes too much or too little is left to the next; what the
+    bounds leave over is given to any size that it fits. Without words a document is taken once.
+    """
+    copies = n.copy()
+    order = [i for i in np.argsort(-size, kind="stable").tolist() if size[i] > 0]
+    left = 0.0
+    for i in order:
+        left += float(n[i]) * float(rate[i]) * float(size[i])
+        copies[i] = min(max(int(np.floor(left / size[i] + 0.5)), 0), most * int(n[i]))
+        left -= float(copies[i]) * float(size[i])
+    left = target - float(sum(int(copies[i]) * int(size[i]) for i in order))
+    for i in order:
+        room = most * int(n[i]) - int(copies[i]) if left > 0 else int(copies[i])
+        more = min(int(abs(left) // size[i]), room) * (1 if left > 0 else -1)
+        copies[i] += more
+        left -= more * float(size[i])
+    # One copy more or less, where that comes nearer.
+    sign = 1 if left > 0 else -1
+    near = [i for i in order if abs(left - sign * float(size[i])) < abs(left) and (copies[i] < most * n[i] if left > 0 else copies[i] > 0)]
+    if near:
+        copies[min(near, key=lambda i: abs(left - sign * float(size[i])))] += sign
+    return copies
+
+
+def size_copies(sizes: DataFrame, state: DataFrame, most: int = MOST_COPIES) -> DataFrame:
+    """(of, size, n, rate, copies): copies of each source and size. A source has at most the square root of
+    twice its words of different sizes, which one task rounds in order."""
+
+    def share(pdf):
+        pdf["copies"] = rounded(pdf["size"].to_numpy(), pdf["n"].to_numpy(), pdf["rate"].to_numpy(), float(pdf["target"].iloc[0]), most)
+        return pdf[["of", "size", "n", "rate", "copies"]]
+
+    rows = attach(sizes, state.select("of", "mean", "m", "target"), "of").withColumn("x", F.col("size") / F.col("mean"))
+    rows = rows.select("of", "size", "n", rate(most).alias("rate"), "target")
+    return rows.groupBy("of").applyInPandas(share, "of string, size long, n long, rate double, copies long")
+
+
+def _crossing(counts: DataFrame, part: str) -> DataFrame:
+    """Per source and size, the first ``part`` at which the running count passes ``left``, and what is left before it."""
+    order = Window.partitionBy("of", "size").orderBy(part)
+    ran = counts.withColumn("through", F.sum("c").over(order)).where("through > left")
+    return ran.groupBy("of", "size").agg(F.min(part).alias("at"), F.min_by(F.col("left") - F.col("through") + F.col("c"), part).alias("left"))
+
+
+def cuts(rows: DataFrame, copies: DataFrame) -> DataFrame:
+    """(of, size, cut): hashes below ``cut`` take a copy more than their size's whole number.
+
+    A digit of the hash has 4,096 values, and two of them leave one part in 16 million of a
+    size's documents; rows of one hash are taken together or not at all.
+    """
+    first, second = F.shiftright("u", 63 - DIGIT), F.shiftright("u", 63 - 2 * DIGIT)
+    open_ = copies.select("of", "size", (F.col("copies") % F.col("n")).alias("left")).where("left > 0")
+    found = attach(rows, open_, ["of", "size"], max_bytes=BROADCAST_BYTES).groupBy("of", "size", first.alias("p"), "left").agg(F.count("*").alias("c"))
+    for digit, finer in ((first, second), (second, F.col("u"))):
+        at = stored(_crossing(found, "p"))
+        held = attach(rows, at, ["of", "size"], max_bytes=BROADCAST_BYTES).where(digit == F.col("at"))
+        found = held.groupBy("of", "size", finer.alias("p"), "left").agg(F.count("*").alias("c"))
+    return _crossing(found, "p").select("of", "size", F.col("at").alias("cut"))
+
+
+def mix_sources(docs: DataFrame, weights=WEIGHTS, most: int = MOST_COPIES, carried=()) -> DataFrame:
     """Copies of each document so that sources get their target words.
 
     Takes doc_id, text and source of ``docs``; returns (doc_id, source, size, source_size,
-    target, rate, copies, taken) for each row. size is the number of words, 0 for null
-    text; a null source is a source of its own, the last. Documents without words get
-    the whole part of their rate only. Rows with equal doc_id share their hash, so they
+    target, rate, copies, taken) and the ``carried`` columns for each row. size is the number of words, 0 for null
+    text; a null source is a source of its own, the last. Documents without words are taken
+    once. Rows with equal doc_id, source and size share their hash, so they
     are taken alike. An empty table gives an empty result.
     """
-    sizes = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.coalesce(F.xxhash64(F.col("doc_id").cast("string")), F.lit(0)).alias("hash")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "source", _key().alias("of"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.shiftrightunsigned(F.coalesce(F.xxhash64(F.col("doc_id").cast("string")), F.lit(0)), 1).alias("u"), *carried,
     )
-    sizes = stored(sizes.withColumn("p1", F.pmod("hash", F.lit(DIGIT)).cast("int")).withColumn("p2", F.pmod(F.shiftright("hash", 12), F.lit(DIGIT)).cast("int")))
-    state = balance(sizes, source_targets(sizes, weights, most))
-    rate = F.least(F.lit(float(most)), F.exp("multiplier"))
-    # A rate within rounding of a whole number is that number.
-    whole = F.when(F.col("target") > 0, F.floor(F.col("rate") + 1e-9)).otherwise(0)
-    state = stored(state.withColumn("rate", F.when(F.col("target") > 0, rate).otherwise(0.0)).withColumn("whole", whole).withColumn("missing", F.round(F.col("target") - F.col("whole") * F.col("source_size")).cast("long")))
-    # Rows of one doc_id are one unit. Documents without words have nothing to add.
-    units = stored(sizes.where("size > 0").groupBy("source", "p1", "p2", "hash").agg(F.sum("size").alias("words")))
-    more = stored(_one_more(units, state.select("source", F.col("missing").alias("left"))))
-    more = more.select(F.col("source").alias("s"), F.col("hash").alias("h"), F.lit(1).alias("more"))
-    joined = _same(sizes, state).join(more, F.col("source").eqNullSafe(F.col("s")) & (F.col("hash") == F.col("h")) & (F.col("size") > 0), "left")
-    copies = F.least(F.lit(most), F.col("whole") + F.coalesce("more", F.lit(0))).cast("int")
-    return joined.withColumn("copies", copies).select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    known = stored(rows.drop(*carried))
+    sizes = stored(known.groupBy("of", "size").agg(F.first("source").alias("source"), F.count("*").alias("n")))
+    state = balance(sizes, source_targets(sizes, weights, most), most)
+    copies = stored(size_copies(sizes, state, most))
+    whole = F.expr("copies div n").cast("int")
+    table = copies.join(cuts(known, copies), ["of", "size"], "left").select("of", "size", "rate", whole.alias("whole"), "cut")
+    table = stored(table.join(state.select("of", "source_size", "target"), "of"))
+    taken = F.col("whole") + F.when(F.col("u") < F.col("cut"), 1).otherwise(0)
+    found = attach(rows if carried else known, table, ["of", "size"], max_bytes=BROADCAST_BYTES).withColumn("copies", taken)
+    return found.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"), *carried)

@@ -5,13 +5,15 @@ A host's wrapper is the tree most of its pages have. Simple tree matching aligns
 with the wrapper, so a piece of text belongs to a slot: the wrapper node it is aligned
 with, or its own path of labels. Text that most of a host's pages have in the same slot is
 template; slots whose text varies are content, unless their elements say that they hold
-menus, notices and the like. If a page marks its article, content outside it is left out.
+menus, notices and the like. If a page marks its article, content outside it is left out,
+and nothing in it is taken for template.
 """
 
+import hashlib
 import html
 import re
+from collections import Counter
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,13 +26,15 @@ SHARE, LEAST_PAGES = 0.8, 5
 #: Trees are matched down to this depth; below it, labels decide.
 DEEPEST = 120
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<[!?][^>]*>""", re.DOTALL)
+NAME = re.compile(r"</?([A-Za-z][A-Za-z0-9:-]*)")
+QUOTE_OR_END = re.compile(r"""["'>]""")
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noframes".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 #: What an open element of the name is ended by.
 ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
+ENDS = {name: [ended for ended, by in ENDED_BY.items() if name in by] for name in ("li", "dt", "dd", "tr", "td", "th", "option")}
 HOLDERS = frozenset("ul ol dl table tbody thead article section main div body html nav aside header footer form blockquote".split())
 ASIDE_TAGS = frozenset("head nav header footer aside form script style noscript template iframe button select option textarea svg canvas object menu dialog".split())
 ASIDE_WORDS = frozenset(
@@ -38,52 +42,115 @@ ASIDE_WORDS = frozenset(
     " newsletter subscribe signup sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs header footer masthead comment comments disqus"
     " reply replies respond share sharing social related widget pagination pager toolbar login search contentinfo complementary".split()
 )
+#: Words that may stand beside an aside word in one class or id.
+BESIDE_WORDS = frozenset("site page main top bottom left right global primary secondary box block wrapper wrap container area list section item items inner outer bar".split())
 MAIN_TAGS = frozenset(("article", "main"))
+#: Elements that hold a page's content whatever their classes say.
+NEVER_ASIDE = frozenset(("html", "body", "main", "article"))
+
+
+def says_aside(token: str) -> bool:
+    """Whether a class, id or role names a menu, notice or the like as a whole: ``cookie-notice`` does, ``has-sidebar`` doesn't."""
+    words = re.findall("[a-z]+", token)
+    return not ASIDE_WORDS.isdisjoint(words) and all(w in ASIDE_WORDS or w in BESIDE_WORDS for w in words)
 
 
 class Node:
-    __slots__ = ("tag", "label", "aside", "items", "parent")
+    __slots__ = ("tag", "label", "aside", "items", "parent", "path")
 
-    def __init__(self, tag, marks, parent):
-        self.tag, self.parent, self.items = tag, parent, []
+    def __init__(self, tag, tokens, parent):
+        marks = sorted({w for token in tokens for w in re.findall("[a-z]+", token)})
+        self.tag, self.parent, self.items, self.path = tag, parent, [], None
         self.label = tag + "." + ".".join(marks) if marks else tag
-        self.aside = tag in ASIDE_TAGS or not ASIDE_WORDS.isdisjoint(marks)
+        self.aside = tag in ASIDE_TAGS or (tag not in NEVER_ASIDE and any(map(says_aside, tokens)))
+
+
+def tags(page: str):
+    """(start, end, name, whether it closes, attributes) of each tag; comments and the like have no name.
+
+    Marks of attributes may hold ``>``. One that is never closed would be sought again from
+    every later tag, so after the first such one marks are no longer minded: every
+    character is looked at a bounded number of times.
+    """
+    at, minded, last = 0, True, page.rfind(">")
+    while (start := page.find("<", at)) >= 0:
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            at = len(page) if end < 0 else end + 3
+            yield start, at, None, False, ""
+            continue
+        if start > last:
+            at = page.find("<!--", start)
+            if at < 0:
+                return
+            continue
+        if page[start + 1 : start + 2] in ("!", "?"):
+            at = page.find(">", start) + 1
+            yield start, at, None, False, ""
+            continue
+        if (m := NAME.match(page, start)) is None:
+            at = start + 1
+            continue
+        end = m.end()
+        while minded and (q := QUOTE_OR_END.search(page, end)):
+            end = q.end()
+            if q.group() == ">":
+                break
+            end = page.find(q.group(), end) + 1
+            if end == 0:
+                minded = False
+        else:
+            minded, end = False, page.find(">", m.end()) + 1
+        at = end
+        yield start, end, m.group(1).lower(), page[start + 1] == "/", page[m.end() : end - 1]
 
 
 def tree(page: str) -> Node:
     """Elements of a page with their texts in order, ends of elements implied where they lack."""
     root = now = Node("#", (), None)
-    at = 0
-    while m := TAG.search(page, at):
-        if m.start() > at:
-            now.items.append(page[at : m.start()])
-        at = m.end()
-        if (name := m.group(2)) is None:
+    at, until, open_ = 0, 0, Counter()
+
+    def closed(node, stop):
+        while node is not stop:
+            open_[node.tag] -= 1
+            node = node.parent
+        return stop
+
+    for start, end, name, closes, written_ in tags(page):
+        if start < until:  # inside an element whose text is raw
             continue
-        name = name.lower()
-        if m.group(1):
-            up = now
-            while up is not root and up.tag != name:
-                up = up.parent
-            if up is not root:
-                now = up.parent
+        if start > at:
+            now.items.append(page[at:start])
+        at = end
+        if name is None:
+            continue
+        if closes:
+            if open_[name] > 0:
+                up = now
+                while up.tag != name:
+                    up = up.parent
+                now = closed(now, up.parent)
             continue
-        if name not in INLINE:
+        if name not in INLINE and (left := open_["p"] + sum(open_[t] for t in ENDS.get(name, ()))):
             # A block ends an open paragraph, an item its neighbour.
-            up = now
-            while up is not root and up.tag not in HOLDERS:
+            up, upper = now, None
+            while left and up is not root and up.tag not in HOLDERS:
                 if up.tag == "p" or name in ENDED_BY.get(up.tag, ()):
-                    now = up.parent
+                    upper, left = up.parent, left - 1
                 up = up.parent
-        marks = sorted({w for a in ATTRIBUTE.finditer(m.group(3)) for w in re.findall("[a-z]+", a.group(2).lower())}) if m.group(3) else ()
-        node = Node(name, marks, now)
+            if upper is not None:
+                now = closed(now, upper)
+        tokens = [t for a in ATTRIBUTE.finditer(written_) for t in a.group(2).strip("\"'").lower().split()]
+        node = Node(name, tokens, now)
         now.items.append(node)
         if name in RAW:
-            end = re.compile(f"</{name}", re.IGNORECASE).search(page, at)
-            at = end.start() if end else len(page)
-            now = node
-        elif name not in VOID and not m.group(3).endswith("/"):
+            found = re.compile(f"</{name}", re.IGNORECASE).search(page, end)
+            until = found.start() if found else len(page)
+            node.items.append(page[end:until])
+            at = until
+        elif name not in VOID and not written_.endswith("/"):
             now = node
+            open_[name] += 1
     if at < len(page):
         now.items.append(page[at:])
     return root
@@ -92,7 +159,7 @@ def tree(page: str) -> Node:
 def blocks(root: Node):
     """(node, text, whether in an aside, whether in an article) of each block in page order."""
     found, piece, owner = [], [], None
-    stack = [(root, iter(root.items), False, False)]
+    stack = [(root, iter(root.items), False, False, root)]
 
     def close():
         if piece:
@@ -102,13 +169,10 @@ def blocks(root: Node):
             piece.clear()
 
     while stack:
-        node, items, aside, main = stack[-1]
+        node, items, aside, main, block = stack[-1]
         for item in items:
             if isinstance(item, str):
                 if item.strip() or piece:
-                    block = node
-                    while block.tag in INLINE and block.parent is not None and not block.aside:
-                        block = block.parent
                     if not piece:
                         owner = (block, aside, main)
                     piece.append(item)
@@ -119,7 +183,8 @@ def blocks(root: Node):
                 continue
             if item.tag not in INLINE or item.aside:
                 close()
-            stack.append((item, iter(item.items), aside or item.aside, main or item.tag in MAIN_TAGS))
+            inline = item.tag in INLINE and not item.aside
+            stack.append((item, iter(item.items), aside or item.aside, main or item.tag in MAIN_TAGS, block if inline else item))
             break
         else:
             if node.tag not in INLINE or node.aside:
@@ -208,28 +273,39 @@ def match(a: Merged, b: Merged, depth=0):
     return 1 + before[-1][0], [(a, b), *before[-1][1]]
 
 
+def _in_order(a: Merged, b: Merged):
+    """Pairs of the nodes of two equal trees."""
+    pairs, stack = [], [(a, b)]
+    while stack:
+        x, y = stack.pop()
+        pairs.append((x, y))
+        stack += zip(x.children, y.children)
+    return pairs
+
+
+def _path(node: Node) -> str:
+    """Digest of the labels from the root to a node, kept in each node on the way."""
+    way = []
+    while node is not None and node.path is None:
+        way.append(node)
+        node = node.parent
+    path = node.path if node is not None else ""
+    for node in reversed(way):
+        path = node.path = hashlib.blake2b(f"{path}/{node.label}".encode("utf-8", "replace"), digest_size=8).hexdigest()
+    return path
+
+
 def slotted(page: str, wrapper: str):
     """(slot, text, aside, main) of each block; a slot is a wrapper node's number or a path of labels."""
     root = tree(page)
-    _, pairs = match(merged(root), read(wrapper))
+    own = merged(root)
+    pairs = _in_order(own, read(wrapper)) if written(own) == wrapper else match(own, read(wrapper))[1]
     slots = {id(node): str(b.at) for a, b in pairs for node in a.nodes}
-    out = []
-    for node, text, aside, main in blocks(root):
-        slot = slots.get(id(node))
-        if slot is None:
-            names, up = [], node
-            while up is not None:
-                names.append(up.label)
-                up = up.parent
-            slot = "/".join(reversed(names))
-        out.append((slot, text, aside, main))
-    return out
+    return [(slots.get(id(node)) or _path(node), text, aside, main) for node, text, aside, main in blocks(root)]
 
 
 def _hash(text):
-    import xxhash
-
-    return np.uint64(xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace"))).astype(np.int64).item()
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
@@ -289,7 +365,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
                 constant = frozenset(template or ())
                 found = slotted(page or "", wrapper)
                 marked = any(main and not aside for _, _, aside, main in found)
-                kept = [text for slot, text, aside, main in found if not aside and main >= marked and _hash(f"{slot}\n{text}") not in constant]
+                kept = [text for slot, text, aside, main in found if not aside and (main if marked else _hash(f"{slot}\n{text}") not in constant)]
                 texts.append("\n\n".join(kept))
                 counts.append(len(kept))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(counts, pa.int32())], names=["page_id", "url", "text", "n_blocks"])

@@ -39,7 +39,7 @@ PREFIX = 3
 RANKED = 1 << 16
 #: Chains of forms are followed by doubling; counts grow tenfold a step, so 2 ** 5 steps pass any chain of 64-bit counts.
 DOUBLINGS = 5
-SCHEMA = "key long, word string, n long"
+SCHEMA = "key long, word string, n long, letters int"
 
 
 def written_words(docs: DataFrame, least_length: int = LEAST_LENGTH, least_count: int = LEAST_COUNT, slip: int = SLIP) -> DataFrame:
@@ -134,6 +134,11 @@ def _halves(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.hstack([zero, np.cumsum(letters, axis=1)]), np.hstack([zero, np.cumsum(turned, axis=1)])
 
 
+def _odd_letters(codes: np.ndarray) -> np.ndarray:
+    """A bit for each letter (modulo 32) that a word has an odd number of times. One edit turns at most two."""
+    return np.bitwise_xor.reduce(np.uint32(1) << (codes & 31).astype(np.uint32), axis=1).view(np.int32)
+
+
 def _key(gram, place, size: int, shorter: int, right: bool, half) -> np.ndarray:
     tag = np.uint64((size * 2 + size - shorter) * 2 + right)
     return mix(mix(gram.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + place.astype(np.uint64)) + tag + mix(half + tag))
@@ -175,16 +180,17 @@ def probe_keys(codes: np.ndarray, order) -> Iterator[tuple[np.ndarray, np.ndarra
 
 
 def _entries(words: DataFrame, keys, order) -> DataFrame:
-    """(key, word, n) for every key that ``keys`` gives a word."""
+    """(key, word, n, letters) for every key that ``keys`` gives a word."""
     told = words.sparkSession.sparkContext.broadcast(order)
 
     def emit(batches):
         with np.errstate(over="ignore"):
             for batch in batches:
                 for at, codes in _matrices(batch):
+                    letters = _odd_letters(codes)
                     for row, key in keys(codes, told.value):
                         own = batch.take(pa.array(at[row]))
-                        yield pa.record_batch([signed(key), own.column("word"), own.column("n")], ["key", "word", "n"])
+                        yield pa.record_batch([signed(key), own.column("word"), own.column("n"), pa.array(letters[row])], ["key", "word", "n", "letters"])
 
     return words.select("word", "n").mapInArrow(emit, SCHEMA)
 
@@ -200,8 +206,9 @@ def near_words(words: DataFrame) -> DataFrame:
         raise ValueError(f"words of at least {PREFIX + 1} letters expected")
     order = gram_order(words)
     index = _entries(words, index_keys, order)
-    probes = _entries(words, probe_keys, order).select("key", F.col("word").alias("near"), F.col("n").alias("near_n"))
-    pairs = index.join(probes, "key").where(F.levenshtein("word", "near", 1) == 1)
+    probes = _entries(words, probe_keys, order).select("key", F.col("word").alias("near"), F.col("n").alias("near_n"), F.col("letters").alias("near_letters"))
+    alike = F.bit_count(F.col("letters").bitwiseXOR(F.col("near_letters"))) <= 2
+    pairs = index.join(probes, "key").where(alike & (F.levenshtein("word", "near", 1) == 1))
     ends = F.explode(F.array(F.struct("word", "near", "near_n"), F.struct(F.col("near").alias("word"), F.col("word").alias("near"), F.col("n").alias("near_n"))))
     return pairs.select(ends.alias("end")).select("end.*").distinct()
 

@@ -309,7 +309,7 @@ def _covered(count, spans):
 
 
 def _kept(batches):
-    for batch, ids, low, high, data, offsets in _texts(batches):
+    for batch, _, low, high, data, offsets in _texts(batches):
         starts, ends, first = word_bounds(data, offsets)
         raw = data.tobytes()
         counts, removed, texts = [], [], []
@@ -324,19 +324,22 @@ def _kept(batches):
                 words = [raw[s:e] for s, e in pairs]
             counts.append(b - a)
             texts.append(b" ".join(words).decode())
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
+        yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
 
 
 def without_repeats(docs: DataFrame, span: int = 35, **bounds) -> DataFrame:
     """Every document without the words of passages that also start anywhere else.
 
     Takes doc_id and text; returns (doc_id, n_words, n_removed, kept), a row per row of
-    ``docs`` with a doc_id, which must name a row: rows of one doc_id get each other's spans.
+    ``docs``. Rows are told apart by id and text, so rows of one doc_id, or of none, keep their own spans; rows
+    equal in both have the same.
     ``kept`` has the kept words joined by one blank. Null and empty texts have no words; a
     text below ``span`` words is kept whole. All copies of a passage go, in one document or
     in many. An empty table gives an empty result.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    spans = stored(repeated_spans(docs, span, **bounds))
-    lists = spans.groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("s")).select("doc_id", F.col("s.low").alias("lows"), F.col("s.high").alias("highs"))
-    return docs.join(lists, "doc_id", "left").mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept string")
+    row = F.xxhash64(F.col("doc_id").cast("long"), "text").alias("row")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row)
+    spans = stored(repeated_spans(docs.select(F.col("row").alias("doc_id"), "text"), span, **bounds))
+    lists = spans.groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("s")).select(F.col("doc_id").alias("row"), F.col("s.low").alias("lows"), F.col("s.high").alias("highs"))
+    rows = docs.join(lists, "row", "left").select("doc_id", "text", "lows", "highs")
+    return rows.mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept string")

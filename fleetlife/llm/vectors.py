@@ -129,6 +129,13 @@ def _compared(least):
         counts = linked @ copies[rows].astype(np.float64)
         has = linked.any(1)
         used = linked.any(0)
+        # Who is found by a vector whose home it does not visit gets the link as well.
+        homes, visits = block["home"].to_numpy()[asked], block["visits"].to_pylist()
+        credit = np.zeros(len(rows))
+        for j in np.flatnonzero(used).tolist():
+            unseen = linked[:, j] & ~np.isin(homes, visits[rows[j]])
+            credit[j] = copies[asked][unseen].sum()
+        owed = credit > 0
         nodes, targets = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if has.any():
             near = linked[has][:, used]
@@ -142,11 +149,11 @@ def _compared(least):
                     break
                 a, b = new_a, new_b
             nodes, targets = np.concatenate([own_a, own_b]), np.concatenate([a, b])
-        n = int(has.sum())
+        n = int(has.sum() + owed.sum())
         return pa.table({
-            "a": pa.array(np.concatenate([ids[asked][has], nodes])),
+            "a": pa.array(np.concatenate([ids[asked][has], ids[rows][owed], nodes])),
             "b": pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(targets, pa.int64())]),
-            "n": pa.array(np.concatenate([counts[has], np.zeros(len(nodes))]).astype(np.int64)),
+            "n": pa.array(np.concatenate([counts[has], credit[owed], np.zeros(len(nodes))]).astype(np.int64)),
         })
 
     return run
@@ -175,15 +182,15 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93) -> DataFrame:
 
     cell = ["label", "dim", "cell"]
     size = F.size("embedding").alias("dim")
-    homes = placed.select("class_id", "label", size, F.col("home").alias("cell"), "embedding", "copies")
-    visits = placed.select("class_id", "label", size, F.explode("visits").alias("cell"), "embedding", "copies")
+    homes = placed.select("class_id", "label", size, F.col("home").alias("cell"), "embedding", "copies", "home", "visits")
+    visits = placed.select("class_id", "label", size, F.explode("visits").alias("cell"), "embedding", "copies", "home", F.lit(None).cast("array<int>").alias("visits"))
     parts = lambda rows, name: rows.groupBy(*cell).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
     grid = stored(parts(homes, "home_parts").join(parts(visits, "visit_parts"), cell))
     part = lambda n: F.pmod(F.xxhash64("class_id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = homes.join(grid, cell).select("*", part("home_parts").alias("i")).select("*", every("visit_parts").alias("j"), F.lit(True).alias("indexed"))
     right = visits.join(grid, cell).select("*", part("visit_parts").alias("j")).select("*", every("home_parts").alias("i"), F.lit(False).alias("indexed"))
-    columns = [*cell, "i", "j", "class_id", "embedding", "copies", "indexed"]
+    columns = [*cell, "i", "j", "class_id", "embedding", "copies", "home", "visits", "indexed"]
     found = stored(left.select(*columns).union(right.select(*columns)).groupBy(*cell, "i", "j").applyInArrow(_compared(least), "a long, b long, n long"))
 
     counts = found.where("b is null").groupBy(F.col("a").alias("class_id")).agg(F.sum("n").alias("n"))

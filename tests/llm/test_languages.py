@@ -75,3 +75,13 @@ def test_pieces_pool_the_whole_text():
     for row, text in zip(got, texts):
         parts = [network.probabilities(text[i : i + languages.PIECE][:, None])[0].sum((0, 1)) for i in range(0, len(text), languages.PIECE)]
         assert np.allclose(row, np.sum(parts, 0) / max(1, len(text)) if parts else 0, atol=1e-4)
+
+
+def test_sample_is_bounded(spark, monkeypatch):
+    rows = [(7, f"repeated {i}", "aa") for i in range(3000)] + [(i, f"text {i}", "bb") for i in range(100, 160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    pieces = languages.training_pieces(docs, 20, 2).collect()
+    assert sum(r.lang == "aa" for r in pieces) == 2 and sum(r.lang == "bb" for r in pieces) == 40
+    monkeypatch.setattr(languages, "MOST_LANGUAGES", 1)
+    with pytest.raises(ValueError):
+        languages.training_pieces(docs, 20, 2)

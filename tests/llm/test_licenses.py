@@ -55,3 +55,47 @@ def test_every_template_finds_itself():
         words = text_words(text)
         assert any(own == name for places in index.places.values() for own, _ in places), name
         assert licenses.aligned(words, words, 0, 0) == (len(words), 0, len(words) - 1)
+
+
+def changed_once(words):
+    for i in range(len(words)):
+        yield [*words[:i], "zzz", *words[i + 1 :]]
+        yield [*words[:i], *words[i + 1 :]]
+        yield [*words[:i], "zzz", *words[i:]]
+
+
+def test_one_changed_word_in_every_template(spark):
+    rows, wanted = [], {}
+    for name, text in licenses.TEMPLATES.items():
+        words = text.split()
+        plain = len(licenses.text_words(text))
+        for changed in changed_once(words):
+            left = sum(len(licenses.text_words(w)) for w in words) - max(len(licenses.text_words(w)) for w in words)
+            if left >= 0.8 * plain:
+                wanted[len(rows)] = name
+            rows.append((len(rows), "vorher " * 5 + " ".join(changed) + " danach" * 5))
+    got = {}
+    for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect():
+        got.setdefault(r.doc_id, set()).add(r.license)
+    assert [rows[i] for i, name in wanted.items() if name not in got.get(i, ())] == []
+
+
+def test_intact_gram_is_guaranteed():
+    import random
+
+    pick = random.Random(3)
+    for words in range(1, 130):
+        gram, window = licenses.winnowing(words, 0.8)
+        for _ in range(20):
+            spoilt = set(pick.sample(range(words), words - -(-words * 8 // 10)))
+            run = best = 0
+            for i in range(words):
+                run = 0 if i in spoilt else run + 1
+                best = max(best, run)
+            assert best >= gram + window - 1
+
+
+def test_many_copies_of_a_line(spark):
+    line = licenses.TEMPLATES["mit-line"]
+    got = licenses.scan_licenses(spark.createDataFrame([(1, (line + " ") * 1200 + "end")], "doc_id long, text string")).collect()
+    assert len(got) == 1200 and {r.license for r in got} == {"mit-line"} and len({r.start for r in got}) == 1200

@@ -75,3 +75,32 @@ def test_tree_matching_counts_like_the_full_recursion():
         n, pairs = pages.match(a, b)
         assert n == plain_match(a, b)
         assert len(pairs) == n
+
+
+def test_classes_that_only_mention_asides(spark):
+    rows = [
+        (1, "http://a/1", '<body class="has-sidebar comments-open"><article class="related-article"><p>Hello world</p></article>'),
+        (2, "http://b/1", '<body class="page-with-menu"><div id="main"><p>Text</p><div class="cookie-notice">no</div><ul class="site-menu"><li>no</ul><p class="advertising-law">Kept</p></div>'),
+    ]
+    assert extract(spark, rows) == {1: "Hello world", 2: "Text\n\nKept"}
+
+
+def test_constant_text_of_marked_articles_stays(spark):
+    rows = [(i, f"http://same.example/{i}", f"<article><p>The same paragraph.</p></article><footer>end {i}</footer>") for i in range(6)]
+    assert set(extract(spark, rows).values()) == {"The same paragraph."}
+
+
+def test_broken_markup_takes_linear_time():
+    import time
+
+    n = 40_000
+    for page in ("<a " * n, '<a "' * n, "<a b='>" * n, "<div>" * n + "</p>" * n, "<p><x>" * n, "<li><x>" * n, "<!-- " * n, "<b>x " * n, "<b>x<hr>" * n, "<p>a<h1>b" * n):
+        start = time.process_time()
+        root = pages.tree(page)
+        pages.blocks(root)
+        pages.slotted(page, pages.written(pages.merged(root)))
+        assert time.process_time() - start < 12, page[:10]
+
+
+def test_quoted_ends_of_tags():
+    assert [t for _, t, *_ in pages.blocks(pages.tree("""<p title="a > b" data='>'>one</p><p>1 < 2 > 0</p><p x=">two"""))] == ["one", "1 < 2 > 0", 'two']

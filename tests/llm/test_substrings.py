@@ -68,3 +68,10 @@ def test_automaton_finds_longest_repeats():
                 if sum(text[i : i + size] == part for i in range(len(text) - size + 1)) > 1:
                     best = size
             assert got[end] == best
+
+
+def test_rows_of_one_id_and_of_none(spark):
+    passage = " ".join(f"w{i}" for i in range(80))
+    rows = [(1, passage), (1, "five words stay as they are"), (2, passage), (None, passage + " more"), (3, "x")]
+    got = substrings.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.n_words, r.n_removed) for r in got) == [(0, 81, 80), (1, 6, 0), (1, 80, 80), (2, 80, 80), (3, 1, 0)]

@@ -77,3 +77,14 @@ def test_traversal_is_in_order():
     first, second = pick.random(6), pick.random(6)
     wanted = sorted(range(36), key=lambda c: first[c // 6] + second[c % 6])
     assert index.traversal(first, second, 36) == wanted
+
+
+def test_links_count_at_both_ends(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "CELL", 4)
+    rows = [(v, x, l) for v, x, l in made(n=600, seed=5) if x and len(x) == 16 and l is not None and all(c is not None and abs(c) < 1e9 for c in x)]
+    got = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    groups = {}
+    for r in got:
+        groups.setdefault(r.component_id, []).append(r.n_links)
+    assert all(min(links) >= 1 and sum(links) % 2 == 0 for links in groups.values() if len(links) > 1)
+    assert any(len(links) == 2 and links == [1, 1] for links in groups.values())
