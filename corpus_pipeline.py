@@ -49,10 +49,7 @@ def redact_secrets(spark, docs, sf_dir):
 def mix(spark, docs, sf_dir):
     """A row for each copy of a document that the mix takes, numbered in ``copy``, or where
     the documents have such a column, in the first free one of copy_1, copy_2 and so on."""
-    copies = mixing.mix_sources(docs).select("doc_id", "source", "copies").distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("row"))
-    same = F.col("row.doc_id").eqNullSafe(copies["doc_id"]) & F.col("row.source").eqNullSafe(copies["source"])
-    rows = rows.join(copies, same).where("copies > 0")
+    rows = mixing.mix_sources(docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("row")), carried=("row",)).where("copies > 0")
     free = next(name for name in ("copy", *(f"copy_{i}" for i in range(1, len(docs.columns) + 2))) if name not in docs.columns)
     return rows.select(*(F.col("row")[c].alias(c) for c in docs.columns), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias(free))
 
