@@ -1,20 +1,22 @@
-"""Spark ML regressors: fit, store, score, compare."""
+"""Spark ML regressors and boosted trees on binned features: fit, store, score, compare."""
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlife.cluster import ensure_checkpoint_dir, settle
 from fleetlife.functions.expressions import target_name
 from fleetlife.operators import endpoints, evaluation, selection
+from fleetlife.plans import boosting
 from fleetlife.schema import OBSERVED_FRACTION, RUL_CAP, SPLIT_SEED, UNIT, feature_columns, feature_set
 
 FOREST = "random_forest"
 BOOSTED = "gradient_boosted"
+HISTOGRAM = "histogram_boosted"
 
 # Default training parameters and target caps per kind of model.
 FOREST_DEFAULTS = {"numTrees": 100, "seed": 42, "maxDepth": 30}
@@ -26,7 +28,8 @@ BOOSTED_DEFAULTS = {
     "featureSubsetStrategy": "0.8",
     "seed": 42,
 }
-DEFAULT_CAPS = {FOREST: None, BOOSTED: RUL_CAP}
+DEFAULT_CAPS = {FOREST: None, BOOSTED: RUL_CAP, HISTOGRAM: RUL_CAP}
+DEFAULTS = {FOREST: FOREST_DEFAULTS, BOOSTED: BOOSTED_DEFAULTS, HISTOGRAM: boosting.DEFAULTS}
 
 FEATURES = "__features"
 # Tree inputs must be finite: a missing feature lies above every threshold.
@@ -47,14 +50,16 @@ def regressor(kind: str, parameters=None):
     raise ValueError(f"unsupported model type: {kind}")
 
 
-def fit(train: DataFrame, features, kind: str, parameters=None, cap=None) -> PipelineModel:
+def fit(train: DataFrame, features, kind: str, parameters=None, cap=None) -> PipelineModel | boosting.BoostedModel:
     """Train on the listed features; only the training target is capped.
 
-    The pipeline replaces missing features by one value above all others, so that
+    HISTOGRAM grows boosted trees on binned features at any number of rounds. Otherwise the pipeline replaces missing features by one value above all others, so that
     trees can split on it, in training and scoring alike.
     """
     ensure_checkpoint_dir(train.sparkSession)
     inputs = selection.cap_target(selection.model_inputs(train, features), cap)
+    if kind == HISTOGRAM:
+        return boosting.fit(inputs, features, "RUL", **(parameters or {}))
     filled = [f"coalesce(nanvl(`{name}`, NULL), {MISSING}) AS `__in_{name}`" for name in features]
     filling = SQLTransformer(statement=f"SELECT *, {', '.join(filled)} FROM __THIS__")
     assembler = VectorAssembler(inputCols=[f"__in_{name}" for name in features], outputCol=FEATURES)
@@ -66,11 +71,18 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).select(*df.columns, "prediction")
 
 
-def save(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save(model, path: str) -> None:
+    if isinstance(model, boosting.BoostedModel):
+        model.save(path, SparkSession.active())
+    else:
+        model.write().overwrite().save(path)
 
 
-def load(path: str) -> PipelineModel:
+def load(path: str):
+    spark = SparkSession.active()
+    head = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/boosted")
+    if head.getFileSystem(spark._jsc.hadoopConfiguration()).exists(head):
+        return boosting.load(spark, path)
     return PipelineModel.load(path)
 
 
@@ -128,7 +140,7 @@ def train_and_evaluate(train: DataFrame, validation: DataFrame, kind: str, param
     metrics = one_row(evaluation.all_metrics(at_ends))
     by_row = one_row(evaluation.row_metrics(predict(model, validation)))
     metrics.update({f"validation_row_{key}": value for key, value in by_row.items()})
-    chosen = parameters or (FOREST_DEFAULTS if kind == FOREST else BOOSTED_DEFAULTS)
+    chosen = parameters or DEFAULTS[kind]
     params = {
         **chosen,
         "model_type": kind,
@@ -159,6 +171,8 @@ def evaluate_official(model, test: DataFrame, terminal: DataFrame) -> tuple[dict
 
 def training_losses(model: PipelineModel, train: DataFrame) -> list[float]:
     """Mean squared training error after each boosting round."""
+    if isinstance(model, boosting.BoostedModel):
+        return model.losses[1:]
     assembled = PipelineModel(model.stages[:-1]).transform(train)
     return model.stages[-1].evaluateEachIteration(assembled, "squared")
 

@@ -892,6 +892,24 @@ def rf_checks(spark, folder):
     return in_range(models.endpoint_predictions(model, part(rows, "validation")), rows)
 
 
+@query
+def boosted_checks(spark, folder):
+    """Boosted trees at full strength (500 rounds, depth 6): every validation unit has a score, training errors fell
+    in more than nine of ten rounds, and the model scores alike when it is stored and loaded."""
+    model, rows, _, _ = fleet_model(spark, folder, models.HISTOGRAM, None)
+    losses = model.losses
+    fell = sum(after < before for before, after in zip(losses, losses[1:], strict=False))
+    path = f"{scratch(spark)}/model"
+    models.save(model, path)
+    scored = models.endpoint_predictions(model, part(rows, "validation"))
+    again = models.predict(models.load(path), scored.withColumnRenamed("prediction", "before"))
+    return again.groupBy("subset").agg(
+        F.count(F.lit(1)).alias("n_endpoints"),
+        F.lit(int(len(model.trees) == 500 and fell > 0.9 * len(model.trees))).alias("learned"),
+        F.min((F.col("prediction") == F.col("before")).cast("int")).alias("same_when_loaded"),
+    )
+
+
 @query
 def official_checks(spark, folder):
     """The same on the official endpoints of cut histories, for a forest with a capped target stored and loaded."""

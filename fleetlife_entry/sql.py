@@ -815,6 +815,14 @@ define(
     SPLIT,
     cutoffs("tele"),
 )
+define(
+    "boosted_checks",
+    """SELECT subset, count(*) AS n_endpoints, 1 AS learned, 1 AS same_when_loaded FROM cuts JOIN split_units USING (subset, unit_id)
+    WHERE is_validation AND cycle IS NOT NULL GROUP BY subset""",
+    TELE,
+    SPLIT,
+    cutoffs("tele"),
+)
 define("official_checks", "SELECT subset, count(*) AS n_endpoints, 1 AS all_in_range FROM lens WHERE last_cycle >= 2 GROUP BY subset", TELE)
 define(
     "fleet_score_checks",
