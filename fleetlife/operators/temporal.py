@@ -8,14 +8,18 @@ import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fleetlife.operators.trajectory import BLOCK_ROWS, block_window, own_rows, to_blocks
+from fleetlife.cluster import BROADCAST_BYTES, estimated_bytes, settle, stored
+from fleetlife.operators.trajectory import BLOCK, BLOCK_ROWS, OWN, block_window, own_rows, to_blocks
 from fleetlife.schema import EWMA_ALPHA, LAGS, ROLLING_WINDOWS, UNIT
 
 # exp(600) stays far inside the range of a double.
 MAX_EXPONENT = 600.0
 NEGLIGIBLE = 1e-17
 RANK = "__rank"
+# Blocks whose smoothing is composed in one task.
+FAN = 1024
 
 
 def ewma_memory(alpha: float) -> int:
@@ -85,7 +89,7 @@ def temporal_features(
     names = feature_names(sensors, lags, windows, alpha is not None)
     reject_collisions(df, names)
     weighted = alpha is not None and alpha < 1.0
-    lead_in = reach(lags, windows, alpha)
+    lead_in = reach(lags, windows, alpha if complete else None)
     if weighted:
         block_rows = ewma_block_rows(alpha, lead_in, block_rows)
 
@@ -103,18 +107,27 @@ def temporal_features(
         out = _add_segment(out, w, sensors, k, step, range(first, last + 1), lags, complete)
         step = max(step, last)
     if weighted:
-        running = w.rowsBetween(Window.unboundedPreceding, 0)
-        # The n-th reading: with gaps, each sensor has its own count.
         nth = {s: RANK if complete else f"`__nth_{s}`" for s in sensors}
-        if not complete:
-            out = out.select("*", *(F.count(s).over(running).alias(f"__nth_{s}") for s in sensors))
-        shares = [f"`{s}` * if({nth[s]} = 1, 1D, {alpha!r}D) * power({1.0 - alpha!r}D, 1 - {nth[s]}) AS `__w_{s}`" for s in sensors]
-        out = out.selectExpr("*", *shares).select("*", *(F.sum(f"__w_{s}").over(running).alias(f"__y_{s}") for s in sensors))
+        if complete:
+            out = _weighted_sums(out, w, sensors, nth, alpha, [f"if({RANK} = 1, 1D, {alpha!r}D)"] * len(sensors))
+        else:
+            out = _weighted_sums(_counted(out, w, sensors), w, sensors, nth, alpha, [f"{alpha!r}D"] * len(sensors))
+            before = _before_blocks(df.select(*keys, "cycle", *sensors), sensors, alpha, keys, block_rows, lead_in, contiguous)
+            # Past the bound the blocks' own partitioning serves: only the table of blocks is shuffled.
+            small = estimated_bytes(before) <= BROADCAST_BYTES
+            out = out.join(F.broadcast(before) if small else before, [*keys, BLOCK], "left")
 
     made = [f"`{s}_{kind}_{k}`" for s in sensors for k in lags for kind in ("lag", "diff")]
     made += _frame_statistics(sensors, windows, complete)
-    if weighted:
+    if weighted and complete:
         made += [f"`__y_{s}` * power({1.0 - alpha!r}D, {nth[s]} - 1) AS `{s}_ewma`" for s in sensors]
+    elif weighted:
+        # Without a reading so far the value before the block stands; the first of all starts from itself.
+        kept = {s: f"power({1.0 - alpha!r}D, {nth[s]})" for s in sensors}
+        made += [
+            f"if({nth[s]} = 0, `__before_{s}`, `__y_{s}` * {kept[s]} / {1.0 - alpha!r}D + {kept[s]} * coalesce(`__before_{s}`, `__first_{s}`)) AS `{s}_ewma`"
+            for s in sensors
+        ]
     elif alpha is not None:
         held = "`{0}`" if complete else "`__held_{0}`"
         if not complete:
@@ -124,6 +137,91 @@ def temporal_features(
     return own_rows(out.selectExpr(*_columns(blocked), *made)).select(*df.columns, *names)
 
 
+def _counted(out: DataFrame, w, sensors) -> DataFrame:
+    """``__nth_s``: readings of a sensor so far among the block's own rows."""
+    running = w.rowsBetween(Window.unboundedPreceding, 0)
+    return out.select("*", *(F.count(F.when(F.col(OWN), F.col(s))).over(running).alias(f"__nth_{s}") for s in sensors))
+
+
+def _weighted_sums(out: DataFrame, w, sensors, nth, alpha, shares) -> DataFrame:
+    """``__y_s``: running sums of readings with weights that grow by 1 / (1 - alpha) a reading."""
+    running = w.rowsBetween(Window.unboundedPreceding, 0)
+    # Copied rows in front of a block have no count of their own and add nothing.
+    weights = [f"if({nth[s]} = 0, NULL, `{s}` * {share} * power({1.0 - alpha!r}D, 1 - {nth[s]})) AS `__w_{s}`" for s, share in zip(sensors, shares, strict=True)]
+    return out.selectExpr("*", *weights).select("*", *(F.sum(f"__w_{s}").over(running).alias(f"__y_{s}") for s in sensors))
+
+
+def _before_blocks(rows: DataFrame, sensors, alpha: float, keys, block_rows: int, lead_in: int, contiguous: bool) -> DataFrame:
+    """(keys, block, __before_s, __first_s): the smoothed value that each block starts from, and its first reading.
+
+    A block with m readings turns a value y into (1 - alpha)^m y + offset. Starting from the unit's first
+    reading, the maps of all earlier blocks are composed, in groups of FAN blocks and groups of such groups,
+    so a unit of any length is spread over tasks. Null before the first reading of a unit.
+    """
+    decay = 1.0 - alpha
+    w = block_window(keys)
+    blocked = to_blocks(rows, 0, keys, max(block_rows, 2 * lead_in), contiguous)
+    nth = {s: f"`__nth_{s}`" for s in sensors}
+    sums = _weighted_sums(_counted(blocked, w, sensors), w, sensors, nth, alpha, [f"{alpha!r}D"] * len(sensors))
+    maps = [T.StructField(f"{kind}_{i}", T.DoubleType()) for i in range(len(sensors)) for kind in ("m", "o", "f")]
+    made = []
+    for i, s in enumerate(sensors):
+        m = F.max(f"__nth_{s}").cast("double")
+        made.append(m.alias(f"m_{i}"))
+        made.append(F.coalesce(F.max_by(f"__y_{s}", f"__nth_{s}") * F.pow(F.lit(decay), m - 1), F.lit(0.0)).alias(f"o_{i}"))
+        made.append(F.min_by(F.col(s), F.when(F.col(s).isNotNull(), F.col(f"__nth_{s}"))).cast("double").alias(f"f_{i}"))
+    blocks = stored(sums.groupBy(*keys, F.col(BLOCK).cast("long").alias("place")).agg(*made))
+    last = blocks.agg(F.max("place")).first()[0] or 0
+    found = _composed(blocks, keys, maps, len(sensors), decay, last)
+    columns = [F.col("place").cast("int").alias(BLOCK)]
+    for i, s in enumerate(sensors):
+        columns.append(F.when(F.col(f"pm_{i}") > 0, F.col(f"po_{i}") + F.pow(F.lit(decay), F.col(f"pm_{i}")) * F.col(f"pf_{i}")).alias(f"__before_{s}"))
+        columns.append(F.col(f"f_{i}").alias(f"__first_{s}"))
+    return settle(found.select(*keys, *columns))
+
+
+def _composed(blocks: DataFrame, keys, maps, count: int, decay: float, last: int) -> DataFrame:
+    """``blocks`` (keys, place, m_i, o_i, f_i) with the composition pm_i, po_i, pf_i of all earlier places of the key."""
+    names = [f.name for f in maps]
+    schema = T.StructType([*(blocks.schema[k] for k in keys), T.StructField("place", T.LongType()), T.StructField("total", T.BooleanType()), *maps, *(T.StructField(f"p{n}", T.DoubleType()) for n in names)])
+
+    def run(pdf):
+        import numpy as np
+        import pandas as pd
+
+        pdf = pdf.sort_values("place", kind="stable").reset_index(drop=True)
+        whole = pdf.iloc[[0]].copy()
+        whole["place"] = whole["place"] // FAN
+        before = pdf[names].copy()
+        for i in range(count):
+            m, o, f = 0.0, 0.0, np.nan
+            kept = []
+            for own_m, own_o, own_f in zip(pdf[f"m_{i}"], pdf[f"o_{i}"], pdf[f"f_{i}"], strict=True):
+                kept.append((m, o, f))
+                o = own_o + decay**own_m * o
+                f = own_f if m == 0 and own_m > 0 else f
+                m += own_m
+            before[[f"m_{i}", f"o_{i}", f"f_{i}"]] = np.array(kept)
+            whole[[f"m_{i}", f"o_{i}", f"f_{i}"]] = [m, o, f]
+        before.columns = [f"p{n}" for n in names]
+        rows = pd.concat([pdf.assign(total=False), before], axis=1)
+        rows = pd.concat([rows, whole.assign(total=True)], ignore_index=True)
+        return rows[schema.names]
+
+    inner = blocks.withColumn("group", F.expr(f"place div {FAN}")).groupBy(*keys, "group").applyInPandas(lambda pdf: run(pdf.drop(columns="group")), schema)
+    if last < FAN:
+        return inner.where("NOT total").drop("total")
+    inner = stored(inner)
+    outer = _composed(inner.where("total").select(*keys, "place", *names), keys, maps, count, decay, last // FAN)
+    outer = outer.select(*keys, F.col("place").alias("group"), *(F.col(f"p{n}").alias(f"q{n}") for n in names))
+    rows = inner.where("NOT total").drop("total").withColumn("group", F.expr(f"place div {FAN}")).join(outer, [*keys, "group"])
+    columns = []
+    for i in range(count):
+        pm, po, pf, qm, qo, qf = (F.col(f"{a}{n}_{i}") for a in ("p", "q") for n in ("m", "o", "f"))
+        columns += [(pm + qm).alias(f"pm_{i}"), (po + F.pow(F.lit(decay), pm) * qo).alias(f"po_{i}"), F.when(qm > 0, qf).otherwise(pf).alias(f"pf_{i}")]
+    return rows.select(*keys, "place", *names, *columns)
+
+
 def _columns(df: DataFrame) -> list[str]:
     return [f"`{name}`" for name in df.columns]
 
