@@ -931,7 +931,7 @@ def sequence_scores(spark, folder):
     """Sequences of any length scored in Arrow batches; the scorer averages all values."""
     rows = source.telemetry(spark, folder)
     at = source.history_lengths(spark, folder)
-    ends = at.select("subset", "unit_id", F.least(F.col("last_cycle"), F.col("unit_id") % 50 + 1).alias("end_cycle"))
+    ends = at.select("subset", "unit_id", F.col("last_cycle").alias("end_cycle"))
     made = sequences.endpoint_sequences(rows, ends, SEQUENCE_FEATURES, contiguous=True)
     scored = models.score_sequences(made, lambda stacked: stacked.astype("float64").mean(axis=(1, 2)))
     return scored.withColumn("prediction", F.round(F.col("prediction") + 5e-5, 3))

@@ -793,7 +793,7 @@ define(
 define(
     "sequence_scores",
     """SELECT subset, unit_id, end_cycle AS cycle, round(avg((sensor_2 + sensor_3) / 2) + 5e-5, 3) AS prediction
-    FROM tele JOIN (SELECT subset, unit_id, least(last_cycle, unit_id % 50 + 1) AS end_cycle FROM lens) USING (subset, unit_id)
+    FROM tele JOIN (SELECT subset, unit_id, last_cycle AS end_cycle FROM lens) USING (subset, unit_id)
     WHERE cycle <= end_cycle AND cycle > end_cycle - 30 GROUP BY subset, unit_id, end_cycle""",
     TELE,
 )
