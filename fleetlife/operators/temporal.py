@@ -20,6 +20,8 @@ NEGLIGIBLE = 1e-17
 RANK = "__rank"
 # Blocks whose smoothing is composed in one task.
 FAN = 1024
+# Frames up to this many rows are read row by row, longer ones from doubled spans.
+NARROW = 32
 
 
 def ewma_memory(alpha: float) -> int:
@@ -33,6 +35,11 @@ def reach(lags=LAGS, windows=ROLLING_WINDOWS, alpha: float | None = EWMA_ALPHA)
     return max([0, *lags, *(k - 1 for k in windows), ewma_memory(alpha) if weighted else 0])
 
 
+def smooths_beside(alpha: float, lead_in: int) -> bool:
+    """Whether the growing weights stay in range over blocks of at least twice ``lead_in`` rows."""
+    return 3 * lead_in * -math.log1p(-alpha) <= MAX_EXPONENT
+
+
 def ewma_block_rows(alpha: float, lead_in: int, block_rows: int = BLOCK_ROWS) -> int:
     """Block length for which the growing weights cannot overflow."""
     rate = -math.log1p(-alpha)
@@ -76,8 +83,10 @@ def temporal_features(
     (1 - alpha)^rank: one pass, no arrays. A later block starts ``ewma_memory`` rows
     early, so what it leaves out is below double precision.
 
-    Frames are read through row offsets and summed in plain expressions, which costs a
-    quarter of sliding window aggregates. A null reading counts in no frame: statistics are
+    Frames of up to NARROW rows are read through row offsets and summed in plain expressions, which
+    costs a quarter of sliding window aggregates; wider ones are put together from spans of doubled
+    length, so their cost grows with the logarithm of the window. Where frames are so wide that
+    their blocks are too long for the weights, smoothing is a pass of its own. A null reading counts in no frame: statistics are
     over the readings there are, and smoothing goes from one reading to the next; in a
     block that does not start the unit, it knows those among the ``ewma_memory`` rows before.
     With ``complete``, the caller vouches that a sensor has a reading in every row of a unit (the
@@ -90,22 +99,31 @@ def temporal_features(
     reject_collisions(df, names)
     weighted = alpha is not None and alpha < 1.0
     lead_in = reach(lags, windows, alpha if complete else None)
+    if weighted and (lags or windows) and not smooths_beside(alpha, lead_in):
+        framed = temporal_features(df, sensors, lags, windows, None, keys, contiguous, block_rows, complete)
+        return temporal_features(framed, sensors, (), (), alpha, keys, contiguous, block_rows, complete).select(*df.columns, *names)
     if weighted:
         block_rows = ewma_block_rows(alpha, lead_in, block_rows)
 
     blocked = to_blocks(df, lead_in, keys, block_rows, contiguous)
     w = block_window(keys)
     out = blocked.withColumn(RANK, F.row_number().over(w))
-    segments = _segments(windows)
+    narrow, wide = [k for k in windows if k <= NARROW], [k for k in windows if k > NARROW]
+    segments = _segments(narrow)
     covered = {i for _, first, last in segments for i in range(first, last + 1)}
     direct = [k for k in lags if k not in covered]
     if direct:
         shifted = [F.lag(s, k).over(w).alias(f"__{s}_{k}") for k in direct for s in sensors]
         out = out.select("*", *shifted).selectExpr(*_columns(out), *_lag_features(sensors, direct))
     step = 0
+    if segments and not complete:
+        upto = w.rowsBetween(Window.unboundedPreceding, 0)
+        out = out.select("*", *(F.coalesce(F.last(s, ignorenulls=True).over(upto).cast("double"), F.lit(0.0)).alias(f"__at_{s}") for s in sensors))
     for k, first, last in segments:
         out = _add_segment(out, w, sensors, k, step, range(first, last + 1), lags, complete)
         step = max(step, last)
+    if wide:
+        out = _wide_frames(out, w, sensors, wide, complete)
     if weighted:
         nth = {s: RANK if complete else f"`__nth_{s}`" for s in sensors}
         if complete:
@@ -118,7 +136,8 @@ def temporal_features(
             out = out.join(F.broadcast(before) if small else before, [*keys, BLOCK], "left")
 
     made = [f"`{s}_{kind}_{k}`" for s in sensors for k in lags for kind in ("lag", "diff")]
-    made += _frame_statistics(sensors, windows, complete)
+    made += _frame_statistics(sensors, narrow, complete)
+    made += [f"`{s}_rolling_{kind}_{k}`" for s in sensors for k in wide for kind in ("mean", "std", "slope")]
     if weighted and complete:
         made += [f"`__y_{s}` * power({1.0 - alpha!r}D, {nth[s]} - 1) AS `{s}_ewma`" for s in sensors]
     elif weighted:
@@ -243,8 +262,8 @@ def _add_segment(out: DataFrame, w, sensors, k: int, step: int, offsets, lags, c
     The sums are of x, x squared and x times cycle relative to the current row. With
     d = x(t-i) - x(t) the shift is a member of every frame, so the sum of squares is at
     most n times the centred one and the subtraction later loses no digits. Where
-    readings may be null, each sensor has its own count and cycle sums, and a null x(t) is 0
-    as a shift; without nulls the results are the same to the last bit.
+    readings may be null, each sensor has its own count and cycle sums, and the shift is the latest
+    reading up to the row, a member of the frame unless that is empty; without nulls the results are the same to the last bit.
 
     Offsets count from the last row of the segment before, so the segments stay separate
     steps: together they would make one generated method too long to be compiled.
@@ -255,7 +274,7 @@ def _add_segment(out: DataFrame, w, sensors, k: int, step: int, offsets, lags, c
     e = [f"coalesce(`__cycle_{i}` - cycle, 0)" for i in offsets]
     sums = [f"{' + '.join(e) or '0'} AS `__e_{k}`", f"{' + '.join(f'{x} * {x}' for x in e) or '0'} AS `__ee_{k}`"]
     for s in sensors:
-        d = [f"coalesce(`__{s}_{i}` - {f'`{s}`' if complete else f'coalesce(`{s}`, 0D)'}, 0D)" for i in offsets]
+        d = [f"coalesce(`__{s}_{i}` - {f'`{s}`' if complete else f'`__at_{s}`'}, 0D)" for i in offsets]
         if not complete:
             e = [f"if(`__{s}_{i}` IS NULL, 0, `__cycle_{i}` - cycle)" for i in offsets]
             counted = [f"if(`__{s}_{i}` IS NULL, 0, 1)" for i in offsets]
@@ -289,7 +308,7 @@ def _frame_statistics(sensors, windows, complete) -> list[str]:
             else:
                 n, e, ee = f"({total(f'__n_{s}')} + if(`{s}` IS NULL, 0, 1))", total(f"__e_{s}"), total(f"__ee_{s}")
                 known = f"{n} > 1"
-                mean = f"if({n} > 0, coalesce(`{s}`, 0D) + {d} / {n}, NULL)"
+                mean = f"if({n} > 0, `__at_{s}` + {d} / {n}, NULL)"
             spread = f"({ee} - {e} * {e} / {n})"
             made.append(f"{mean} AS `{s}_rolling_mean_{k}`")
             made.append(f"if({known}, sqrt(greatest(0D, {dd} - {d} * {d} / {n}) / ({n} - 1)), NULL) AS `{s}_rolling_std_{k}`")
@@ -297,6 +316,84 @@ def _frame_statistics(sensors, windows, complete) -> list[str]:
     return made
 
 
+def _span_of_row(sensors, complete) -> str:
+    """A span of one row as a struct. A span holds readings (n), their mean and squared deviation (x, xx), the same of
+    the cycles (c, cc), and the joint deviation (xc); with ``complete``, readings and cycles are one set for all sensors.
+    Means of no readings are null."""
+    shared = [("1D", "CAST(cycle AS DOUBLE)")] if complete else [(f"if(`{s}` IS NULL, 0D, 1D)", f"if(`{s}` IS NULL, NULL, CAST(cycle AS DOUBLE))") for s in sensors]
+    fields = [f"'n{g}', {n}, 'c{g}', {c}, 'cc{g}', 0D" for g, (n, c) in enumerate(shared)]
+    fields += [f"'x{i}', CAST(`{s}` AS DOUBLE), 'xx{i}', 0D, 'xc{i}', 0D" for i, s in enumerate(sensors)]
+    return f"named_struct({', '.join(fields)})"
+
+
+def _joined_spans(late: str, early: str, count: int, complete) -> str:
+    """Two neighbouring spans as one, by pairwise updates of centred moments: no large sums are subtracted.
+
+    ``early`` is null where it would begin before the unit, and adds nothing there.
+    """
+
+    def fallen(name):
+        return f"coalesce(`{early}`.{name}, 0D)"
+
+    def share(g):
+        return f"if(`{late}`.n{g} + {fallen(f'n{g}')} > 0D, {fallen(f'n{g}')} / (`{late}`.n{g} + {fallen(f'n{g}')}), 0D)"
+
+    def distance(name):
+        return f"coalesce(`{early}`.{name} - `{late}`.{name}, 0D)"
+
+    def mean(name, g):
+        return f"coalesce(`{late}`.{name} + {distance(name)} * {share(g)}, `{early}`.{name})"
+
+    def spread(name, a, b, g):
+        return f"`{late}`.{name} + {fallen(name)} + {distance(a)} * {distance(b)} * `{late}`.n{g} * {share(g)}"
+
+    fields = []
+    for g in range(1 if complete else count):
+        fields += [f"'n{g}', `{late}`.n{g} + {fallen(f'n{g}')}", f"'c{g}', {mean(f'c{g}', g)}", f"'cc{g}', {spread(f'cc{g}', f'c{g}', f'c{g}', g)}"]
+    for i in range(count):
+        g = 0 if complete else i
+        fields += [f"'x{i}', {mean(f'x{i}', g)}", f"'xx{i}', {spread(f'xx{i}', f'x{i}', f'x{i}', g)}", f"'xc{i}', {spread(f'xc{i}', f'x{i}', f'c{g}', g)}"]
+    return f"named_struct({', '.join(fields)})"
+
+
+def _wide_frames(out: DataFrame, w, sensors, windows, complete) -> DataFrame:
+    """Rolling statistics of wide frames, from spans of 1, 2, 4, ... rows that end at each row.
+
+    A span of twice the length joins a row's span with the span that ends as many rows earlier. A frame is the
+    spans of the binary digits of its length, shortest first, each read as far back as the frame has grown.
+    """
+    columns, count = _columns(out), len(sensors)
+    windows = sorted(set(windows))
+    out = out.selectExpr(*columns, f"{_span_of_row(sensors, complete)} AS __span")
+    grown = dict.fromkeys(windows, 0)
+    length = 1
+    while True:
+        due = [k for k in windows if k & length]
+        doubled = length * 2 <= windows[-1]
+        offsets = sorted({grown[k] for k in due if grown[k]} | ({length} if doubled else set()))
+        out = out.select("*", *(F.lag("__span", n).over(w).alias(f"__span_{n}") for n in offsets))
+        kept = [f"`__frame_{k}`" for k in windows if grown[k] and k not in due]
+        for k in due:
+            joined = _joined_spans(f"__frame_{k}", f"__span_{grown[k]}", count, complete) if grown[k] else "__span"
+            kept.append(f"{joined} AS `__frame_{k}`")
+            grown[k] += length
+        if not doubled:
+            break
+        out = out.selectExpr(*columns, *kept, f"{_joined_spans('__span', f'__span_{length}', count, complete)} AS __span")
+        length *= 2
+    out = out.selectExpr(*columns, *kept)
+    made = []
+    for k in windows:
+        for i, s in enumerate(sensors):
+            g = 0 if complete else i
+            frame = f"`__frame_{k}`"
+            known = f"{frame}.n{g} > 1 AND {frame}.x{i} IS NOT NULL"
+            made.append(f"{frame}.x{i} AS `{s}_rolling_mean_{k}`")
+            made.append(f"if({known}, sqrt({frame}.xx{i} / ({frame}.n{g} - 1)), NULL) AS `{s}_rolling_std_{k}`")
+            made.append(f"if({known}, {frame}.xc{i} / {frame}.cc{g}, NULL) AS `{s}_rolling_slope_{k}`")
+    return out.selectExpr(*columns, *made)
+
+
 def lag_difference(df: DataFrame, sensors, lags=LAGS, **options) -> DataFrame:
     return temporal_features(df, sensors, lags, (), None, **options)
 

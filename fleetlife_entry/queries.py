@@ -349,6 +349,28 @@ def rolling_slope(spark, folder):
     return rounded(made.select("subset", "unit_id", "cycle", *(c for c in made.columns if "_slope_" in c)))
 
 
+@query
+def rolling_wide(spark, folder):
+    """Frames of hundreds of rows, put together from doubled spans."""
+    rows = source.telemetry(spark, folder).select("subset", "unit_id", "cycle", "sensor_2", "sensor_3")
+    return rounded(temporal.rolling_features(rows, ["sensor_2", "sensor_3"], (60, 500), contiguous=True, complete=True))
+
+
+@query
+def rolling_wide_with_nulls(spark, folder):
+    """Wide frames where most readings of a sensor are missing, on a cycle axis with gaps."""
+    sparse = F.when(F.col("sensor_3") >= 90, F.col("sensor_3"))
+    rows = gappy(spark, folder).select("subset", "unit_id", "cycle", "sensor_2", sparse.alias("sensor_3"))
+    return rounded(temporal.rolling_features(rows, ["sensor_2", "sensor_3"], (60, 500)))
+
+
+@query
+def ewma_sparse(spark, folder):
+    """Slow smoothing of a sensor that reads in few rows: values go from one reading to the next over any distance."""
+    rows = source.telemetry(spark, folder).select("subset", "unit_id", "cycle", F.when(F.col("sensor_3") >= 110, F.col("sensor_3")).alias("sensor_3"))
+    return rounded(temporal.ewma_features(rows, ["sensor_3"], 0.001, contiguous=True))
+
+
 @query
 def rolling_slope_gappy(spark, folder):
     rows = gappy(spark, folder).select("subset", "unit_id", "cycle", "sensor_2")

@@ -454,7 +454,7 @@ def smoothed(s):
 
 
 FRAMES = f"WINDOW w AS ({UNIT_ORDER}), " + ", ".join(
-    f"w{k} AS ({UNIT_ORDER} ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)" for k in (5, 10, 20)
+    f"w{k} AS ({UNIT_ORDER} ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)" for k in (5, 10, 20, 60, 500)
 )
 
 
@@ -489,6 +489,22 @@ define(
 )
 
 
+WIDE = (60, 500)
+define("rolling_wide", features(PAIR, (lambda s: statistics(s, WIDE), lambda s: slopes(s, WIDE))), TELE)
+define(
+    "rolling_wide_with_nulls",
+    features(PAIR, (lambda s: statistics(s, WIDE), lambda s: slopes_of_readings(s, WIDE)), "sparse"),
+    TELE,
+    ", sparse AS (SELECT * REPLACE (CASE WHEN sensor_3 >= 90 THEN sensor_3 END AS sensor_3) FROM gappy)",
+)
+define(
+    "ewma_sparse",
+    features(("sensor_3",), (lambda s: [x.replace("0.2e0", "0.001e0").replace("0.8e0", "0.999e0") for x in smoothed_readings(s)],), "sparse"),
+    TELE,
+    ", sparse AS (SELECT * REPLACE (CASE WHEN sensor_3 >= 110 THEN sensor_3 END AS sensor_3) FROM tele)",
+)
+
+
 def rounded_lags(s):
     return [f"{r(f'lag({s}, {k}) OVER w')} AS {s}_lag_{k}" for k in (1, 5)]
 
