@@ -20,8 +20,6 @@ NEGLIGIBLE = 1e-17
 RANK = "__rank"
 # Blocks whose smoothing is composed in one task.
 FAN = 1024
-# Frames up to this many rows are read row by row, longer ones from doubled spans.
-NARROW = 32
 
 
 def ewma_memory(alpha: float) -> int:
@@ -83,14 +81,11 @@ def temporal_features(
     (1 - alpha)^rank: one pass, no arrays. A later block starts ``ewma_memory`` rows
     early, so what it leaves out is below double precision.
 
-    Frames of up to NARROW rows are read through row offsets and summed in plain expressions, which
-    costs a quarter of sliding window aggregates; wider ones are put together from spans of doubled
-    length, so their cost grows with the logarithm of the window. Where frames are so wide that
+    Frames are put together from spans of doubled length, so their cost grows with the logarithm of the window. Where frames are so wide that
     their blocks are too long for the weights, smoothing is a pass of its own. A null reading counts in no frame: statistics are
-    over the readings there are, and smoothing goes from one reading to the next; in a
-    block that does not start the unit, it knows those among the ``ewma_memory`` rows before.
+    over the readings there are, and smoothing goes from one reading to the next over any distance.
     With ``complete``, the caller vouches that a sensor has a reading in every row of a unit (the
-    validated case) or in none, which saves the counts and gives the same numbers.
+    validated case) or in none, which saves the counts and gives the same numbers up to rounding.
     """
     if alpha is not None and not 0.0 < alpha <= 1.0:
         raise ValueError("alpha must lie in (0, 1]")
@@ -108,22 +103,11 @@ def temporal_features(
     blocked = to_blocks(df, lead_in, keys, block_rows, contiguous)
     w = block_window(keys)
     out = blocked.withColumn(RANK, F.row_number().over(w))
-    narrow, wide = [k for k in windows if k <= NARROW], [k for k in windows if k > NARROW]
-    segments = _segments(narrow)
-    covered = {i for _, first, last in segments for i in range(first, last + 1)}
-    direct = [k for k in lags if k not in covered]
-    if direct:
-        shifted = [F.lag(s, k).over(w).alias(f"__{s}_{k}") for k in direct for s in sensors]
-        out = out.select("*", *shifted).selectExpr(*_columns(out), *_lag_features(sensors, direct))
-    step = 0
-    if segments and not complete:
-        upto = w.rowsBetween(Window.unboundedPreceding, 0)
-        out = out.select("*", *(F.coalesce(F.last(s, ignorenulls=True).over(upto).cast("double"), F.lit(0.0)).alias(f"__at_{s}") for s in sensors))
-    for k, first, last in segments:
-        out = _add_segment(out, w, sensors, k, step, range(first, last + 1), lags, complete)
-        step = max(step, last)
-    if wide:
-        out = _wide_frames(out, w, sensors, wide, complete)
+    if lags:
+        shifted = [F.lag(s, k).over(w).alias(f"__{s}_{k}") for k in lags for s in sensors]
+        out = out.select("*", *shifted).selectExpr(*_columns(out), *_lag_features(sensors, lags))
+    if windows:
+        out = _frames(out, w, sensors, windows, complete)
     if weighted:
         nth = {s: RANK if complete else f"`__nth_{s}`" for s in sensors}
         if complete:
@@ -136,8 +120,7 @@ def temporal_features(
             out = out.join(F.broadcast(before) if small else before, [*keys, BLOCK], "left")
 
     made = [f"`{s}_{kind}_{k}`" for s in sensors for k in lags for kind in ("lag", "diff")]
-    made += _frame_statistics(sensors, narrow, complete)
-    made += [f"`{s}_rolling_{kind}_{k}`" for s in sensors for k in wide for kind in ("mean", "std", "slope")]
+    made += [f"`{s}_rolling_{kind}_{k}`" for s in sensors for k in windows for kind in ("mean", "std", "slope")]
     if weighted and complete:
         made += [f"`__y_{s}` * power({1.0 - alpha!r}D, {nth[s]} - 1) AS `{s}_ewma`" for s in sensors]
     elif weighted:
@@ -250,72 +233,6 @@ def _lag_features(sensors, lags) -> list[str]:
     return made + [f"`{s}` - `__{s}_{k}` AS `{s}_diff_{k}`" for s in sensors for k in lags]
 
 
-def _segments(windows) -> list[tuple[int, int, int]]:
-    """(window, first offset, last offset): the rows each window adds to the next smaller one."""
-    ordered = sorted(set(windows))
-    return [(k, start, k - 1) for k, start in zip(ordered, [1, *ordered])]
-
-
-def _add_segment(out: DataFrame, w, sensors, k: int, step: int, offsets, lags, complete) -> DataFrame:
-    """Read the rows of one segment, reduce them to sums, and keep the last as the next start.
-
-    The sums are of x, x squared and x times cycle relative to the current row. With
-    d = x(t-i) - x(t) the shift is a member of every frame, so the sum of squares is at
-    most n times the centred one and the subtraction later loses no digits. Where
-    readings may be null, each sensor has its own count and cycle sums, and the shift is the latest
-    reading up to the row, a member of the frame unless that is empty; without nulls the results are the same to the last bit.
-
-    Offsets count from the last row of the segment before, so the segments stay separate
-    steps: together they would make one generated method too long to be compiled.
-    """
-    known = [name for name in out.columns if not name.startswith("__from_")]
-    start = {name: f"__from_{name}" if step else name for name in (*sensors, "cycle")}
-    reads = [F.lag(start[name], i - step).over(w).alias(f"__{name}_{i}") for i in offsets for name in start]
-    e = [f"coalesce(`__cycle_{i}` - cycle, 0)" for i in offsets]
-    sums = [f"{' + '.join(e) or '0'} AS `__e_{k}`", f"{' + '.join(f'{x} * {x}' for x in e) or '0'} AS `__ee_{k}`"]
-    for s in sensors:
-        d = [f"coalesce(`__{s}_{i}` - {f'`{s}`' if complete else f'`__at_{s}`'}, 0D)" for i in offsets]
-        if not complete:
-            e = [f"if(`__{s}_{i}` IS NULL, 0, `__cycle_{i}` - cycle)" for i in offsets]
-            counted = [f"if(`__{s}_{i}` IS NULL, 0, 1)" for i in offsets]
-            sums.append(f"{' + '.join(counted) or '0'} AS `__n_{s}_{k}`")
-            sums.append(f"{' + '.join(e) or '0'} AS `__e_{s}_{k}`")
-            sums.append(f"{' + '.join(f'{x} * {x}' for x in e) or '0'} AS `__ee_{s}_{k}`")
-        sums.append(f"{' + '.join(d) or '0D'} AS `__d_{s}_{k}`")
-        sums.append(f"{' + '.join(f'{x} * {x}' for x in d) or '0D'} AS `__dd_{s}_{k}`")
-        sums.append(f"{' + '.join(f'{x} * {y}' for x, y in zip(d, e)) or '0D'} AS `__de_{s}_{k}`")
-    here = _lag_features(sensors, [i for i in lags if i in offsets])
-    following = [f"`__{name}_{offsets[-1]}` AS `__from_{name}`" for name in start] if offsets else []
-    return out.select("*", *reads).selectExpr(*(f"`{name}`" for name in known), *sums, *here, *following)
-
-
-def _frame_statistics(sensors, windows, complete) -> list[str]:
-    """Mean, sample deviation and slope per frame from the segment sums."""
-    made = []
-    smaller = []
-    for k, _, _ in _segments(windows):
-        smaller.append(k)
-
-        def total(name):
-            return "(" + " + ".join(f"`{name}_{j}`" for j in smaller) + ")"
-
-        for s in sensors:
-            d, dd, de = (total(f"__{name}_{s}") for name in ("d", "dd", "de"))
-            if complete:
-                n, e, ee = f"least({RANK}, {k})", total("__e"), total("__ee")
-                known = f"{n} > 1 AND `{s}` IS NOT NULL"
-                mean = f"`{s}` + {d} / {n}"
-            else:
-                n, e, ee = f"({total(f'__n_{s}')} + if(`{s}` IS NULL, 0, 1))", total(f"__e_{s}"), total(f"__ee_{s}")
-                known = f"{n} > 1"
-                mean = f"if({n} > 0, `__at_{s}` + {d} / {n}, NULL)"
-            spread = f"({ee} - {e} * {e} / {n})"
-            made.append(f"{mean} AS `{s}_rolling_mean_{k}`")
-            made.append(f"if({known}, sqrt(greatest(0D, {dd} - {d} * {d} / {n}) / ({n} - 1)), NULL) AS `{s}_rolling_std_{k}`")
-            made.append(f"if({known}, ({de} - {d} * {e} / {n}) / {spread}, NULL) AS `{s}_rolling_slope_{k}`")
-    return made
-
-
 def _span_of_row(sensors, complete) -> str:
     """A span of one row as a struct. A span holds readings (n), their mean and squared deviation (x, xx), the same of
     the cycles (c, cc), and the joint deviation (xc); with ``complete``, readings and cycles are one set for all sensors.
@@ -356,8 +273,8 @@ def _joined_spans(late: str, early: str, count: int, complete) -> str:
     return f"named_struct({', '.join(fields)})"
 
 
-def _wide_frames(out: DataFrame, w, sensors, windows, complete) -> DataFrame:
-    """Rolling statistics of wide frames, from spans of 1, 2, 4, ... rows that end at each row.
+def _frames(out: DataFrame, w, sensors, windows, complete) -> DataFrame:
+    """Rolling statistics of all windows, from spans of 1, 2, 4, ... rows that end at each row.
 
     A span of twice the length joins a row's span with the span that ends as many rows earlier. A frame is the
     spans of the binary digits of its length, shortest first, each read as far back as the frame has grown.
