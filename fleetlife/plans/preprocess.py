@@ -99,11 +99,11 @@ def run(
     labelled = spark.read.parquet(f"{staged}/labelled")
     fitted = state.fit(labelled.where(F.col("split") == "train").drop("split"))
     stored = state.check(state.as_rows(fitted))
-    processed = prepare(labelled, fitted, include_temporal).withColumn("run_id", F.lit(run_id))
+    processed = prepare(labelled, fitted, include_temporal)
     most = train.groupBy("subset").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
     files = max(1, -(-most // tables.ROWS_PER_FILE))
     target = f"{output_folder}/processed"
-    tables.write_processed(processed, target, files=files)
+    tables.write_processed(processed, target, run_id, files=files)
     state.save(stored, f"{output_folder}/state", run_id)
 
     written = tables.read_processed(spark, target, run_id=run_id)

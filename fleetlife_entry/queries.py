@@ -854,7 +854,7 @@ def stored_rows(spark, folder):
     """Prepared rows written once as a partitioned table, which training reads repeatedly."""
     rows, fitted = processed(spark, folder)
     path = f"{scratch(spark)}/processed"
-    tables.write_processed(rows.withColumn("run_id", F.lit("r1")), path, files=FILES)
+    tables.write_processed(rows, path, "r1", files=FILES)
     return tables.read_processed(spark, path, run_id="r1").drop("run_id"), fitted
 
 

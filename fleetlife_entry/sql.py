@@ -711,8 +711,7 @@ define(
     f"SELECT subset, unit_id, cycle, regime, {rs(SENSORS)} FROM scaled JOIN (SELECT subset, unit_id, cycle FROM trunc_rows) USING (subset, unit_id, cycle)",
     TELE,
     REGIMES,
-    STATS,
-    SCALED,
+    WIDE_SCALED,
 )
 RUNS = """
 runs AS (

@@ -121,7 +121,7 @@ def test_train_evaluate_store_and_score(spark, tmp_path, kind, parameters):
     fitted = state.fit(labelled.where("split = 'train'").drop("split"))
     rows = preprocess.prepare(labelled, fitted, include_temporal=True)
     path = str(tmp_path / "processed")
-    tables.write_processed(rows.withColumn("run_id", F.lit("p1")), path, files=2)
+    tables.write_processed(rows, path, "p1", files=2)
     train, validation, test = (
         tables.read_processed(spark, path, "FD001", "p1", part).drop("run_id", "split") for part in ("train", "validation", "test")
     )
