@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from fleetlife.cluster import attach, ensure_checkpoint_dir, settle
 from fleetlife.operators import (
+    changes,
     endpoints,
     evaluation,
     labels,
@@ -29,6 +30,7 @@ from fleetlife.plans import models, preprocess, runs, scoring, state
 from fleetlife.schema import TELEMETRY, TERMINAL_COLUMN, sensors_in
 from fleetlife.sources import events as source
 from fleetlife.sources import requests, tables, telemetry_text
+from fleetlife.streaming import changes as live_changes
 from fleetlife.streaming import live_features, traffic
 
 SCALE = 1e6
@@ -638,6 +640,34 @@ def silences(spark, folder):
     return monitoring.silences(source.prediction_traffic(spark, folder), "20 minutes", ("subset", "model_type"))
 
 
+@query
+def alert_changes(spark, folder):
+    """Pending, firing, resolved: one row per change of each subset's error alert."""
+    rates = monitoring.error_rate(source.prediction_traffic(spark, folder), WINDOW, "2 hours", ("subset",))
+    return changes.alert_changes(rates, F.col("error_percent") > 100 * 0.19, 4, "2 hours", ("subset",))
+
+
+@query
+def latency_alert_changes(spark, folder):
+    quantiles = monitoring.latency_quantile(source.prediction_traffic(spark, folder), WINDOW, None, ("subset",))
+    return changes.alert_changes(quantiles, F.col("latency_p95_s") > 0.74, 2, WINDOW, ("subset",))
+
+
+def expected_sources(log: DataFrame) -> DataFrame:
+    """Every source of the log, and per subset one that never sends, expected from six hours
+    after the subset's first event."""
+    names = F.array_append(F.collect_set("model_type"), F.lit("standby"))
+    found = log.groupBy("subset").agg(F.min("ts").alias("start"), names.alias("names"))
+    return found.select("subset", F.explode("names").alias("model_type"), (F.col("start") + F.expr("INTERVAL 6 hours")).alias("since"))
+
+
+@query
+def silence_changes(spark, folder):
+    """Silent and back: one row per change of each source, expected ones that never came included."""
+    log = source.prediction_traffic(spark, folder)
+    return changes.silence_changes(log, "20 minutes", ("subset", "model_type"), expected_sources(log))
+
+
 # ---------------------------------------------------------------- text, requests, state, runs
 
 
@@ -981,6 +1011,17 @@ def replayed(spark, stream) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
 
 
+def replayed_with_state(spark, stream) -> DataFrame:
+    """A replay through keyed state, which needs the RocksDB store."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    live_features.use_rocksdb(spark)
+    try:
+        return replayed(spark, stream)
+    finally:
+        spark.conf.set(key, before)
+
+
 def totals(spark, stream) -> DataFrame:
     folder = scratch(spark)
     traffic.write_totals(stream, f"{folder}/rows", f"{folder}/checkpoint").awaitTermination()
@@ -1050,11 +1091,25 @@ def stream_features(spark, folder):
     path = f"{scratch(spark)}/telemetry"
     rows.write.parquet(path)
     arriving = spark.readStream.schema(rows.schema).parquet(path)
-    key, sensors = "spark.sql.streaming.stateStore.providerClass", ["sensor_2", "sensor_3"]
-    before = spark.conf.get(key)
-    live_features.use_rocksdb(spark)
-    try:
-        made = replayed(spark, live_features.live_features(live_features.valid_rows(arriving, sensors, "60 days"), sensors))
-    finally:
-        spark.conf.set(key, before)
+    sensors = ["sensor_2", "sensor_3"]
+    made = replayed_with_state(spark, live_features.live_features(live_features.valid_rows(arriving, sensors, "60 days"), sensors))
     return rounded(made.drop("ts_ms"))
+
+
+@query
+def stream_alert_changes(spark, folder):
+    made = live_changes.error_alert_changes(closed_replay(spark, folder), WINDOW, "2 hours", 4, 0.19, ("subset",))
+    return zone_free(replayed_with_state(spark, made))
+
+
+@query
+def stream_latency_alert_changes(spark, folder):
+    made = live_changes.latency_alert_changes(closed_replay(spark, folder), WINDOW, None, 2, 0.74, ("subset",))
+    return zone_free(replayed_with_state(spark, made))
+
+
+@query
+def stream_silence_changes(spark, folder):
+    expected = expected_sources(source.prediction_traffic(spark, folder))
+    made = live_changes.silence_changes(closed_replay(spark, folder), "20 minutes", ("subset", "model_type"), expected, "5 minutes")
+    return zone_free(replayed_with_state(spark, made))

@@ -683,6 +683,41 @@ define(
 )
 
 
+def islands(windows, condition, step):
+    """Runs of breaching windows, ``step`` apart, per subset."""
+    return f""",
+breaches AS (SELECT subset, window_end, window_end - INTERVAL '{step}' * row_number() OVER (PARTITION BY subset ORDER BY window_end) AS island FROM ({windows}) WHERE {condition}),
+islands AS (SELECT subset, min(window_end) AS opened, max(window_end) + INTERVAL '{step}' AS closed, count(*) AS n FROM breaches GROUP BY subset, island)
+"""
+
+
+def changes_of(hold, step):
+    return f"""SELECT subset, 'pending' AS state, opened AS at FROM islands
+    UNION ALL SELECT subset, 'firing', opened + INTERVAL '{step}' * {hold - 1} FROM islands WHERE n >= {hold}
+    UNION ALL SELECT subset, CASE WHEN n >= {hold} THEN 'resolved' ELSE 'inactive' END, closed FROM islands"""
+
+
+ERROR_ISLANDS = islands(sliding(f"{ERROR_PERCENT} AS error_percent", "subset"), "error_percent > 100 * 0.19e0", "2 hours")
+LATENCY_ISLANDS = islands(histogram_quantile("subset"), "latency_p95_s > 0.74e0", "6 hours")
+SILENCE_CHANGES = """WITH sources AS (
+      SELECT DISTINCT subset, unnest([model_type, 'standby']) AS model_type, since
+      FROM traffic JOIN (SELECT subset, min(ts) + INTERVAL '6 hours' AS since FROM traffic GROUP BY subset) USING (subset)),
+    moments AS (
+      SELECT subset, model_type, ts, true AS came FROM traffic
+      UNION ALL SELECT subset, model_type, since, false FROM sources),
+    gaps AS (
+      SELECT subset, model_type, lead(ts) OVER (PARTITION BY subset, model_type ORDER BY ts, came) AS next_ts,
+        max(ts) FILTER (WHERE came) OVER (PARTITION BY subset, model_type ORDER BY ts, came ROWS UNBOUNDED PRECEDING) AS last_seen,
+        greatest(ts, max(ts) FILTER (WHERE NOT came) OVER (PARTITION BY subset, model_type)) + INTERVAL '20 minutes' AS due FROM moments),
+    silent AS (SELECT * FROM gaps WHERE next_ts IS NULL OR next_ts > due)
+    SELECT subset, model_type, 'silent' AS state, due AS at, last_seen FROM silent
+    UNION ALL SELECT subset, model_type, 'back', next_ts, last_seen FROM silent WHERE next_ts IS NOT NULL"""
+for prefix in ("", "stream_"):
+    define(f"{prefix}alert_changes", changes_of(4, "2 hours"), TRAFFIC, ERROR_ISLANDS)
+    define(f"{prefix}latency_alert_changes", changes_of(2, "6 hours"), TRAFFIC, LATENCY_ISLANDS)
+    define(f"{prefix}silence_changes", f"SELECT * FROM ({SILENCE_CHANGES})", TRAFFIC)
+
+
 # ---------------------------------------------------------------- text, requests, state, runs
 
 READABLE = "sensor_2 <= 60 AND sensor_3 >= 10"
