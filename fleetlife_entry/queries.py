@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlife.cluster import attach, ensure_checkpoint_dir, settle
+from fleetlife.cluster import attach, ensure_checkpoint_dir, settle, stored
 from fleetlife.operators import (
     changes,
     endpoints,
@@ -22,6 +22,7 @@ from fleetlife.operators import (
     scaling,
     selection,
     sequences,
+    sketches,
     split,
     temporal,
     trajectory,
@@ -653,6 +654,27 @@ def latency_alert_changes(spark, folder):
     return changes.alert_changes(quantiles, F.col("latency_p95_s") > 0.74, 2, WINDOW, ("subset",))
 
 
+def latency_sketch_table(spark, folder) -> DataFrame:
+    """Sketches of half hours, written and read back: what is merged comes from the table alone."""
+    return stored(sketches.latency_sketches(source.prediction_traffic(spark, folder), "30 minutes"))
+
+
+@query
+def latency_sketches_stored(spark, folder):
+    return rounded(sketches.quantiles(latency_sketch_table(spark, folder)))
+
+
+@query
+def latency_sketches_merged(spark, folder):
+    """Six hours per subset, from half hours per subset and model."""
+    return rounded(sketches.quantiles(sketches.merge_sketches(latency_sketch_table(spark, folder), WINDOW, ("subset",))))
+
+
+@query
+def latency_sketches_total(spark, folder):
+    return rounded(sketches.quantiles(sketches.merge_sketches(latency_sketch_table(spark, folder))))
+
+
 def expected_sources(log: DataFrame) -> DataFrame:
     """Every source of the log, and per subset one that never sends, expected from six hours
     after the subset's first event."""
@@ -1108,6 +1130,13 @@ def stream_latency_alert_changes(spark, folder):
     return zone_free(replayed_with_state(spark, made))
 
 
+@query
+def stream_latency_sketches(spark, folder):
+    """Half-hour sketches from the stream, merged to six hours per subset."""
+    made = zone_free(replayed(spark, sketches.latency_sketches(closed_replay(spark, folder), "30 minutes")))
+    return rounded(sketches.quantiles(sketches.merge_sketches(made, WINDOW, ("subset",))))
+
+
 @query
 def stream_silence_changes(spark, folder):
     expected = expected_sources(source.prediction_traffic(spark, folder))

@@ -697,6 +697,29 @@ def changes_of(hold, step):
     UNION ALL SELECT subset, CASE WHEN n >= {hold} THEN 'resolved' ELSE 'inactive' END, closed FROM islands"""
 
 
+def log_histogram(start, end, by):
+    """Quantiles at floor(q * (n - 1)) from logarithmic buckets of 1% accuracy."""
+    keys = ", ".join(("window_start", "window_end", *by))
+    named = "".join(f", {name}" for name in by)
+    ratio = "(1.01e0 / 0.99e0)"
+    value = f"CASE WHEN bucket = -692 THEN 0e0 ELSE 2 / ({ratio} + 1) * pow({ratio}, bucket) END"
+    picked = ", ".join(f"{r(f'min({value}) FILTER (WHERE seen > floor({q}e0 * (requests - 1)))')} AS latency_p{p}_s" for q, p in ((0.5, 50), (0.95, 95), (0.99, 99)))
+    return f"""SELECT {keys}, requests, {picked} FROM (
+      SELECT *, sum(n) OVER (PARTITION BY {keys} ORDER BY bucket) AS seen, CAST(sum(n) OVER (PARTITION BY {keys}) AS BIGINT) AS requests FROM (
+        SELECT {start} AS window_start, {end} AS window_end{named}, count(*) AS n,
+          CASE WHEN latency_s <= 1e-6 THEN -692 ELSE CAST(ceil(ln(least(latency_s, 1e6)) / ln({ratio})) AS INTEGER) END AS bucket
+        FROM traffic WHERE latency_s IS NOT NULL AND NOT isnan(latency_s) GROUP BY ALL))
+    GROUP BY {keys}, requests"""
+
+
+HALF_HOUR = "time_bucket(INTERVAL '30 minutes', ts)"
+SKETCHED = log_histogram(W_START, W_END, ("subset",))
+define("latency_sketches_stored", log_histogram(HALF_HOUR, f"{HALF_HOUR} + INTERVAL '30 minutes'", ("subset", "model_type")), TRAFFIC)
+define("latency_sketches_merged", SKETCHED, TRAFFIC)
+define("stream_latency_sketches", SKETCHED, TRAFFIC)
+FIRST, LAST = (f"(SELECT {f}({HALF_HOUR}) FROM traffic)" for f in ("min", "max"))
+define("latency_sketches_total", log_histogram(FIRST, f"{LAST} + INTERVAL '30 minutes'", ()), TRAFFIC)
+
 ERROR_ISLANDS = islands(sliding(f"{ERROR_PERCENT} AS error_percent", "subset"), "error_percent > 100 * 0.19e0", "2 hours")
 LATENCY_ISLANDS = islands(histogram_quantile("subset"), "latency_p95_s > 0.74e0", "6 hours")
 SILENCE_CHANGES = """WITH sources AS (
