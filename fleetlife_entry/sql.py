@@ -930,11 +930,12 @@ define(
     TRAFFIC,
 )
 
-define(
-    "stream_features",
-    "SELECT *, 'ok' AS status, 0 AS missing_before FROM (" + features(PAIR, (lags, differences, statistics, slopes, smoothed)) + ")",
-    TELE,
-)
+for streamed in ("stream_features", "stream_corrected_features"):
+    define(
+        streamed,
+        "SELECT *, 'ok' AS status, 0 AS missing_before FROM (" + features(PAIR, (lags, differences, statistics, slopes, smoothed)) + ")",
+        TELE,
+    )
 
 # ---------------------------------------------------------------- sampled requests
 
