@@ -207,7 +207,9 @@ def near_words(words: DataFrame) -> DataFrame:
     order = gram_order(words)
     index = _entries(words, index_keys, order)
     probes = _entries(words, probe_keys, order).select("key", F.col("word").alias("near"), F.col("n").alias("near_n"), F.col("letters").alias("near_letters"))
-    alike = F.bit_count(F.col("letters").bitwiseXOR(F.col("near_letters"))) <= 2
+    # Counted as a long without sign: of an int Spark counts the sign bit 33 times.
+    odd = F.col("letters").bitwiseXOR(F.col("near_letters")).cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
+    alike = F.bit_count(odd) <= 2
     pairs = index.join(probes, "key").where(alike & (F.levenshtein("word", "near", 1) == 1))
     ends = F.explode(F.array(F.struct("word", "near", "near_n"), F.struct(F.col("near").alias("word"), F.col("word").alias("near"), F.col("n").alias("near_n"))))
     return pairs.select(ends.alias("end")).select("end.*").distinct()

@@ -68,6 +68,16 @@ def test_near_words_equal_all_pairs(spark, seed):
     assert len(wanted) > len(words)
 
 
+def test_letters_of_every_code_are_compared(spark):
+    """One edit with each letter a run may hold, the last of every 32 codes included (ß, ÿ)."""
+    letters = [chr(c) for c in (*range(65, 91), *range(97, 123), *range(0xC0, 0x100))]
+    words = sorted({"berkeit", *("be" + x + "keit" for x in letters), *("berkeit" + x for x in letters)})
+    frame = spark.createDataFrame([(w, 1) for w in words], "word string, n long")
+    wanted = {(w, v) for w in words for v in words if abs(len(w) - len(v)) <= 1 and one_edit(w, v)}
+    assert {(r.word, r.near) for r in spelling.near_words(frame).collect()} == wanted
+    assert ("berkeit", "beßkeit") in wanted
+
+
 def test_every_order_of_bigrams_finds_all(spark):
     words = vocabulary(5, 40)
     frame = spark.createDataFrame([(w, 1) for w in words], "word string, n long")
