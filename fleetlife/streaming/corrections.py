@@ -10,6 +10,7 @@ its folder is overwritten by the next.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlife.cluster import stored
 from fleetlife.operators import temporal
 from fleetlife.schema import EWMA_ALPHA, LAGS, ROLLING_WINDOWS, UNIT
 
@@ -52,27 +53,29 @@ def corrected_rows(rows: DataFrame, sensors, up_to: int, lags=LAGS, windows=ROLL
     """Rows to release again, from all kept rows: those reached by a late row that came after
     trigger ``up_to``, and those that came after it and are reached by any late row.
 
-    Of several rows of one unit and cycle the first one released holds; a late one only where
-    none was.
+    Late is also what a block whose state was freed took for its first rows: then the cycles that a row
+    says are missing before it (or those its follower says) are not the ones that are missing. Of several
+    rows of one unit and cycle the first one released holds; a late one only where none was.
     """
     sensors, width = list(sensors), reach(lags, windows, alpha)
-    late_units = rows.where("status = 'late'").select(*UNIT).distinct()
-    of_units = rows.join(late_units, list(UNIT), "left_semi")
-    first = F.min_by(F.struct("trigger", "status", "ts_ms", *sensors), F.struct(F.col("status") == "late", "trigger", "ts_ms", *sensors))
-    single = of_units.groupBy(*UNIT, "cycle").agg(first.alias("row")).select(*UNIT, "cycle", "row.*")
-    late = F.col("status") == "late"
+    fresh, late = F.col("trigger") > up_to, F.col("status") == "late"
+    # Units without gaps have no late rows, and units without new rows are as the last pass left them.
+    units = rows.groupBy(*UNIT).agg(F.max(late | (F.col("missing_before") > 0)).alias("any"), F.max(fresh).alias("new")).where("any AND new")
+    of_units = rows.join(units.select(*UNIT), list(UNIT), "left_semi")
+    values = ("trigger", "status", "ts_ms", "missing_before", *sensors)
+    first = F.min_by(F.struct(*values), F.struct(late, "trigger", "ts_ms", *sensors))
+    single = stored(of_units.groupBy(*UNIT, "cycle").agg(first.alias("row")).select(*UNIT, "cycle", "row.*"))
+    before = temporal.lag_difference(single.withColumns({"__cycle": F.col("cycle").cast("double"), "__from": F.col("trigger").cast("double")}), ["__cycle", "__from"], (1,))
+    skipped = F.col("cycle") - F.coalesce(F.col("__cycle_lag_1"), F.lit(0.0)) - 1
+    placed = stored(before.select(*single.columns, skipped.cast("int").alias("__skipped"), F.greatest("trigger", "__from_lag_1").alias("__since")))
+    wrong = F.coalesce(F.col("missing_before") != F.col("__skipped"), F.lit(False))
     flags = {
-        "__any": late.cast("double"),
-        "__new": (late & (F.col("trigger") > up_to)).cast("double"),
-        "__cycle": F.col("cycle").cast("double"),
+        "__any": (late | wrong).cast("double"),
+        "__new": ((late & fresh) | (wrong & (F.col("__since") > up_to))).cast("double"),
     }
-    marked = single.withColumns(flags)
-    near = temporal.rolling_features(marked, ["__any", "__new"], (width,))
-    placed = temporal.lag_difference(near, ["__cycle"], (1,))
-    fresh = F.col("trigger") > up_to
+    near = temporal.rolling_features(placed.withColumns(flags), ["__any", "__new"], (width,), complete=True)
     touched = (F.col(f"__new_rolling_mean_{width}") > 0) | (fresh & (F.col(f"__any_rolling_mean_{width}") > 0))
-    skipped = F.col("cycle") - F.coalesce(F.col("__cycle_lag_1"), F.lit(0.0)) - 1
-    kept = placed.select(*UNIT, "cycle", "ts_ms", touched.alias("__touched"), skipped.cast("int").alias("missing_before"), *sensors)
+    kept = stored(near.select(*UNIT, "cycle", "ts_ms", touched.alias("__touched"), F.col("__skipped").alias("missing_before"), *sensors))
     made = temporal.temporal_features(kept, sensors, lags, windows, alpha)
     names = temporal.feature_names(sensors, lags, windows)
     return made.where("__touched").select(*UNIT, "cycle", "ts_ms", F.lit("ok").alias("status"), "missing_before", *sensors, *names)
@@ -82,7 +85,7 @@ def correct(spark: SparkSession, path: str, schema, sensors, lags=LAGS, windows=
     """One pass over everything kept so far; returns its number, or 0 if no trigger is new.
 
     Run it between triggers or beside the stream, one pass at a time. Rows of units without
-    late rows are only read; the others are computed in blocks, however long the unit.
+    gaps or late rows, or without rows since the last pass, are only read; the others are computed in blocks, however long the unit.
     """
     known = finished_passes(spark, path).agg(F.coalesce(F.max("pass"), F.lit(0)), F.coalesce(F.max("up_to"), F.lit(-1).cast("long"))).first()
     rows = _released(spark, path, schema)
@@ -91,7 +94,7 @@ def correct(spark: SparkSession, path: str, schema, sensors, lags=LAGS, windows=
         return 0
     number = known[0] + 1
     seen = rows.where(F.col("trigger") <= newest)
-    if seen.where("status = 'late'").isEmpty():
+    if seen.where("status = 'late' OR missing_before > 0").isEmpty():
         made = spark.createDataFrame([], schema)
     else:
         made = corrected_rows(seen, sensors, known[1], lags, windows, alpha)

@@ -75,8 +75,6 @@ class BlockFeatures(StatefulProcessor):
 
     def _advance(self, key, arrived, watermark_ms):
         """Release what is next in line, or is older than the watermark."""
-        import pandas as pd
-
         block = int(key[-1])
         queue = sorted([*(tuple(r) for r in self.waiting.get()), *arrived], key=lambda r: r[1])
         expected = first = self._next_cycle(block)
@@ -89,8 +87,7 @@ class BlockFeatures(StatefulProcessor):
                 expected = row[1] + 1
             else:
                 rest.append(row)
-        made = self._features(key, ready)
-        made += [self._shape(key, row, None, "late", {}) for row in late if row[2]]
+        made = [*self._features(key, ready), *self._late(key, [row for row in late if row[2]])]
         last_ms = max([self.cursor.get()[1]] if self.cursor.exists() else [-1], default=-1)
         last_ms = max([last_ms, *(row[0] for row in arrived)])
         if not arrived and last_ms + self.idle_ms <= watermark_ms:
@@ -103,62 +100,77 @@ class BlockFeatures(StatefulProcessor):
                     state.clear()
             elif rest:
                 self.waiting.put(rest)
-                for row in rest:
-                    self.handle.registerTimer(row[0] + 1)
+                # One timer, for the first that falls due: when it fires, the next one is set.
+                self.handle.registerTimer(min(row[0] for row in rest) + 1)
             else:
                 self.waiting.clear()
             if arrived or expected != first:
                 self.cursor.update((expected, last_ms))
             if arrived:
                 self.handle.registerTimer(last_ms + self.idle_ms)
-        if made:
-            yield pd.DataFrame(made, columns=self.columns())
+        yield from made
 
     def columns(self):
         return [*self.keys, "cycle", "ts_ms", "status", "missing_before", *self.sensors, *feature_names(self.sensors, self.lags, self.windows)]
 
-    def _shape(self, key, row, gap, status, features):
+    def _late(self, key, rows):
+        """The rows that came too late as one frame, if any, without features."""
+        import pandas as pd
+
         names = feature_names(self.sensors, self.lags, self.windows)
-        return [*key[:-1], row[1], row[0], status, gap, *row[3:], *(features.get(name) for name in names)]
+        made = [[*key[:-1], row[1], row[0], "late", None, *row[3:], *(None for _ in names)] for row in rows]
+        return [pd.DataFrame(made, columns=self.columns())] if made else []
 
     def _features(self, key, ready):
+        """Features of all released rows as one frame, if any: shifted arrays, and a matrix of frames per window."""
         import numpy as np
+        import pandas as pd
 
         if not ready:
             return []
         history = [tuple(r) for r in self.past.get()]
         cycles = np.array([r[0] for r in history] + [row[1] for row, _ in ready], dtype="float64")
         values = np.array([r[1:] for r in history] + [row[3:] for row, _ in ready], dtype="float64")
-        level = np.array(self.level.get(), dtype="float64") if self.level.exists() else None
-        made = []
-        for i, (row, gap) in enumerate(ready, start=len(history)):
-            x = values[i]
-            level = x.copy() if level is None else self.alpha * x + (1 - self.alpha) * level
-            if not row[2]:
-                continue
-            columns = {}
-            for k in self.lags:
-                before = values[i - k] if i >= k else None
-                for j, s in enumerate(self.sensors):
-                    columns[f"{s}_lag_{k}"] = None if before is None else before[j]
-                    columns[f"{s}_diff_{k}"] = None if before is None else x[j] - before[j]
-            for k in self.windows:
-                frame, axis = values[max(0, i - k + 1) : i + 1], cycles[max(0, i - k + 1) : i + 1]
-                mean = frame.mean(axis=0)
-                centred = axis - axis.mean()
-                spread = (centred**2).sum()
-                for j, s in enumerate(self.sensors):
-                    columns[f"{s}_rolling_mean_{k}"] = mean[j]
-                    columns[f"{s}_rolling_std_{k}"] = frame[:, j].std(ddof=1) if len(frame) > 1 else None
-                    columns[f"{s}_rolling_slope_{k}"] = (centred * frame[:, j]).sum() / spread if spread > 0 else None
+        held = list(self.level.get()) if self.level.exists() else None
+        smoothed = []
+        for xs in values[len(history) :].tolist():
+            held = xs if held is None else [self.alpha * x + (1 - self.alpha) * y for x, y in zip(xs, held, strict=True)]
+            smoothed.append(held)
+        own = np.array([row[2] for row, _ in ready], dtype=bool)
+        at = np.arange(len(history), len(cycles))[own]
+        columns = dict(zip(self.keys, key[:-1], strict=True))
+        columns["cycle"] = cycles[at].astype("int64")
+        columns["ts_ms"] = np.array([row[0] for row, _ in ready], dtype="int64")[own]
+        columns["status"] = "ok"
+        columns["missing_before"] = np.array([gap for _, gap in ready], dtype="int64")[own]
+        columns |= {s: values[at, j] for j, s in enumerate(self.sensors)}
+        for k in self.lags:
+            before = np.where((at >= k)[:, None], values[np.maximum(at - k, 0)], np.nan)
+            for j, s in enumerate(self.sensors):
+                columns[f"{s}_lag_{k}"] = before[:, j]
+                columns[f"{s}_diff_{k}"] = values[at, j] - before[:, j]
+        for k in self.windows:
+            places = at[:, None] - np.arange(k - 1, -1, -1)
+            inside, places = places >= 0, np.maximum(places, 0)
+            n = inside.sum(axis=1)
+            axis = np.where(inside, cycles[places], 0.0)
+            centred = np.where(inside, axis - (axis.sum(axis=1) / n)[:, None], 0.0)
+            spread = (centred**2).sum(axis=1)
+            several = n > 1
             for j, s in enumerate(self.sensors):
-                columns[f"{s}_ewma"] = level[j]
-            made.append(self._shape(key, row, gap, "ok", columns))
+                frame = np.where(inside, values[places, j], 0.0)
+                mean = frame.sum(axis=1) / n
+                squares = (np.where(inside, frame - mean[:, None], 0.0) ** 2).sum(axis=1)
+                columns[f"{s}_rolling_mean_{k}"] = mean
+                columns[f"{s}_rolling_std_{k}"] = np.where(several, np.sqrt(squares / np.maximum(n - 1, 1)), np.nan)
+                columns[f"{s}_rolling_slope_{k}"] = np.where(spread > 0, (centred * frame).sum(axis=1) / np.where(spread > 0, spread, 1.0), np.nan)
+        ends = np.array(smoothed, dtype="float64")[own]
+        columns |= {f"{s}_ewma": ends[:, j] for j, s in enumerate(self.sensors)}
         kept = list(zip(cycles, values))[-self.reach :] if self.reach else []
         if kept:
             self.past.put([(int(c), *(float(v) for v in vs)) for c, vs in kept])
-        self.level.update(tuple(float(v) for v in level))
-        return made
+        self.level.update(tuple(float(v) for v in held))
+        return [pd.DataFrame(columns, columns=self.columns())] if len(at) else []
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator:
         arrived = []

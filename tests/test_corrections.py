@@ -98,3 +98,17 @@ def test_out_of_order_stream_equals_batch(spark, frame, feed):
     assert made.count() == len(rows) and made.where("version > 0").count() > 20
     assert made.where("missing_before > 0").count() == 0
     assert evaluation.feature_parity(made, want, ["sensor_2", *NAMES], rtol=1e-9, atol=1e-9).count() == 0
+
+
+def test_late_rows_of_a_freed_block_are_corrected(feed):
+    """State is freed after a week without rows: what comes then looks like the first row of its block."""
+    days = 24 * 60
+    feed.send([(1, 1, 0, 1.0), (1, 2, 1, 2.0), (1, 4, 3, 4.0), (1, 5, 4, 5.0), (0, 1, 30 * days, 0.0)])
+    feed.send([(0, 2, 31 * days, 0.0)])
+    feed.send([(1, 3, 32 * days, 3.0), (0, 3, 33 * days, 0.0)])
+    assert feed.correct() == 1
+    feed.send([(0, 4, 34 * days, 0.0)])
+    feed.correct()
+    got = seen(feed)
+    assert {k: v[1:] for k, v in got.items()} == {(1, 1): (0, None), (1, 2): (0, 1.0), (1, 3): (0, 2.0), (1, 4): (0, 3.0), (1, 5): (0, 4.0)}
+    assert got[1, 2][0] == 0 and got[1, 3][0] > 0 and got[1, 4][0] > 0

@@ -63,3 +63,9 @@ def test_an_idle_block_frees_its_state():
     assert handle.slots["cursor"].exists()
     advance(made, [], 70 + 1_000)
     assert not any(slot.exists() for slot in handle.slots.values())
+
+
+def test_waiting_rows_share_a_timer():
+    made, handle = processor()
+    advance(made, [1, *range(3, 15)])
+    assert sorted(handle.timers) == [31, 140 + 1_000]
