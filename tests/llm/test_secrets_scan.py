@@ -92,3 +92,19 @@ def test_redaction(spark):
     got = sorted(tuple(r) for r in secrets_scan.redact(found).collect())
     assert got == [(1, "a [SECRET] b", 7), (2, "[SECRET]", 7), (3, None, 7), (4, "clean", 7)]
     assert secrets_scan.find_secrets(docs.limit(0)).collect() == []
+
+
+def test_every_labelled_example_is_learned_from(spark, monkeypatch):
+    """More examples than any sample held: all are labelled, dealt to shards once, and reruns agree."""
+    pick = random.Random(6)
+    rows = [(i, f"{''.join(pick.choices(string.ascii_lowercase, k=12))} token={''.join(pick.choices(string.ascii_lowercase + string.digits, k=20))} more") for i in range(2_500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = secrets_scan.labelled_findings(docs)
+    assert found.where("found = 1").count() == 2 * len(rows)
+    monkeypatch.setattr(secrets_scan, "FEW", 1_000)
+    monkeypatch.setattr(secrets_scan, "SHARD", 1_500)
+    monkeypatch.setattr(secrets_scan, "ROUNDS", 2)
+    one, two = (secrets_scan.fit(f, 0.98, 0.01) for f in (found, found.repartition(3)))
+    assert one.threshold == two.threshold and (one.filters == two.filters).all()
+    kept = secrets_scan._examples(found.where("found = 1").limit(500).toArrow())[0]
+    assert (one.score(kept) >= one.threshold).mean() > 0.9
