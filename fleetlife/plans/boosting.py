@@ -2,9 +2,11 @@
 
 Features are binned once, by merged quantile summaries, into a byte a value. Rows are packed into blocks of bytes, a file
 in the checkpoint folder, which every later job reads from executor memory. A level of a tree is
-one job: each block adds up gradients by node, feature and bin, the sums are merged in a tree of tasks, and the
-driver, which sees nothing but those sums, picks the splits by second-order gain. The rows' own predictions stay in
-their blocks and are brought up to date by the first job of the next tree.
+one job: each block adds up gradients by node, feature and bin, and the
+driver, which sees nothing but those sums, picks the splits by second-order gain. Of two siblings only the smaller
+one is summed: the other is what its parent has left, and the leaves follow from the last splits, so a tree takes as many
+jobs as it has levels above its leaves. The rows' own predictions stay in their blocks and are brought up to date by the
+first job of the next tree.
 
 What fits one block is boosted whole in the task that holds it, by the same functions: the same trees without a job
 per level. Gradients are whole numbers (fixed point), so sums do not depend on the order of addition and a
@@ -33,6 +35,8 @@ FIXED = 1 << 20
 #: Trees after which the rows' predictions are written down, so that lost ones are made again from few trees.
 KEEP_EVERY = 25
 DEEPEST = 12
+#: Up to this number of tasks their sums go to the driver at once; of more they are merged in a tree of tasks.
+DIRECT_TASKS = 64
 
 
 @dataclass
@@ -45,12 +49,13 @@ class Tree:
 
     def leaves(self, bins: np.ndarray, depth: int) -> np.ndarray:
         """Node of each row; ``bins`` has a row of bytes per feature."""
-        at = np.zeros(bins.shape[1], np.int64)
-        rows = np.arange(bins.shape[1])
-        for _ in range(depth):
-            own = self.feature[at]
-            right = bins[np.maximum(own, 0), rows] > self.bin[at]
-            at = np.where(own >= 0, 2 * at + 1 + right, at)
+        n, split = bins.shape[1], self.feature >= 0
+        nodes, rows, flat = np.arange(len(split)), np.arange(n), np.ascontiguousarray(bins).reshape(-1)
+        # A leaf is its own left child, and nothing is to the right of it.
+        place, last, left = np.where(split, self.feature, 0) * n, np.where(split, self.bin, BINS), np.where(split, 2 * nodes + 1, nodes)
+        at = np.zeros(n, np.int64)
+        for _ in range(depth if n else 0):
+            at = left.take(at) + (flat.take(place.take(at) + rows) > last.take(at))
         return at
 
 
@@ -172,40 +177,58 @@ def best_splits(sums: np.ndarray, counts: np.ndarray, allowed: np.ndarray, scale
     return np.where(top > 1e-9, feature, -1), at, top
 
 
-def _sums(y, bins, margin, tree, level, depth, drawn, scale):
-    """(gradient sums, counts) by node of a level, feature and bin, and the squared error of all rows (level 0 only)."""
-    gradient = np.rint((margin - y) * scale)
-    width = 2**level
-    node = tree.leaves(bins, level) - (width - 1) if level else np.zeros(len(y), np.int64)
-    on = drawn & (node >= 0)
-    node, gradient_on = node[on] * BINS, gradient[on]
-    sums = np.zeros((len(bins), width * BINS), np.int64)
-    counts = np.zeros_like(sums)
+def _sums(y, bins, margin, tree, level, asked, drawn, scale):
+    """(gradient sums, counts) by node, feature and bin for the nodes ``asked`` of a level, and the squared error of all rows (level 0 only)."""
+    squared = 0
+    if level:
+        slots = np.full(2 ** (level + 1) - 1, -1)
+        slots[2**level - 1 + asked] = np.arange(len(asked))
+        slot = slots.take(tree.leaves(bins, level))
+        on = np.flatnonzero(drawn & (slot >= 0))
+        node, gradient = slot[on] * BINS, np.rint((margin[on] - y[on]) * scale)
+    else:
+        gradient, on = np.rint((margin - y) * scale), np.flatnonzero(drawn)
+        squared = int(np.rint((gradient / scale * 1024) ** 2).sum())
+        node, gradient = np.zeros(len(on), np.int64), gradient[on]
+    shape = (len(bins), len(asked), BINS)
+    sums, counts = np.zeros(shape, np.int64), np.zeros(shape, np.int64)
     for f in range(len(bins)):
-        at = node + bins[f, on]
-        sums[f] = np.bincount(at, gradient_on, width * BINS).astype(np.int64)
-        counts[f] = np.bincount(at, minlength=width * BINS)
-    shape = (len(bins), width, BINS)
-    return sums.reshape(shape).swapaxes(0, 1), counts.reshape(shape).swapaxes(0, 1), int(np.rint((gradient / scale * 1024) ** 2).sum()) if level == 0 else 0
+        at = node + bins[f].take(on)
+        sums[f] = np.bincount(at, gradient, len(asked) * BINS).astype(np.int64).reshape(shape[1:])
+        counts[f] = np.bincount(at, minlength=len(asked) * BINS).reshape(shape[1:])
+    return sums.swapaxes(0, 1), counts.swapaxes(0, 1), squared
 
 
 def grow(level_sums, features: int, depth: int, step: float, allowed: np.ndarray, scale: float):
-    """A tree from ``level_sums(tree, level)``, which gives sums over all rows; and the squared error before it."""
+    """A tree from ``level_sums(tree, level, nodes)``, which gives sums over all rows of these nodes; and the squared error before it."""
     count = 2 ** (depth + 1) - 1
     tree = Tree(np.full(count, -1), np.zeros(count, np.int64), np.zeros(count))
-    error = 0
+    sums, counts, error = level_sums(tree, 0, np.zeros(1, np.int64))
+    g, n = sums[:, 0].sum(axis=1), counts[:, 0].sum(axis=1)
     for level in range(depth + 1):
-        sums, counts, squared = level_sums(tree, level)
-        first = 2**level - 1
-        error = squared if level == 0 else error
-        g, n = sums[:, 0].sum(axis=1) / scale, counts[:, 0].sum(axis=1)
-        tree.value[first : first + 2**level] = np.where(n > 0, -step * g / (n + RIDGE), 0.0)
-        if level < depth:
-            feature, at, _ = best_splits(sums, counts, allowed, scale)
-            tree.feature[first : first + 2**level] = np.where(n > 0, feature, -1)
-            tree.bin[first : first + 2**level] = at
-            if (feature < 0).all():
-                break
+        own = slice(2**level - 1, 2 ** (level + 1) - 1)
+        tree.value[own] = np.where(n > 0, -step * (g / scale) / (n + RIDGE), 0.0)
+        if level == depth:
+            break
+        if level:
+            # The other sibling has what the parent has left: whole numbers, so nothing is lost.
+            smaller = 2 * parents + (n[2 * parents + 1] < n[2 * parents])
+            part_sums, part_counts, _ = level_sums(tree, level, smaller)
+            whole_sums, whole_counts = sums[parents], counts[parents]
+            sums, counts = (np.zeros((2**level, features, BINS), np.int64) for _ in range(2))
+            sums[smaller], counts[smaller] = part_sums, part_counts
+            sums[smaller ^ 1], counts[smaller ^ 1] = whole_sums - part_sums, whole_counts - part_counts
+        feature, at, _ = best_splits(sums, counts, allowed, scale)
+        tree.feature[own], tree.bin[own] = np.where(n > 0, feature, -1), at
+        parents = np.flatnonzero(tree.feature[own] >= 0)
+        if not len(parents):
+            break
+        upto = np.arange(BINS) <= at[parents, None]
+        whole_g, whole_n = g[parents], n[parents]
+        g, n = np.zeros(2 ** (level + 1), np.int64), np.zeros(2 ** (level + 1), np.int64)
+        for children, by in ((g, sums), (n, counts)):
+            children[2 * parents] = (by[parents, feature[parents]] * upto).sum(axis=1)
+        g[2 * parents + 1], n[2 * parents + 1] = whole_g - g[2 * parents], whole_n - n[2 * parents]
     return tree, error
 
 
@@ -230,8 +253,8 @@ def _alone(y: np.ndarray, bins: np.ndarray, base: float, p: dict, scale: float):
     for number, allowed in enumerate(_columns(len(bins), p)):
         drawn = _drawn(y, number, p)
 
-        def level_sums(tree, level, margin=margin, drawn=drawn):
-            return _sums(y, bins, margin, tree, level, p["depth"], drawn, scale)
+        def level_sums(tree, level, asked, margin=margin, drawn=drawn):
+            return _sums(y, bins, margin, tree, level, asked, drawn, scale)
 
         tree, error = grow(level_sums, len(bins), p["depth"], p["step"], allowed, scale)
         margin = margin + tree.value[tree.leaves(bins, p["depth"])]
@@ -242,26 +265,29 @@ def _alone(y: np.ndarray, bins: np.ndarray, base: float, p: dict, scale: float):
 
 def _together(blocks, base: float, rows: int, features: int, p: dict, scale: float):
     """The same on many blocks (target, bins): a job for every level."""
-    now = blocks.map(lambda x: (*x, np.full(len(x[0]), base))).persist(StorageLevel.MEMORY_AND_DISK)
+    now, before = blocks.map(lambda x: (*x, np.full(len(x[0]), base))).persist(StorageLevel.MEMORY_AND_DISK), None
+    deep = 1 if now.getNumPartitions() <= DIRECT_TASKS else 2
     trees, losses = [], []
     for number, allowed in enumerate(_columns(features, p)):
 
-        def level_sums(tree, level, now=now, number=number):
+        def level_sums(tree, level, asked, now=now, number=number):
             def block(x):
                 y, bins, margin = x
-                return _sums(y, bins, margin, tree, level, p["depth"], _drawn(y, number, p), scale)
+                return _sums(y, bins, margin, tree, level, asked, _drawn(y, number, p), scale)
 
-            return now.map(block).treeReduce(lambda a, b: (a[0] + b[0], a[1] + b[1], a[2] + b[2]))
+            return now.map(block).treeReduce(lambda a, b: (a[0] + b[0], a[1] + b[1], a[2] + b[2]), deep)
 
         tree, error = grow(level_sums, features, p["depth"], p["step"], allowed, scale)
+        if before is not None:
+            before.unpersist()  # the first job of this tree has made the next ones
         trees.append(tree)
         losses.append(error / 1024**2 / rows)
-        after = now.map(lambda x, tree=tree: (x[0], x[1], x[2] + tree.value[tree.leaves(x[1], p["depth"])])).persist(StorageLevel.MEMORY_AND_DISK)
+        before = now
+        now = now.map(lambda x, tree=tree: (x[0], x[1], x[2] + tree.value[tree.leaves(x[1], p["depth"])])).persist(StorageLevel.MEMORY_AND_DISK)
         if (number + 1) % KEEP_EVERY == 0:
-            after.checkpoint()
-        left = after.map(lambda x: float(((x[2] - x[0]) ** 2).sum())).sum()
-        now.unpersist()
-        now = after
+            now.checkpoint()
+    left = now.map(lambda x: float(((x[2] - x[0]) ** 2).sum())).sum()
+    before.unpersist()
     now.unpersist()
     return trees, [*losses, left / rows]
 

@@ -80,6 +80,36 @@ def test_number_of_tasks_does_not_matter_and_models_are_stored(spark, tmp_path,
     assert left == right and len(left) == 400 and again.losses == pytest.approx(one.losses)
 
 
+def test_a_tree_takes_a_job_per_level_above_its_leaves(spark, monkeypatch):
+    rows = made(400, 2)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 70)
+    spark.sparkContext.setJobGroup("plain", "")
+    boosting.fit(frame(spark, rows, 7), ["a", "b", "c"], rounds=2, depth=4)
+    spark.sparkContext.setJobGroup("more", "")
+    boosting.fit(frame(spark, rows, 7), ["a", "b", "c"], rounds=12, depth=4)
+    plain, more = (len(spark.sparkContext.statusTracker().getJobIdsForGroup(g)) for g in ("plain", "more"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < more - plain <= 10 * 4
+
+
+def test_siblings_are_what_the_parent_has_left(spark):
+    pick = np.random.default_rng(5)
+    bins, y = pick.integers(0, boosting.BINS, (3, 500)).astype(np.uint8), pick.normal(size=500)
+    drawn, margin, asked = pick.random(500) < 0.8, np.zeros(500), []
+
+    def level_sums(tree, level, nodes):
+        asked.append(len(nodes))
+        return boosting._sums(y, bins, margin, tree, level, nodes, drawn, boosting.FIXED)
+
+    tree, _ = boosting.grow(level_sums, 3, 5, 1.0, np.ones(3, bool), boosting.FIXED)
+    assert len(asked) == 5 and all(n <= 2 ** max(0, level - 1) for level, n in enumerate(asked))
+    leaves = tree.leaves(bins, 5)
+    for leaf in np.unique(leaves):
+        own = drawn & (leaves == leaf)
+        g = np.rint((margin - y)[own] * boosting.FIXED).sum() / boosting.FIXED
+        assert tree.value[leaf] == (-g / (own.sum() + boosting.RIDGE) if own.any() else 0.0)
+
+
 def test_sampling_learns_and_repeats(spark):
     rows = made(800, 4)
     settings = {"rounds": 60, "depth": 4, "step": 0.2}
