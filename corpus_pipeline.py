@@ -10,18 +10,20 @@ judge by text alone, and rows that repeat a doc_id share its fate.
 from pyspark.sql import functions as F
 
 from fleetlife.llm import jaccard, languages, leaks, mixing, secrets_scan
-from fleetlife.llm.store import stored, table
+from fleetlife.llm.store import small_batches, stored, table
 
 #: A document whose most likely language has less than this probability has none.
 LEAST_SCORE = 0.3
 
 
 def identify_language(spark, docs, sf_dir):
-    """Documents with a recognised language. Columns as they were."""
+    """Documents with a recognised language, stored. Columns as they were."""
     network = languages.fit(docs.where(~languages.held_out()))
-    rows = languages.predict(docs.select("text", F.struct(*docs.columns).alias("row")), network)
+    rest = F.struct(*(c for c in docs.columns if c != "text")).alias("row")
+    rows = languages.predict(docs.select("text", rest), network, keep_text=True)
     kept = rows.where((F.col("lang_pred") != languages.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return kept.select(*(F.col("row")[c].alias(c) for c in docs.columns))
+    with small_batches(spark):
+        return stored(kept.select(*((F.col("text") if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns)))
 
 
 def drop_near_copies(spark, docs, sf_dir):
@@ -71,6 +73,6 @@ def run(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
+        if 0 < i < len(STAGES) - 1:  # the first stage stores its own
             docs = stored(docs)
     return docs

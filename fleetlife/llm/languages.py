@@ -209,8 +209,9 @@ def fit(docs: DataFrame, per_language: int = 300, pieces: int = 6, rounds: int =
     return Network(languages).train(x, y, rounds)
 
 
-def predict(docs: DataFrame, network: Network | None) -> DataFrame:
-    """Rows of ``docs`` (text first, any other columns after it) with lang_pred and score for text.
+def predict(docs: DataFrame, network: Network | None, keep_text: bool = False) -> DataFrame:
+    """Rows of ``docs`` (text first, any other columns after it) with lang_pred and score for text;
+    the text itself is left out unless ``keep_text`` is set.
 
     Null text and text without a letter is ``und`` with score 0, as is every text where
     nothing could be learned. Ties go to the language first in alphabet.
@@ -231,10 +232,11 @@ def predict(docs: DataFrame, network: Network | None) -> DataFrame:
                 for i, k in enumerate(known):
                     names.append(network.languages[best[i]] if k and network else UNKNOWN)
                     scores.append(min(1.0, float(p[i, best[i]])) if k and network else 0.0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*rest, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[left:], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*rest, "lang_pred", "score"])
 
-    rest = docs.columns[1:]
-    found = T.StructType(docs.schema.fields[1:]).add("lang_pred", "string").add("score", "double")
+    left = 0 if keep_text else 1
+    rest = docs.columns[left:]
+    found = T.StructType(docs.schema.fields[left:]).add("lang_pred", "string").add("score", "double")
     return docs.mapInArrow(run, found)
 
 

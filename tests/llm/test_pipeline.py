@@ -3,7 +3,7 @@
 import sys
 
 import corpus_pipeline
-from fleetlife.llm import jaccard, languages, leaks, mixing, secrets_scan
+from fleetlife.llm import jaccard, languages, leaks, mixing, secrets_scan, store
 from fleetlife.llm.store import stored
 
 FOLDER = "/root/testdata/sf0.001"
@@ -37,6 +37,29 @@ def test_stages_in_turn(spark):
     assert final == {(r.doc_id, r.copy) for r in docs.collect()}
 
 
+def test_texts_go_to_python_once_and_in_small_batches(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"the quick brown fox number {i} jumps over the lazy dog", "en", "web", 1) for i in range(40)], "doc_id long, text string, lang string, source string, n_chars int")
+    usual, sent, told = spark.conf.get(store.BATCH_SETTING), [], []
+    predict = languages.predict
+
+    def watched(rows, *rest, **options):
+        sent.append(rows.schema)
+        return predict(rows, *rest, **options)
+
+    def kept(df):
+        told.append(spark.conf.get(store.BATCH_SETTING))
+        return stored(df)
+
+    monkeypatch.setattr(languages, "predict", watched)
+    monkeypatch.setattr(corpus_pipeline, "stored", kept)
+    monkeypatch.setattr(jaccard, "stored", kept)
+    found = corpus_pipeline.identify_language(spark, docs, None)
+    assert found.columns == docs.columns and found.exceptAll(docs).count() == 0
+    assert sent[0].simpleString().count("text") == 1 and told == [store.BATCH]
+    assert jaccard.ngram_jaccard_join(docs).count() == 40
+    assert set(told) == {store.BATCH} and len(told) > 4 and spark.conf.get(store.BATCH_SETTING) == usual
+
+
 def test_odd_rows(spark, tmp_path):
     words = " ".join(f"wort{i}" for i in range(60))
     rows = [(1, words, "de", "a", 10), (2, words, "de", None, None), (None, words + " x", None, "a", 1), (3, None, "de", "a", 0), (4, "", "de", "a", 0), (5, "token=abcdefgh " + words[::-1], "de", "b", 3), (5, "token=abcdefgh " + words[::-1], "de", "b", 3)]
