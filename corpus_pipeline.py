@@ -16,6 +16,12 @@ from fleetlife.llm.store import small_batches, stored, table
 LEAST_SCORE = 0.3
 
 
+def without(docs, found):
+    """The documents whose doc_id is not in ``found``. The ids are stored first: few ones, by their
+    known size, are broadcast, and whole texts are not shuffled."""
+    return docs.join(stored(found.select("doc_id").distinct()), "doc_id", "left_anti").select(docs.columns)
+
+
 def identify_language(spark, docs, sf_dir):
     """Documents with a recognised language, stored. Columns as they were."""
     network = languages.fit(docs.where(~languages.held_out()))
@@ -29,13 +35,13 @@ def identify_language(spark, docs, sf_dir):
 def drop_near_copies(spark, docs, sf_dir):
     """The document with the smallest id of each group of documents linked by 4-word shingles."""
     groups = jaccard.ngram_jaccard_join(docs)
-    return docs.join(groups.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    return without(docs, groups.where("doc_id <> component_id"))
 
 
 def drop_leaks(spark, docs, sf_dir):
     """Documents without a benchmark item."""
-    found = leaks.find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    with small_batches(spark):
+        return without(docs, leaks.find_leaks(docs, table(spark, sf_dir, "benchmark")))
 
 
 def redact_secrets(spark, docs, sf_dir):

@@ -36,7 +36,7 @@ BLOCK = 16
 PIECE = 64
 MOST_PIECES = 256
 RANK, OVERSAMPLED = 256, 16
-#: Blocks of a chunk whose words are looked up at once.
+#: Blocks of a chunk whose words are looked up at once, and passages compared at once.
 SOME = 1024
 #: Word classes of the document frequencies, by hash.
 CLASSES = 1 << 17
@@ -216,6 +216,8 @@ def _candidates(space, hashes, first):
     for some in np.array_split(head, -(-len(head) // SOME)):
         a, b = some[0], head[np.searchsorted(head, some[-1]) + 1] if some[-1] != head[-1] else len(held)
         vectors[block[some]] = np.add.reduceat(space.weighted[at[held[a:b]]], some - a, axis=0)
+    sums, lengths = np.zeros((len(start) + 1, vectors.shape[1])), np.concatenate([[0.0], np.cumsum(squares, dtype=np.float64)])
+    np.cumsum(vectors, 0, out=sums[1:])
     for scale in np.unique(space.scale).tolist():
         chosen = np.flatnonzero(space.scale == scale)
         step = scale // 2
@@ -223,13 +225,13 @@ def _candidates(space, hashes, first):
         nth = np.arange(len(start)) - np.searchsorted(rows, rows)
         begin = np.flatnonzero((nth % step == 0) & ((nth == 0) | (np.searchsorted(rows, rows, "right") - np.arange(len(start)) > step)))
         end = np.minimum(begin + scale, np.searchsorted(rows, rows[begin], "right"))
-        sums = np.concatenate([np.zeros((1, vectors.shape[1]), np.float64), np.cumsum(vectors, 0, dtype=np.float64)])
-        lengths = np.concatenate([[0.0], np.cumsum(squares, dtype=np.float64)])
-        x = (sums[end] - sums[begin]).astype(np.float32)
         norm = np.sqrt(np.maximum(lengths[end] - lengths[begin], 1e-12))
-        shared = x @ space.items[chosen].T
-        for i, k in np.argwhere(shared >= space.least[chosen]).tolist():
-            yield int(rows[begin[i]]), int(start[begin[i]]), int(start[end[i]]) if end[i] < len(start) else len(hashes), int(chosen[k]), float(shared[i, k] / norm[i])
+        for low in range(0, len(begin), SOME):
+            own = slice(low, low + SOME)
+            shared = (sums[end[own]] - sums[begin[own]]).astype(np.float32) @ space.items[chosen].T
+            for i, k in np.argwhere(shared >= space.least[chosen]).tolist():
+                at_first, after = begin[low + i], end[low + i]
+                yield int(rows[at_first]), int(start[at_first]), int(start[after]) if after < len(start) else len(hashes), int(chosen[k]), float(shared[i, k] / norm[low + i])
 
 
 def _searched(space):

@@ -327,24 +327,20 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def redact(found: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """Rows of ``find_secrets`` with every span of text replaced and without spans; overlapping spans are one."""
+    """Rows of ``find_secrets`` with every span of text replaced and without spans; overlapping spans are one.
 
-    def run(batches):
-        for batch in batches:
-            out = []
-            for text, spans in zip(batch.column(at).to_pylist(), batch.column(last).to_pylist()):
-                if spans:
-                    parts, until, open_ = [], 0, -1
-                    for s in spans:
-                        if s["start"] >= open_:
-                            parts += [text[until : s["start"]], mark]
-                        open_ = until = max(until, s["finish"])
-                    text = "".join([*parts, text[until:]])
-                out.append(text)
-            columns = [*batch.columns[:at], pa.array(out, pa.string()), *batch.columns[at + 1 : last]]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    names = [c for c in found.columns if c != "spans"]
-    found = found.select(*names, "spans")
-    at, last = names.index("text"), len(names)
-    return found.mapInArrow(run, T.StructType(found.schema.fields[:-1]))
+    Column expressions: a second Python step would double the workers that tasks keep.
+    """
+    text = F.col("text")
+
+    def replaced(done, span):
+        before = F.substring(text, done["until"] + 1, span["start"] - done["until"])
+        kept = F.when(span["start"] >= done["until"], F.concat(done["kept"], before, F.lit(mark))).otherwise(done["kept"])
+        return F.struct(F.greatest(done["until"], span["finish"]).alias("until"), kept.alias("kept"))
+
+    def whole(done):
+        return F.concat(done["kept"], F.substring(text, done["until"] + 1, F.length(text)))
+
+    clean = F.aggregate("spans", F.struct(F.lit(0).alias("until"), F.lit("").alias("kept")), replaced, whole)
+    columns = {c: F.when(F.size("spans") > 0, clean).otherwise(text).alias(c) if c == "text" else F.col(c) for c in found.columns if c != "spans"}
+    return found.select(*columns.values())

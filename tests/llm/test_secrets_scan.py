@@ -108,3 +108,17 @@ def test_every_labelled_example_is_learned_from(spark, monkeypatch):
     assert one.threshold == two.threshold and (one.filters == two.filters).all()
     kept = secrets_scan._examples(found.where("found = 1").limit(500).toArrow())[0]
     assert (one.score(kept) >= one.threshold).mean() > 0.9
+
+
+def test_redaction_takes_no_python_step(spark):
+    rows = [
+        (1, "aß😀 key=abc def", [("assign", 4, 11, 1.0), ("hex", 8, 11, 1.0), ("network", 11, 12, 0.9)]),
+        (2, "plain", []),
+        (3, None, []),
+        (4, "abc", [("hex", 0, 3, 1.0)]),
+    ]
+    found = spark.createDataFrame(rows, "doc_id long, text string, spans array<struct<kind:string,start:int,finish:int,score:double>>")
+    clean = secrets_scan.redact(found, "*")
+    assert clean.columns == ["doc_id", "text"]
+    assert {r.doc_id: r.text for r in clean.collect()} == {1: "aß😀 **def", 2: "plain", 3: None, 4: "*"}
+    assert "InArrow" not in clean._jdf.queryExecution().executedPlan().toString()
