@@ -1,7 +1,8 @@
 """Temporal features on a stream of telemetry rows.
 
-Rows are keyed by unit and block of cycles, with the same lead-in copies as in batch,
-so a busy unit is spread over keys and the state of a key is bounded by the block. A
+Rows belong to a unit and block of cycles, with the same lead-in copies as in batch, so a busy
+unit is spread and what is kept of a block is bounded. Blocks are dealt by hash to groups, the keys
+of state, so that what a key costs is shared by many blocks. A
 finished block keeps only its cursor, which tells late rows apart; a block that has had no
 row for ``idle`` of event time frees that too, as does an unfinished one. Rows that arrive
 out of order wait in state until their predecessor is there, or until the watermark passes them.
@@ -26,6 +27,16 @@ cloudpickle.register_pickle_by_value(fleetlife)
 #: Event time without a row after which a block's state is freed.
 IDLE_MS = 7 * 24 * 3_600_000
 
+#: Blocks of a subset are dealt to so many groups, which are what state is keyed by.
+GROUPS = 512
+GROUP = "__group"
+
+#: Rows of a frame that is released.
+FRAME_ROWS = 8192
+
+#: Time of the earliest waiting row of a block that has none.
+NEVER = 2**62
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -50,108 +61,205 @@ def rejected_rows(rows: DataFrame, sensors) -> DataFrame:
     return rows.where(bad)
 
 
+def _codes(records):
+    """One number per unit and block of records; both are ints of 32 bits."""
+    return records["unit"] * 2**32 + records["block"]
+
+
 class BlockFeatures(StatefulProcessor):
-    """Features of one block of one unit, row by row in cycle order."""
+    """Features of the blocks of one group, row by row in cycle order within a block.
+
+    What a call to state or a frame costs is shared by all blocks of a group: each state is one
+    array of records, those of a block marked by its unit and number, and features are computed and
+    released for many blocks together. The blocks know nothing of each other.
+    """
 
     def __init__(self, keys, sensors, lags, windows, alpha, lead_in, block_rows, idle_ms=IDLE_MS):
         self.keys, self.sensors = list(keys), list(sensors)
         self.lags, self.windows, self.alpha = lags, windows, alpha
         self.lead_in, self.block_rows, self.idle_ms = lead_in, block_rows, idle_ms
         self.reach = max([0, *lags, *(k - 1 for k in windows)])
+        place, readings = [("unit", "i8"), ("block", "i8")], [("readings", "f8", (len(self.sensors),))]
+        self.row = place + [("ts_ms", "i8"), ("cycle", "i8"), ("own", "?")] + readings
+        self.past_row = place + [("cycle", "i8")] + readings
+        # ``waits_ms`` is the time of the earliest waiting row; ``begun`` says that ``readings`` are smoothed values.
+        self.place_row = place + [("next_cycle", "i8"), ("last_ms", "i8"), ("waits_ms", "i8"), ("begun", "?")] + readings
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        readings = [T.StructField(s, T.DoubleType()) for s in self.sensors]
-        row = [T.StructField("ts_ms", T.LongType()), T.StructField("cycle", T.IntegerType()), T.StructField("own", T.BooleanType())]
+        records = T.StructType([T.StructField("records", T.BinaryType())])
         self.handle = handle
-        self.waiting = handle.getListState("waiting", T.StructType(row + readings))
-        self.past = handle.getListState("past", T.StructType([T.StructField("cycle", T.IntegerType()), *readings]))
-        self.cursor = handle.getValueState("cursor", T.StructType([T.StructField("next_cycle", T.IntegerType()), T.StructField("last_ms", T.LongType())]))
-        self.level = handle.getValueState("level", T.StructType(readings))
+        self.waiting = handle.getValueState("waiting", records)
+        self.past = handle.getValueState("past", records)
+        self.cursor = handle.getValueState("cursor", records)
+
+    def _read(self, state, kind):
+        import numpy as np
 
-    def _next_cycle(self, block: int) -> int:
-        if self.cursor.exists():
-            return self.cursor.get()[0]
-        return max(1, block * self.block_rows - self.lead_in + 1)
+        held = state.get()
+        return np.frombuffer(bytes(held[0]), dtype=kind) if held else np.empty(0, dtype=kind)
+
+    def _keep(self, state, before, records) -> None:
+        if len(records):
+            state.update((records.tobytes(),))
+        elif len(before):
+            state.clear()
 
     def _advance(self, key, arrived, watermark_ms):
-        """Release what is next in line, or is older than the watermark."""
-        block = int(key[-1])
-        queue = sorted([*(tuple(r) for r in self.waiting.get()), *arrived], key=lambda r: r[1])
-        expected = first = self._next_cycle(block)
-        ready, late, rest = [], [], []
-        for row in queue:
-            if row[1] < expected:
-                late.append(row)
-            elif row[1] == expected or row[0] <= watermark_ms:
-                ready.append((row, row[1] - expected))
-                expected = row[1] + 1
-            else:
-                rest.append(row)
-        made = [*self._features(key, ready), *self._late(key, [row for row in late if row[2]])]
-        last_ms = max([self.cursor.get()[1]] if self.cursor.exists() else [-1], default=-1)
-        last_ms = max([last_ms, *(row[0] for row in arrived)])
-        if not arrived and last_ms + self.idle_ms <= watermark_ms:
-            # Nothing for so long: rows of this block, waiting ones included, are all out.
-            for state in (self.waiting, self.past, self.cursor, self.level):
-                state.clear()
-        else:
-            if expected > (block + 1) * self.block_rows:
-                for state in (self.waiting, self.past, self.level):
-                    state.clear()
-            elif rest:
-                self.waiting.put(rest)
-                # One timer, for the first that falls due: when it fires, the next one is set.
-                self.handle.registerTimer(min(row[0] for row in rest) + 1)
+        """The rows of a block that is alone in its group."""
+        import numpy as np
+
+        rows = np.array([(*key[-2:], *row[:3], row[3:]) for row in arrived], dtype=self.row)
+        return self._advance_blocks(key[:-2], rows, watermark_ms)
+
+    def _advance_blocks(self, head, arrived, watermark_ms):
+        """Release what is next in line, or is older than the watermark, in the blocks of ``arrived`` or, without rows, in those that are due."""
+        import numpy as np
+
+        cursors = self._read(self.cursor, self.place_row)
+        waiting, past = self._read(self.waiting, self.row), self._read(self.past, self.past_row)
+        # Blocks of this call are numbered 0, 1, 2, ... in order of unit and block; others are -1.
+        due = (cursors["waits_ms"] < watermark_ms) | (cursors["last_ms"] + self.idle_ms <= watermark_ms)
+        touched = arrived if len(arrived) else cursors[due]
+        codes, firsts = np.unique(_codes(touched), return_index=True)
+
+        def numbered(records):
+            found = _codes(records)
+            at = np.searchsorted(codes, found)
+            return np.where(np.append(codes, 0)[at] == found, at, -1) if len(codes) else np.full(len(found), -1)
+
+        known, waits, before, new = numbered(cursors), numbered(waiting), numbered(past), numbered(arrived)
+        now = np.zeros(len(codes), dtype=self.place_row)
+        now["unit"], now["block"] = touched["unit"][firsts], touched["block"][firsts]
+        now["next_cycle"], now["last_ms"] = np.maximum(1, now["block"] * self.block_rows - self.lead_in + 1), -1
+        now[known[known >= 0]] = cursors[known >= 0]
+        came = np.concatenate([waits[waits >= 0], new])
+        queue = np.concatenate([waiting[waits >= 0], arrived])
+        order = np.lexsort((queue["cycle"], came))
+        queue, came = queue[order], came[order]
+        ready, gaps, late, rest = self._in_line(now, queue, came, watermark_ms)
+        np.maximum.at(now["last_ms"], new, arrived["ts_ms"])
+        now["waits_ms"] = NEVER
+        np.minimum.at(now["waits_ms"], came[rest], queue["ts_ms"][rest])
+        kept = self._take_in(now, past[before >= 0], before[before >= 0], queue[ready], came[ready])
+        kept, made = kept if kept else (past[before >= 0], None)
+        # Nothing for so long: rows of this block, waiting ones included, are all out.
+        idle = (now["last_ms"] + self.idle_ms <= watermark_ms) & (len(arrived) == 0)
+        full = now["next_cycle"] > (now["block"] + 1) * self.block_rows
+        now["begun"] &= ~full
+        now["waits_ms"][full] = NEVER
+        over = numbered(kept)
+        self._keep(self.past, past, np.concatenate([past[before < 0], kept[~(idle | full)[over]]]))
+        self._keep(self.waiting, waiting, np.concatenate([waiting[waits < 0], queue[rest][~(idle | full)[came[rest]]]]))
+        all_now = np.concatenate([cursors[known < 0], now[~idle]])
+        self._keep(self.cursor, cursors, all_now)
+        if len(all_now):
+            # Timers only for what falls due first: when they fire, the next ones are set.
+            if all_now["waits_ms"].min() < NEVER:
+                self.handle.registerTimer(int(all_now["waits_ms"].min()) + 1)
+            self.handle.registerTimer(int(all_now["last_ms"].min()) + self.idle_ms)
+        if made:
+            yield from self._features(head, *made, gaps)
+        yield from self._late(head, queue[late][queue["own"][late]])
+
+    def _in_line(self, now, queue, came, watermark_ms):
+        """Places in ``queue`` of rows to release, the cycles that are missing before each, and places of late and of waiting rows."""
+        ready, gaps, late, rest = [], [], [], []
+        at, expected, next_cycles = -1, 0, now["next_cycle"].tolist()
+        for i, (block, cycle, ts_ms) in enumerate(zip(came.tolist(), queue["cycle"].tolist(), queue["ts_ms"].tolist(), strict=True)):
+            if block != at:
+                at, expected = block, next_cycles[block]
+            if cycle < expected:
+                late.append(i)
+            elif cycle == expected or ts_ms <= watermark_ms:
+                ready.append(i)
+                gaps.append(cycle - expected)
+                next_cycles[block] = expected = cycle + 1
             else:
-                self.waiting.clear()
-            if arrived or expected != first:
-                self.cursor.update((expected, last_ms))
-            if arrived:
-                self.handle.registerTimer(last_ms + self.idle_ms)
-        yield from made
+                rest.append(i)
+        now["next_cycle"] = next_cycles
+        return ready, gaps, late, rest
+
+    def _take_in(self, now, past, before, ready, came):
+        """The rows that the next ones of their blocks need, and all rows with what features are computed from; nothing without ``ready`` rows.
+
+        Smoothed values are carried on in ``now``.
+        """
+        import numpy as np
+
+        if not len(ready):
+            return None
+        new = np.concatenate([np.zeros(len(past), dtype=bool), np.ones(len(ready), dtype=bool)])
+        block = np.concatenate([before, came])
+        order = np.lexsort((new, block))
+        new, block = new[order], block[order]
+        rows = np.concatenate([past, ready[["unit", "block", "cycle", "readings"]].astype(self.past_row)])[order]
+        opens = np.flatnonzero(np.diff(block, prepend=-1))
+        start = np.repeat(opens, np.diff(opens, append=len(block)))
+        end = np.repeat(np.append(opens[1:], len(block)), np.diff(opens, append=len(block)))
+
+        # One step takes the next row of every block that has one.
+        readings, smoothed = ready["readings"], np.empty((len(ready), len(self.sensors)))
+        firsts = np.flatnonzero(np.diff(came, prepend=-1))
+        lengths = np.diff(firsts, append=len(came))
+        longest = np.argsort(-lengths, kind="stable")
+        firsts, lengths = firsts[longest], lengths[longest]
+        of = came[firsts]
+        held = np.where(now["begun"][of][:, None], self.alpha * readings[firsts] + (1 - self.alpha) * now["readings"][of], readings[firsts])
+        smoothed[firsts] = held
+        counts = np.searchsorted(-lengths, -np.arange(1, lengths[0]), side="left").tolist()
+        for i, count in enumerate(counts, 1):
+            at = firsts[:count] + i
+            held = self.alpha * readings[at] + (1 - self.alpha) * held[:count]
+            smoothed[at] = held
+        now["readings"][of] = smoothed[firsts + lengths - 1]
+        now["begun"][of] = True
+        return rows[end - np.arange(len(rows)) <= self.reach], (rows, new, start, ready, smoothed)
 
     def columns(self):
         return [*self.keys, "cycle", "ts_ms", "status", "missing_before", *self.sensors, *feature_names(self.sensors, self.lags, self.windows)]
 
-    def _late(self, key, rows):
+    def _placed(self, head, rows, status, missing):
+        columns = dict(zip(self.keys, head, strict=False))
+        columns[self.keys[-1]] = rows["unit"]
+        columns |= {"cycle": rows["cycle"], "ts_ms": rows["ts_ms"], "status": status, "missing_before": missing}
+        return columns | {s: rows["readings"][:, j] for j, s in enumerate(self.sensors)}
+
+    def _late(self, head, rows):
         """The rows that came too late as one frame, if any, without features."""
         import pandas as pd
 
-        names = feature_names(self.sensors, self.lags, self.windows)
-        made = [[*key[:-1], row[1], row[0], "late", None, *row[3:], *(None for _ in names)] for row in rows]
-        return [pd.DataFrame(made, columns=self.columns())] if made else []
+        if not len(rows):
+            return []
+        columns = self._placed(head, rows, "late", None)
+        columns |= dict.fromkeys(feature_names(self.sensors, self.lags, self.windows))
+        return [pd.DataFrame(columns, columns=self.columns())]
 
-    def _features(self, key, ready):
-        """Features of all released rows as one frame, if any: shifted arrays, and a matrix of frames per window."""
+    def _features(self, head, rows, new, start, ready, smoothed, gaps):
+        """Features of the blocks' own released rows in frames: shifted arrays, and a matrix of frames per window."""
+        import numpy as np
+
+        places, gaps = np.flatnonzero(new)[ready["own"]], np.array(gaps, dtype="int64")[ready["own"]]
+        ends, released = smoothed[ready["own"]], ready[ready["own"]]
+        for i in range(0, len(places), FRAME_ROWS):
+            part = slice(i, i + FRAME_ROWS)
+            yield self._frame(head, rows, start[places[part]], places[part], released[part], ends[part], gaps[part])
+
+    def _frame(self, head, rows, start, at, released, ends, gaps):
         import numpy as np
         import pandas as pd
 
-        if not ready:
-            return []
-        history = [tuple(r) for r in self.past.get()]
-        cycles = np.array([r[0] for r in history] + [row[1] for row, _ in ready], dtype="float64")
-        values = np.array([r[1:] for r in history] + [row[3:] for row, _ in ready], dtype="float64")
-        held = list(self.level.get()) if self.level.exists() else None
-        smoothed = []
-        for xs in values[len(history) :].tolist():
-            held = xs if held is None else [self.alpha * x + (1 - self.alpha) * y for x, y in zip(xs, held, strict=True)]
-            smoothed.append(held)
-        own = np.array([row[2] for row, _ in ready], dtype=bool)
-        at = np.arange(len(history), len(cycles))[own]
-        columns = dict(zip(self.keys, key[:-1], strict=True))
-        columns["cycle"] = cycles[at].astype("int64")
-        columns["ts_ms"] = np.array([row[0] for row, _ in ready], dtype="int64")[own]
-        columns["status"] = "ok"
-        columns["missing_before"] = np.array([gap for _, gap in ready], dtype="int64")[own]
-        columns |= {s: values[at, j] for j, s in enumerate(self.sensors)}
+        low = start.min()
+        values, cycles = rows["readings"][low : at.max() + 1], rows["cycle"][low : at.max() + 1].astype("float64")
+        start, at = start - low, at - low
+        columns = self._placed(head, released, "ok", gaps)
         for k in self.lags:
-            before = np.where((at >= k)[:, None], values[np.maximum(at - k, 0)], np.nan)
+            before = np.where((at - start >= k)[:, None], values[np.maximum(at - k, 0)], np.nan)
             for j, s in enumerate(self.sensors):
                 columns[f"{s}_lag_{k}"] = before[:, j]
                 columns[f"{s}_diff_{k}"] = values[at, j] - before[:, j]
         for k in self.windows:
             places = at[:, None] - np.arange(k - 1, -1, -1)
-            inside, places = places >= 0, np.maximum(places, 0)
+            inside, places = places >= start[:, None], np.maximum(places, 0)
             n = inside.sum(axis=1)
             axis = np.where(inside, cycles[places], 0.0)
             centred = np.where(inside, axis - (axis.sum(axis=1) / n)[:, None], 0.0)
@@ -164,30 +272,34 @@ class BlockFeatures(StatefulProcessor):
                 columns[f"{s}_rolling_mean_{k}"] = mean
                 columns[f"{s}_rolling_std_{k}"] = np.where(several, np.sqrt(squares / np.maximum(n - 1, 1)), np.nan)
                 columns[f"{s}_rolling_slope_{k}"] = np.where(spread > 0, (centred * frame).sum(axis=1) / np.where(spread > 0, spread, 1.0), np.nan)
-        ends = np.array(smoothed, dtype="float64")[own]
         columns |= {f"{s}_ewma": ends[:, j] for j, s in enumerate(self.sensors)}
-        kept = list(zip(cycles, values))[-self.reach :] if self.reach else []
-        if kept:
-            self.past.put([(int(c), *(float(v) for v in vs)) for c, vs in kept])
-        self.level.update(tuple(float(v) for v in held))
-        return [pd.DataFrame(columns, columns=self.columns())] if len(at) else []
+        return pd.DataFrame(columns, columns=self.columns())
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator:
+        import numpy as np
+
         arrived = []
         for batch in rows:
-            names = ["ts_ms", "cycle", "own", *self.sensors]
-            for row in batch[names].itertuples(index=False, name=None):
-                arrived.append((int(row[0]), int(row[1]), bool(row[2]), *(float(v) for v in row[3:])))
-        yield from self._advance(key, arrived, timerValues.getCurrentWatermarkInMs())
+            part = np.empty(len(batch), dtype=self.row)
+            for i, name in enumerate(("unit", "block", "ts_ms", "cycle"), len(key)):
+                # Fails on a null, where a cast of arrays would not.
+                part[name] = batch.iloc[:, i].astype("int64")
+            part["own"] = batch.iloc[:, len(key) + 4].astype("bool")
+            for j in range(len(self.sensors)):
+                part["readings"][:, j] = batch.iloc[:, len(key) + 5 + j].astype("float64")
+            arrived.append(part)
+        yield from self._advance_blocks(key[1:], np.concatenate(arrived), timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
-        yield from self._advance(key, [], timerValues.getCurrentWatermarkInMs())
+        import numpy as np
+
+        yield from self._advance_blocks(key[1:], np.empty(0, dtype=self.row), timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass
 
 
-def live_features(rows: DataFrame, sensors, lags=LAGS, windows=ROLLING_WINDOWS, alpha=EWMA_ALPHA, block_rows=BLOCK_ROWS, idle_ms=IDLE_MS) -> DataFrame:
+def live_features(rows: DataFrame, sensors, lags=LAGS, windows=ROLLING_WINDOWS, alpha=EWMA_ALPHA, block_rows=BLOCK_ROWS, idle_ms=IDLE_MS, groups=GROUPS) -> DataFrame:
     """Stream of (subset, unit_id, cycle, ts, sensors) to the same with features.
 
     ``status`` is ``ok``, or ``late`` for a row whose place was already passed;
@@ -199,7 +311,9 @@ def live_features(rows: DataFrame, sensors, lags=LAGS, windows=ROLLING_WINDOWS,
     lead_in = max([ewma_memory(alpha), *lags, *(k - 1 for k in windows)])
     size = ewma_block_rows(alpha, lead_in, block_rows)
     blocked = to_blocks(rows.select(*UNIT, "cycle", "ts", *sensors), lead_in, UNIT, size, contiguous=True)
-    keyed = blocked.select(*UNIT, BLOCK, F.unix_millis("ts").alias("ts_ms"), "cycle", F.col(OWN).alias("own"), *sensors)
+    # The processor takes the columns by their place.
+    group = F.pmod(F.xxhash64("unit_id", BLOCK), F.lit(groups)).cast("int").alias(GROUP)
+    keyed = blocked.select(group, *UNIT, BLOCK, F.unix_millis("ts").alias("ts_ms"), "cycle", F.col(OWN).alias("own"), *sensors)
     processor = BlockFeatures(UNIT, sensors, tuple(lags), tuple(windows), alpha, lead_in, size, idle_ms)
     schema = T.StructType(
         [
@@ -212,6 +326,6 @@ def live_features(rows: DataFrame, sensors, lags=LAGS, windows=ROLLING_WINDOWS,
         ]
         + [T.StructField(name, T.DoubleType()) for name in [*sensors, *feature_names(sensors, lags, windows)]]
     )
-    return keyed.groupBy(*UNIT, BLOCK).transformWithStateInPandas(
+    return keyed.groupBy(GROUP, *UNIT[:-1]).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=schema, outputMode="append", timeMode="eventTime"
     )
